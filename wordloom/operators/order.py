@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BLOCK_BITS = 12  # 4,096 positions per block of a dense order
+LINK_BITS = 16  # 65,536 positions per block where blocks are linked in order
 KEY_BITS = 16  # at most 65,536 unique keys per block of a sparse order
 PARENT_BITS = 24  # blocks linked per window task; the few parents above them go last
 
@@ -117,14 +118,15 @@ def running(
     group: Sequence[str],
     pos: str,
     specs: dict[str, tuple[Column, str]],
-    bits: int = BLOCK_BITS,
+    bits: int = LINK_BITS,
     inclusive: bool = True,
 ) -> DataFrame:
     """Running sum / min / max / last-known value from the start of each group.
 
     `specs` maps an output name to (column, how). `pos` is a dense LONG position (gaps are
     fine, many rows on one position are not). A row sees everything before it, and itself if
-    `inclusive`.
+    `inclusive`. One row per block, a 65,536th of the group, is linked in order; the rows
+    themselves move once, on (group, block).
     """
     g = list(group)
     ins = {f"_in{i}": (out, how) for i, (out, (_, how)) in enumerate(specs.items())}
@@ -137,33 +139,32 @@ def running(
             for n, (_, h) in ins.items()
         ]
     )
-    carry = _before(blocks, g, "_b", {n: h for n, (_, h) in ins.items()})
-    carry = carry.select(*g, "_b", *[F.col(n).alias("_c" + n) for n in ins])
+    link = W.partitionBy(*g).orderBy("_b").rowsBetween(_START, -1)
+    carry = blocks.select(*g, "_b", *[_local(h, F.col(n)).over(link).alias("_c" + n) for n, (_, h) in ins.items()])
     here = W.partitionBy(*g, "_b").orderBy(pos).rowsBetween(_START, 0 if inclusive else -1)
     local = tagged.withColumns({"_l" + n: _local(h, F.col(n)).over(here) for n, (_, h) in ins.items()})
-    joined = local.join(carry, [*g, "_b"])
-    joined = joined.withColumns(
+    joined = local.join(carry, [*g, "_b"]).withColumns(
         {out: _join(h, F.col("_c" + n), F.col("_l" + n)) for n, (out, h) in ins.items()}
     )
     return joined.drop("_b", *ins, *["_c" + n for n in ins], *["_l" + n for n in ins])
 
 
-def asof_backward(
-    left: DataFrame, right: DataFrame, group: Sequence[str], on: str, value: str, out: str
-) -> DataFrame:
-    """For each left row the latest right `value` recorded at a strictly smaller `on`.
+def asof_backward(left: DataFrame, right: DataFrame, group: Sequence[str], on: str, values: Sequence[str]) -> DataFrame:
+    """For each left row the latest right `values` recorded at a strictly smaller `on`.
 
-    Both sides are laid on one order and the last known value is carried forward, so there is
-    no range join and no row pairing.
+    Both sides are laid on one order and the last known values are carried forward, so there
+    is no range join and no row pairing.
     """
     g = list(group)
-    cols = left.columns
+    empty = {"_v_" + v: F.lit(None).cast(right.schema[v].dataType) for v in values}
     # On equal positions the left row comes first: it does not see a value recorded there.
-    probe = left.withColumns({"_o": F.col(on) * 2, "_v": F.lit(None).cast(right.schema[value].dataType), "_q": F.lit(True)})
-    marks = right.select(*g, (F.col(on) * 2 + 1).alias("_o"), F.col(value).alias("_v"), F.lit(False).alias("_q"))
+    probe = left.withColumns({"_o": F.col(on) * 2, "_q": F.lit(True), **empty})
+    marks = right.select(
+        *g, (F.col(on) * 2 + 1).alias("_o"), F.lit(False).alias("_q"), *[F.col(v).alias("_v_" + v) for v in values]
+    )
     both = probe.unionByName(marks, allowMissingColumns=True)
-    filled = running(both, g, "_o", {out: (F.col("_v"), "last")}, bits=BLOCK_BITS + 1)
-    return filled.where("_q").select(*cols, out)
+    filled = running(both, g, "_o", {v: (F.col("_v_" + v), "last") for v in values}, bits=LINK_BITS + 1)
+    return filled.where("_q").select(*left.columns, *values)
 
 
 def rolling(
@@ -173,12 +174,17 @@ def rolling(
     lookback: int,
     exprs: Callable[[Callable[[int, int], W]], dict[str, Column]],
     bits: int = BLOCK_BITS,
+    keep: Column | None = None,
+    aside: str | None = None,
 ) -> DataFrame:
     """Fixed row frames over a dense position, for groups of any length.
 
     Each block also gets the last `lookback` rows of the block before it, so a frame reaching
     back up to `lookback` rows is complete inside its block and one long group spreads over
     many tasks. `exprs` receives a frame maker `f(start, end)` and returns the new columns.
+
+    With `keep`, only those rows are framed (`pos` is dense among them). The others stand
+    aside in blocks of the position `aside` and get nulls.
     """
     size = 1 << bits
     if lookback >= size:
@@ -186,37 +192,46 @@ def rolling(
     g = list(group)
     own = F.shiftright(F.col(pos), bits)
     spill = F.col(pos) % size >= size - lookback
+    if keep is not None:
+        own = F.when(keep, own).otherwise(-1 - F.shiftright(F.col(aside), bits))
+        spill = spill & keep
     homes = F.when(spill, F.array(own, own + 1)).otherwise(F.array(own))
     spread = df.withColumn("_home", F.explode_outer(homes))
     part = W.partitionBy(*g, "_home").orderBy(pos)
     made = exprs(lambda start, end: part.rowsBetween(start, end))
-    return spread.withColumns(made).where(F.col("_home") == own).drop("_home")
+    framed = spread.withColumns(made).where(F.col("_home") == own).drop("_home")
+    if keep is not None:
+        framed = framed.withColumns({n: F.when(keep, F.col(n)) for n in made})
+    return framed
 
 
 def rolling_kept(
     df: DataFrame,
     group: Sequence[str],
     pos: str,
-    keep: Column,
     lookback: int,
-    exprs: Callable[[Callable[[int, int], W]], dict[str, Column]],
+    metrics: dict[str, tuple[Column, Callable]],
+    then: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    """Frames over only the rows with `keep`, shown on every row.
+    """Per metric, frames over only the rows it keeps, shown on every row.
 
-    The kept rows are numbered and the frames run over that numbering; a skipped row repeats
-    the values of the last kept row before it (null if there is none).
+    `metrics` maps a name to (keep, exprs); `exprs(frame, order)` gets the frame maker and the
+    name of the 0-based position among the kept rows. A row that is not kept repeats the values
+    of the last kept row before it. `then` may add plain columns in the same pass.
     """
-    g = list(group)
-    flagged = df.withColumn("_keep", keep)
-    kept = positional_index(flagged.where("_keep"), pos, g, out="_kidx", bits=BLOCK_BITS)
+    order = {m: f"_k_{m}" for m in metrics}
+    keeps = {m: F.coalesce(k, F.lit(False)) for m, (k, _) in metrics.items()}
+    wide = running(df, group, pos, {order[m]: (keeps[m].cast("long"), "sum") for m in metrics})
     names: list[str] = []
-
-    def remember(frame):
-        made = exprs(frame)
-        names.extend(made)
-        return made
-
-    framed = rolling(kept, g, "_kidx", lookback, remember).drop("_kidx")
-    every = framed.unionByName(flagged.where(~F.col("_keep")), allowMissingColumns=True)
-    filled = running(every, g, pos, {"_f_" + n: (F.col(n), "last") for n in names})
-    return filled.drop("_keep", *names).withColumnsRenamed({"_f_" + n: n for n in names})
+    for m, (_, exprs) in metrics.items():
+        wide = wide.withColumn(order[m], F.col(order[m]) - 1)
+
+        def remember(frame, exprs=exprs, m=m):
+            made = exprs(frame, order[m])
+            names.extend(made)
+            return made
+
+        wide = rolling(wide, group, order[m], lookback, remember, keep=keeps[m], aside=pos)
+    wide = then(wide.drop(*order.values()))
+    filled = running(wide, group, pos, {"_f_" + n: (F.col(n), "last") for n in names})
+    return filled.drop(*names).withColumnsRenamed({"_f_" + n: n for n in names})
