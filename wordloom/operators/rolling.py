@@ -25,7 +25,7 @@ GRAD_HIGH, GRAD_HIGH_SHARE, GRAD_SPIKE = 10.0, 0.3, 20.0
 GRAD_LOW, GRAD_LOW_SHARE = 1e-4, 0.5
 PLATEAU_MIN, PLATEAU_GAIN = 50, 0.002
 ACC_MIN, ACC_GAIN, ACC_LOSS = 80, 0.001, -0.01
-PAIR_SPAN, PAIR_ACC, PAIR_GAIN = 60, 0.85, 0.005
+PAIR_SPAN, PAIR_ACC, PAIR_GAIN = 60, 0.85, 0.005  # the newer half, 30 steps, also feeds the risk
 PAIR_RISE, PAIR_LOSS_RISE = 0.005, 1.01
 EARLY_STEPS, EARLY_ACC = 500, 0.90
 SPIKE_MIN, SPIKE_RATIO = 10, 3.0
@@ -54,26 +54,24 @@ def _mean(part: Column) -> Column:
 
 
 def _halves(frame, value: str, order: str, first: int):
-    """Means of the older and newer half of the last 100 values.
+    """How many of the last 100 values there are, and the means of all, the older and newer half.
 
     A full window has two fixed frames. A shorter one only occurs among the first 100 values
-    of a run, so only those are gathered (`order` starts at `first`); its older half is the
-    shorter one.
+    of a run (`order` starts at `first`), so only those are gathered, in one growing frame; its
+    older half is the shorter one.
     """
-    n = F.count(value).over(frame(1 - WINDOW, 0))
-    young = F.collect_list(F.when(F.col(order) < first + WINDOW, F.col(value))).over(frame(1 - WINDOW, 0))
+    n = F.least(F.col(order) - first + 1, F.lit(WINDOW)).cast("int")
     half = F.floor(n / 2).cast("int")
-    older = F.when(n == WINDOW, F.avg(value).over(frame(1 - WINDOW, -WINDOW // 2))).otherwise(
-        _mean(F.slice(young, F.lit(1), half))
-    )
-    newer = F.when(n == WINDOW, F.avg(value).over(frame(1 - WINDOW // 2, 0))).otherwise(
-        _mean(F.slice(young, half + 1, F.greatest(n.cast("int") - half, F.lit(0))))
-    )
-    return n, young, older, newer
+    young = F.collect_list(F.when(F.col(order) < first + WINDOW, F.col(value))).over(frame(W.unboundedPreceding, 0))
+    old = F.sum(value).over(frame(1 - WINDOW, -WINDOW // 2))
+    new = F.sum(value).over(frame(1 - WINDOW // 2, 0))
+    older = F.when(n == WINDOW, old / (WINDOW // 2)).otherwise(_mean(F.slice(young, F.lit(1), half)))
+    newer = F.when(n == WINDOW, new / (WINDOW // 2)).otherwise(_mean(F.slice(young, half + 1, n - half)))
+    return n, young, (F.coalesce(old, F.lit(0.0)) + new) / n, older, newer
 
 
 def _loss_frames(frame, order):
-    n, young, older, newer = _halves(frame, "loss", order, 0)
+    n, young, mean, older, newer = _halves(frame, "loss", order, 0)
     early = F.when(n == WINDOW, F.avg("loss").over(frame(1 - WINDOW, RISK_EDGE - WINDOW))).otherwise(
         _mean(F.slice(young, 1, RISK_EDGE))
     )
@@ -84,14 +82,14 @@ def _loss_frames(frame, order):
         "loss_early": early,
         "loss_late": F.avg("loss").over(frame(1 - RISK_EDGE, 0)),
         "loss_recent": F.avg("loss").over(frame(1 - RECENT, 0)),
-        "avg_loss": F.avg("loss").over(frame(1 - WINDOW, 0)),
+        "avg_loss": mean,
     }
 
 
 def _grad_frames(frame, order):
     g, recent, full = F.col("grad_norm"), frame(1 - RECENT, 0), frame(1 - WINDOW, 0)
     return {
-        "n_grad": F.count("grad_norm").over(full),
+        "n_grad": F.least(F.col(order) + 1, F.lit(WINDOW)).cast("int"),
         "grad_high_share": F.avg((g > GRAD_HIGH).cast("int")).over(recent),
         "grad_low_share": F.avg((g < GRAD_LOW).cast("int")).over(recent),
         "grad_recent_max": F.max("grad_norm").over(recent),
@@ -126,18 +124,17 @@ def step_windows(steps: DataFrame) -> DataFrame:
     paired = steps.withColumn("_pl", F.when(F.isnan("loss"), 0.0).otherwise(F.col("loss")))
 
     def frames(frame):
-        n, _, older, newer = _halves(frame, "accuracy", "step", 1)
+        n, _, mean, older, newer = _halves(frame, "accuracy", "step", 1)
         before, after = frame(1 - PAIR_SPAN, -PAIR_SPAN // 2), frame(1 - PAIR_SPAN // 2, 0)
         return {
             "n_acc": n,
             "acc_older": older,
             "acc_newer": newer,
-            "avg_accuracy": F.avg("accuracy").over(frame(1 - WINDOW, 0)),
+            "avg_accuracy": mean,
             "pair_acc_a": F.avg("accuracy").over(before),
             "pair_acc_b": F.avg("accuracy").over(after),
             "pair_loss_a": F.avg("_pl").over(before),
             "pair_loss_b": F.avg("_pl").over(after),
-            "acc_recent": F.avg("accuracy").over(frame(1 - RISK_SPAN, 0)),
         }
 
     return rolling(paired, RUN, "step", WINDOW - 1, frames).drop("_pl")
@@ -231,7 +228,7 @@ def overconfidence_risk(steps: DataFrame) -> DataFrame:
 
 
 def risk_score() -> Column:
-    sure = F.greatest(F.lit(0.0), F.col("acc_recent") - RISK_ACC) / 0.5
+    sure = F.greatest(F.lit(0.0), F.col("pair_acc_b") - RISK_ACC) / 0.5
     early, late = F.col("loss_early"), F.col("loss_late")
     stuck = F.when((F.col("n_loss") >= RISK_SPAN) & (early > 0), F.greatest(F.lit(0.0), 1 - (early - late) / early))
     score = F.least(sure * F.coalesce(stuck, F.lit(0.0)), F.lit(1.0))

@@ -68,7 +68,6 @@ def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 3, block: int = BLOCK
     its closest possible vector lies beyond the k-th neighbour already found nearby. The rest
     is compared block by block as a matrix product that emits k rows per query row.
     """
-    spark = df.sparkSession
     units = unit_vectors(df, key, vec)
     ranked = units.withColumn("_c", F.row_number().over(W.partitionBy("u").orderBy("id")))
     copies = ranked.where(F.col("_c") <= k + 1).groupBy("u").agg(F.sort_array(F.collect_list("id")).alias("ids"))
@@ -76,10 +75,37 @@ def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 3, block: int = BLOCK
 
     if cells is None:
         cells = min(MAX_CELLS, max(1, math.ceil(df.count() / block)))
+    near = _within_one(distinct, k) if cells == 1 else _by_cells(distinct, k, block, cells)
+
+    near = _top(near, "rep", k, "nrep").select("rep", "nrep", "sim")
+    crowd = distinct.select("rep", "u", "ids")
+    named = near.join(crowd.select(F.col("rep").alias("nrep"), F.col("ids").alias("nids")), "nrep")
+    others = named.groupBy("rep").agg(F.collect_list(F.struct("sim", "nids")).alias("near"))
+    known = crowd.join(others, "rep", "left")
+    # Back to all rows: every copy has its fellow copies and the neighbours of its vector.
+    every = units.join(known, "u")
+    same = F.aggregate("u", F.lit(0.0), lambda a, x: a + x * x)
+    mine = F.transform("ids", lambda i: F.struct((-same).alias("d"), i.alias("n")))
+    theirs = F.flatten(
+        F.transform(F.coalesce("near", F.array()), lambda s: F.transform(s.nids, lambda i: F.struct((-s.sim).alias("d"), i.alias("n"))))
+    )
+    best = F.slice(F.sort_array(F.filter(F.concat(mine, theirs), lambda s: s.n != F.col("id"))), 1, k)
+    return every.select("id", F.posexplode_outer(best).alias("_p", "_s")).where("_s is not null").select(
+        "id", F.col("_s.n").alias("neighbour"), (-F.col("_s.d")).alias("sim"), (F.col("_p") + 1).alias("rank")
+    )
+
+
+def _within_one(distinct: DataFrame, k: int) -> DataFrame:
+    """All vectors fit one block."""
+    one = distinct.select("rep", "u", F.lit(0).alias("cell"))
+    return one.groupBy("cell").applyInPandas(lambda pdf: _best(pdf, pdf, k), _NEAR)
+
+
+def _by_cells(distinct: DataFrame, k: int, block: int, cells: int) -> DataFrame:
+    """Neighbour candidates of every distinct vector, cell by cell."""
+    spark = distinct.sparkSession
     chosen = distinct.orderBy(F.xxhash64("rep"), "rep").limit(cells).select("u").toPandas()
-    pivots = spark.sparkContext.broadcast(np.stack(chosen["u"].to_numpy())) if len(chosen) else None
-    if pivots is None:
-        return spark.createDataFrame([], "id long, neighbour long, sim double, rank int")
+    pivots = spark.sparkContext.broadcast(np.stack(chosen["u"].to_numpy()))
 
     def assign(batches):
         for b in batches:
@@ -99,8 +125,6 @@ def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 3, block: int = BLOCK
         r["cell"]: (max(1, math.ceil(r["n"] / block)), r["radius"])
         for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()
     }
-    if not stats:
-        return spark.createDataFrame([], "id long, neighbour long, sim double, rank int")
     parts = F.element_at(F.create_map(*[F.lit(x) for c, (m, _) in stats.items() for x in (c, m)]), F.col("cell"))
     blocked = placed.withColumn("blk", F.pmod(F.xxhash64("rep"), parts).cast("int"))
 
@@ -112,23 +136,7 @@ def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 3, block: int = BLOCK
     if len(work) > 1:
         partners = _partners(blocked, near, stats, pivots.value, k)
         near = near.unionByName(_across(blocked, stats, partners, k))
-
-    near = _top(near, "rep", k, "nrep").select("rep", "nrep", "sim")
-    crowd = distinct.select("rep", "u", "ids")
-    named = near.join(crowd.select(F.col("rep").alias("nrep"), F.col("ids").alias("nids")), "nrep")
-    others = named.groupBy("rep").agg(F.collect_list(F.struct("sim", "nids")).alias("near"))
-    known = crowd.join(others, "rep", "left")
-    # Back to all rows: every copy has its fellow copies and the neighbours of its vector.
-    every = units.join(known, "u")
-    same = F.aggregate("u", F.lit(0.0), lambda a, x: a + x * x)
-    mine = F.transform("ids", lambda i: F.struct((-same).alias("d"), i.alias("n")))
-    theirs = F.flatten(
-        F.transform(F.coalesce("near", F.array()), lambda s: F.transform(s.nids, lambda i: F.struct((-s.sim).alias("d"), i.alias("n"))))
-    )
-    best = F.slice(F.sort_array(F.filter(F.concat(mine, theirs), lambda s: s.n != F.col("id"))), 1, k)
-    return every.select("id", F.posexplode_outer(best).alias("_p", "_s")).where("_s is not null").select(
-        "id", F.col("_s.n").alias("neighbour"), (-F.col("_s.d")).alias("sim"), (F.col("_p") + 1).alias("rank")
-    )
+    return near
 
 
 def _partners(blocked: DataFrame, near: DataFrame, stats: dict, pivots, k: int) -> dict[int, list[int]]:

@@ -47,7 +47,10 @@ def rebuild_vocabulary(spark: SparkSession, rows: DataFrame, path: str, key: str
 def build_training_set(
     spark: SparkSession, rows: DataFrame, vocab: DataFrame, plan: TrainingPlan, out: str, key: str = "ex_id", enc: Encoding = DEFAULT
 ) -> None:
-    """Write `out/train` and `out/val`: shifted, masked samples with their batch numbers."""
+    """Write `out/train` and `out/val`: shifted, masked samples with their batch numbers.
+
+    Samples are stored before they are numbered, so encoding runs once per split.
+    """
     plan.check()
     examples = normalize(rows, key)
     require_rows(examples, "training examples")
@@ -59,7 +62,9 @@ def build_training_set(
             samples = pair_samples(part, vocab, enc, plan.seq_length).withColumn("start", F.lit(0))
         else:
             samples = sliding_windows(part, vocab, enc, plan.seq_length, key="ex_id")
-        ready = with_masks(shifted(samples, plan.seq_length))
+        stored = scratch_path(spark, f"samples-{name}")
+        with_masks(shifted(samples, plan.seq_length)).write.parquet(stored)
+        ready = spark.read.parquet(stored)
         if name == "train":
             ready = shuffled_batches(ready, plan.batch_size, ["ex_id", "start"], seed=0)
         else:

@@ -261,12 +261,12 @@ ORACLES = {
     "token_accuracy_overall": f"""WITH {VEC}, h AS (SELECT vec_id // 10 AS batch, label <> 0 AS c, label <> 0 AND list_position(v, list_max(v)) - 1 = label AS ok FROM x),
       b AS (SELECT batch, count(*) FILTER (ok) AS correct, count(*) FILTER (c) AS counted FROM h GROUP BY batch)
       SELECT round(avg(correct / greatest(counted, 1)::DOUBLE), 6) AS macro_accuracy, round(sum(correct) / greatest(sum(counted), 1)::DOUBLE, 6) AS micro_accuracy, sum(counted)::BIGINT AS counted FROM b""",
-    "epoch_summary": f"WITH {STEPS} SELECT run_id, epoch, count(*) AS batches, round(avg(loss), 6) AS mean_loss FROM steps GROUP BY run_id, epoch",
+    "epoch_summary": f"WITH {STEPS} SELECT run_id, epoch, count(*) AS batches, round(avg(loss), 10) AS mean_loss FROM steps GROUP BY run_id, epoch",
     "perplexity": f"WITH {STEPS} SELECT run_id, epoch, round(exp(least(avg(loss) / 8, 20)), 4) AS perplexity FROM steps GROUP BY run_id, epoch",
     "throughput": f"""WITH {STEPS}, t AS (SELECT run_id, step, count(*) OVER w AS b, (micros - min(micros) OVER w) / 1e6::DOUBLE AS el FROM steps
       WINDOW w AS (PARTITION BY run_id, epoch ORDER BY step))
       SELECT run_id, step, round(b * {PLAN.batch_size * PLAN.seq_length} / greatest(el, 1.0::DOUBLE), 6) AS tokens_per_second, round(el / b, 6) AS batch_time FROM t""",
-    "best_epochs": f"""WITH {STEPS}, {VAL} SELECT run_id, epoch, round(val_loss, 6) AS val_loss,
+    "best_epochs": f"""WITH {STEPS}, {VAL} SELECT run_id, epoch, round(val_loss, 10) AS val_loss,
       val_loss < coalesce(min(val_loss) OVER (PARTITION BY run_id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 'Infinity'::DOUBLE) AS is_best FROM val""",
     "entropy_by_group": f"""WITH {ATTN} SELECT item, layer, head, round(avg(-list_sum(list_transform(w[1:32], lambda p: p * ln(p + 1e-9)))), 6) AS entropy
       FROM att WHERE row < 32 GROUP BY item, layer, head""",
@@ -297,10 +297,10 @@ ORACLES = {
     "overconfidence_risk": f"""WITH {NOISY}, {LOSS_WIN}, {STEP_WIN} SELECT run_id, step, CASE WHEN n_acc < 30 THEN 0.0 ELSE
       round(least(greatest(0, acc_recent - 0.5::DOUBLE) / 0.5::DOUBLE * CASE WHEN n_loss >= 30 AND loss_early > 0 THEN greatest(0, 1 - (loss_early - loss_late) / loss_early) ELSE 0 END, 1), 6) END AS risk
       FROM sf JOIN lf USING (run_id, step)""",
-    "rolling_diagnostics": f"""WITH {NOISY}, {LOSS_WIN}, {GRAD_WIN}, {STEP_WIN} SELECT run_id, step, round(coalesce(avg_loss, 0), 6) AS avg_loss, round(coalesce(avg_grad, 0), 6) AS avg_grad,
-      round(avg_accuracy, 6) AS avg_accuracy, round(coalesce(max_grad, 0), 6) AS max_grad, round(coalesce(min_grad, 0), 6) AS min_grad
+    "rolling_diagnostics": f"""WITH {NOISY}, {LOSS_WIN}, {GRAD_WIN}, {STEP_WIN} SELECT run_id, step, round(coalesce(avg_loss, 0), 10) AS avg_loss, round(coalesce(avg_grad, 0), 10) AS avg_grad,
+      round(avg_accuracy, 10) AS avg_accuracy, round(coalesce(max_grad, 0), 10) AS max_grad, round(coalesce(min_grad, 0), 10) AS min_grad
       FROM sf JOIN lf USING (run_id, step) JOIN gf USING (run_id, step)""",
-    "asof_val_loss": f"WITH {NOISY}, {VAL} SELECT run_id, step, round({KNOWN_VAL}, 6) AS val_loss FROM ns",
+    "asof_val_loss": f"WITH {NOISY}, {VAL} SELECT run_id, step, round({KNOWN_VAL}, 10) AS val_loss FROM ns",
     "overfit_flags": f"""WITH {NOISY}, {VAL}, f AS (SELECT *, {KNOWN_VAL} AS val_loss FROM ns)
       SELECT run_id, step, coalesce(step >= 30 AND val_loss > loss * 1.15::DOUBLE AND accuracy > 0.4::DOUBLE, false) AS sft_overfitting FROM f""",
     "recommendations": f"""WITH {STEPS}, {VAL}, k AS (SELECT steps.run_id, steps.step, steps.loss, steps.epoch + 1 AS ep, v.attn_entropy AS ent, v.memory_gb AS mem

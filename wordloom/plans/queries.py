@@ -33,13 +33,14 @@ PLAN = TrainingPlan()
 L, W = 64, 16  # sequence lengths: paired samples and encodings, sliding windows
 CAP = 2000
 DIGITS = 6
+MEAN_DIGITS = 10  # means of the 1/64 and 1/256 grids end here: no rounding ties
 
 
 def joined(ids) -> Column:
     return F.array_join(F.transform(ids, lambda i: i.cast("string")), " ")
 
 
-def out(df: DataFrame, *cols: str) -> DataFrame:
+def out(df: DataFrame, *cols: str, digits: int = DIGITS) -> DataFrame:
     """Select, widening INT to BIGINT and rounding DOUBLE."""
     df = df.select(*cols) if cols else df
     made = []
@@ -48,7 +49,7 @@ def out(df: DataFrame, *cols: str) -> DataFrame:
         if kind in ("int", "smallint", "tinyint"):
             made.append(F.col(f.name).cast("long").alias(f.name))
         elif kind == "double":
-            made.append(F.round(f.name, DIGITS).alias(f.name))
+            made.append(F.round(f.name, digits).alias(f.name))
         elif kind == "array<int>":
             made.append(joined(f.name).alias(f.name))
         else:
@@ -222,20 +223,20 @@ def vocab_capped(spark, sf):
 
 
 def token_annotations(spark, sf):
-    return out(en.annotate(st.documents(spark, sf), st.document_vocab(spark, sf), DEFAULT))
+    return out(en.annotate(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT))
 
 
 def encode_docs(spark, sf):
-    return out(en.encode(st.documents(spark, sf), st.document_vocab(spark, sf), DEFAULT))
+    return out(en.encode(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT))
 
 
 def encode_fixed(spark, sf):
-    return out(en.encode(st.documents(spark, sf), st.document_vocab(spark, sf), DEFAULT, L))
+    return out(en.encode(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT, L))
 
 
 def _decoded(skip):
     def run(spark, sf):
-        vocab = st.document_vocab(spark, sf)
+        vocab = st.stored_vocab(spark, sf)
         coded = en.encode(st.documents(spark, sf), vocab, DEFAULT)
         return en.decode(coded, vocab, skip=skip).select("doc_id", "text")
 
@@ -243,21 +244,21 @@ def _decoded(skip):
 
 
 def doc_unk_rate(spark, sf):
-    return out(en.unknown_rates(st.documents(spark, sf), st.document_vocab(spark, sf), DEFAULT))
+    return out(en.unknown_rates(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT))
 
 
 def unk_alerts(spark, sf):
-    rates = en.unknown_rates(st.documents(spark, sf), st.document_vocab(spark, sf), DEFAULT)
+    rates = en.unknown_rates(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT)
     return out(en.unknown_alerts(rates, DEFAULT.unk_threshold), "doc_id", "tokens", "unknown", "unk_rate")
 
 
 def unk_global(spark, sf):
-    return out(en.unknown_global(en.unknown_rates(st.documents(spark, sf), st.document_vocab(spark, sf), DEFAULT)))
+    return out(en.unknown_global(en.unknown_rates(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT)))
 
 
 def _unknown(spark, sf):
     # Conversations against the vocabulary of the documents.
-    return en.unknown_words(vo.word_counts(st.turns(spark, sf), DEFAULT, "ex_id"), st.document_vocab(spark, sf))
+    return en.unknown_words(vo.word_counts(st.turns(spark, sf), DEFAULT, "ex_id"), st.stored_vocab(spark, sf))
 
 
 def unk_words(spark, sf):
@@ -269,18 +270,18 @@ def top_unknown(spark, sf):
 
 
 def roundtrip_losses(spark, sf):
-    return en.roundtrip_losses(st.documents(spark, sf), st.document_vocab(spark, sf), DEFAULT, L)
+    return en.roundtrip_losses(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT, L)
 
 
 # ── samples ──────────────────────────────────────────────────────────────────────────────
 
 
 def _pair_samples(spark, sf):
-    return sa.pair_samples(st.pairs(spark, sf), st.conversation_vocab(spark, sf), DEFAULT, L)
+    return sa.pair_samples(st.pairs(spark, sf), st.stored_conversation_vocab(spark, sf), DEFAULT, L)
 
 
 def _windows(spark, sf):
-    return sa.sliding_windows(st.documents(spark, sf), st.document_vocab(spark, sf), DEFAULT, W)
+    return sa.sliding_windows(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT, W)
 
 
 def pair_samples(spark, sf):
@@ -288,7 +289,7 @@ def pair_samples(spark, sf):
 
 
 def encode_prompts(spark, sf):
-    return out(sa.prompt_samples(st.pairs(spark, sf), st.conversation_vocab(spark, sf), DEFAULT, L))
+    return out(sa.prompt_samples(st.pairs(spark, sf), st.stored_conversation_vocab(spark, sf), DEFAULT, L))
 
 
 def sliding_windows(spark, sf):
@@ -318,18 +319,23 @@ def train_val_split(spark, sf):
     return sa.train_val_split(st.documents(spark, sf).select("doc_id"), "doc_id", PLAN.val_split)
 
 
+def _stored_keys(spark, sf):
+    """Batches are cut from stored samples: encoding runs once, counting and numbering read."""
+    return checkpoint(_windows(spark, sf).select("doc_id", "start"))
+
+
 def batches(spark, sf):
-    return out(sa.batched(_windows(spark, sf).select("doc_id", "start"), PLAN.batch_size, "doc_id", tie=["start"], bits=8))
+    return out(sa.batched(_stored_keys(spark, sf), PLAN.batch_size, "doc_id", tie=["start"], bits=8))
 
 
 def shuffled_batches(spark, sf):
-    return out(sa.shuffled_batches(_windows(spark, sf).select("doc_id", "start"), PLAN.batch_size, ["doc_id", "start"], 7))
+    return out(sa.shuffled_batches(_stored_keys(spark, sf), PLAN.batch_size, ["doc_id", "start"], 7))
 
 
 def prediction_samples(spark, sf):
     """Windows in batches of 16; the prediction is the label read backwards."""
-    vocab = st.document_vocab(spark, sf)
-    windows = sa.shifted(sa.sliding_windows(st.documents(spark, sf), vocab, DEFAULT, W), W)
+    vocab = st.stored_vocab(spark, sf)
+    windows = checkpoint(sa.shifted(sa.sliding_windows(st.documents(spark, sf), vocab, DEFAULT, W), W))
     placed = sa.batched(windows, 16, "doc_id", tie=["start"], bits=8)
     ready = placed.select(
         "doc_id", "start", "batch", "slot", F.col("encoder_input").alias("source_ids"), "label", F.reverse("label").alias("predicted_ids")
@@ -361,7 +367,7 @@ def token_accuracy_overall(spark, sf):
 
 
 def epoch_summary(spark, sf):
-    return out(ev.epoch_summary(st.steps(spark, sf)), "run_id", "epoch", "batches", "mean_loss")
+    return out(ev.epoch_summary(st.steps(spark, sf)), "run_id", "epoch", "batches", "mean_loss", digits=MEAN_DIGITS)
 
 
 def perplexity_(spark, sf):
@@ -377,7 +383,7 @@ def throughput(spark, sf):
 
 def best_epochs(spark, sf):
     val = st.validation(st.steps(spark, sf)).select("run_id", "epoch", "val_loss")
-    return out(ev.best_epochs(val))
+    return out(ev.best_epochs(val), digits=MEAN_DIGITS)
 
 
 def _attention(spark, sf):
@@ -450,9 +456,9 @@ def accumulation_steps(spark, sf):
     return out(ro.accumulation_steps(st.steps(spark, sf), PLAN.accum_steps), "run_id", "step", "is_step", "grad_norm")
 
 
-def _flags(fn, *cols):
+def _flags(fn, *cols, digits=DIGITS):
     def run(spark, sf):
-        return out(fn(st.noisy_steps(spark, sf)), "run_id", "step", *cols)
+        return out(fn(st.noisy_steps(spark, sf)), "run_id", "step", *cols, digits=digits)
 
     return run
 
@@ -465,7 +471,7 @@ def _with_val(spark, sf):
 
 
 def asof_val_loss(spark, sf):
-    return out(_with_val(spark, sf), "run_id", "step", "val_loss")
+    return out(_with_val(spark, sf), "run_id", "step", "val_loss", digits=MEAN_DIGITS)
 
 
 def overfit_flags(spark, sf):
@@ -484,7 +490,9 @@ def health_status(spark, sf):
 
 
 def _checked(spark, sf):
-    return ro.all_checks(_with_val(spark, sf))
+    """Every check on every step, written once: the replay and its readers share it."""
+    kept = ("run_id", "step", "nan_count", *ro.CHECKS)
+    return checkpoint(ro.all_checks(_with_val(spark, sf)).select(*kept))
 
 
 def tuner_replay(spark, sf):
@@ -498,7 +506,7 @@ def adjustment_summary(spark, sf):
 
 def tuner_summary(spark, sf):
     c = _checked(spark, sf)
-    return tu.summary(c, tu.replay(c))
+    return tu.summary(c, checkpoint(tu.replay(c)))
 
 
 def recent_adjustments(spark, sf):
@@ -531,12 +539,12 @@ def stream_scan(spark, sf):
 
 def stream_encode(spark, sf):
     docs = ss.scan(spark, f"{sf}/documents.parque[t]", _DOCS)
-    return out(_appended(spark, sc.encoded(docs, st.document_vocab(spark, sf), DEFAULT, L), "encoded"))
+    return out(_appended(spark, sc.encoded(docs, st.stored_vocab(spark, sf), DEFAULT, L), "encoded"))
 
 
 def stream_unk(spark, sf):
     docs = ss.scan(spark, f"{sf}/documents.parque[t]", _DOCS)
-    totals = sc.unknown_totals(docs, st.document_vocab(spark, sf), DEFAULT)
+    totals = sc.unknown_totals(docs, st.stored_vocab(spark, sf), DEFAULT)
     mark = scratch_path(spark, "unk-checkpoint")
     return ss.totals_available(totals, "unk_" + mark.rsplit("-", 1)[1], mark)
 
@@ -627,7 +635,9 @@ QUERIES = {
     "overconfidence_flags": _flags(ro.overconfidence_flags, *tu.CHAIN),
     "spike_flags": _flags(ro.spike_flags, "nan_loss_critical", "loss_spike"),
     "overconfidence_risk": _flags(ro.overconfidence_risk, "risk"),
-    "rolling_diagnostics": _flags(ro.rolling_diagnostics, "avg_loss", "avg_grad", "avg_accuracy", "max_grad", "min_grad"),
+    "rolling_diagnostics": _flags(
+        ro.rolling_diagnostics, "avg_loss", "avg_grad", "avg_accuracy", "max_grad", "min_grad", digits=MEAN_DIGITS
+    ),
     "asof_val_loss": asof_val_loss,
     "overfit_flags": overfit_flags,
     "recommendations": recommendations,

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from wordloom.operators.order import positional_index
 from wordloom.operators.vocab import vocabulary, word_counts
 from wordloom.params import DEFAULT, Encoding
+from wordloom.session import checkpoint
+from wordloom.sources.texts import read_texts
 
 EPOCH = 200  # steps per epoch in the telemetry view
 
@@ -23,7 +25,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return read_texts(spark, f"{sf}/documents.parquet")
 
 
 def counts(spark, sf, enc: Encoding = DEFAULT) -> DataFrame:
@@ -34,6 +36,11 @@ def document_vocab(spark, sf, enc: Encoding = DEFAULT) -> DataFrame:
     return vocabulary(counts(spark, sf, enc), enc)
 
 
+def stored_vocab(spark, sf, enc: Encoding = DEFAULT) -> DataFrame:
+    """The same as a stored table, as encoding jobs find it: built once, then only read."""
+    return checkpoint(document_vocab(spark, sf, enc))
+
+
 def turns(spark, sf) -> DataFrame:
     """(ex_id, conv_id, turn, role, text); `ex_id` keeps the order of (conv_id, turn)."""
     c = table(spark, sf, "conversations")
@@ -53,6 +60,10 @@ def conversation_vocab(spark, sf, enc: Encoding = DEFAULT) -> DataFrame:
     return vocabulary(word_counts(turns(spark, sf), enc, "ex_id"), enc)
 
 
+def stored_conversation_vocab(spark, sf, enc: Encoding = DEFAULT) -> DataFrame:
+    return checkpoint(conversation_vocab(spark, sf, enc))
+
+
 def events(spark, sf) -> DataFrame:
     return shape_events(table(spark, sf, "events"))
 

@@ -37,12 +37,10 @@ def unfold(files: DataFrame, json_text: Column, keys: list[str], metrics=tuple(A
 
 
 def latest_state(states: DataFrame, runs: DataFrame, default: dict[str, object]) -> DataFrame:
-    """The state row with the highest step of every run; `default` where a run has none.
+    """The state columns at the highest step of every run; `default` where a run has none.
 
-    The highest step is found by a hash aggregate, then looked up by equality.
+    One aggregate, combined before the shuffle: no run is gathered or sorted as a whole.
     """
-    top = states.groupBy("run_id").agg(F.max("step").alias("step"))
-    last = states.join(top, ["run_id", "step"])
-    return runs.join(last, "run_id", "left").withColumns(
-        {c: F.coalesce(F.col(c), F.lit(v)) for c, v in default.items()}
-    )
+    cols = [c for c in default if c != "step"]
+    last = states.groupBy("run_id").agg(F.max("step").alias("step"), *[F.max_by(c, "step").alias(c) for c in cols])
+    return runs.join(last, "run_id", "left").withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in default.items()})
