@@ -162,7 +162,8 @@ def normalize_fallback(df: DataFrame, key: str = "ex_id") -> DataFrame:
         inside = _struct_fields(df, f.name)
         field = next((n for n in ("content", "value") if n in inside), None)
         if field:
-            parts.append(F.coalesce(F.transform(f.name, lambda m, n=field: _text(m[n].cast("string"))), F.array().cast("array<string>")))
+            said = F.transform(F.col(f"{f.name}.{field}").cast("array<string>"), _text)
+            parts.append(F.coalesce(said, F.array().cast("array<string>")))
     if not parts:
         return _texts(df, key, F.lit(""), F.lit(False))
     found = F.filter(F.concat(*parts), lambda p: p.isNotNull())
