@@ -46,7 +46,7 @@ def buffers(steps, val=None):
         grads += [] if math.isnan(grad) else [grad]
         accs.append(acc)
         pairs.append(0.0 if math.isnan(loss) else loss)
-        tail = [np.array(b[-100:]) for b in (losses, grads, accs, pairs)]
+        tail = [b[-100:] for b in (losses, grads, accs, pairs)]
         found[i] = stel._fired(i, loss, grad, acc, *tail, val) if i >= 30 else []
     return found
 

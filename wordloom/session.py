@@ -15,6 +15,8 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "12g") ->
         .appName("wordloom")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Small test tables still use every core: windows cost far more than their bytes suggest.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")

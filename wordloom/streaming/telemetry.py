@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -59,32 +58,38 @@ def ema(stream: DataFrame, order: str = "event_id", keep: float = 0.95, digits:
     )
 
 
+def _mean(values: list[float]) -> float:
+    return sum(values) / len(values)
+
+
+def _gain(a: float, b: float) -> float:
+    return (a - b) / a if a > 0 else 0.0
+
+
 def _fired(step, loss, grad, acc, losses, grads, accs, pairs, val_loss) -> list[str]:
-    """The checks of `rolling`, on the buffers of one run."""
+    """The checks of `rolling`, on the buffers (plain lists) of one run."""
     on = dict.fromkeys(r.CHECKS, False)
     if len(grads) >= r.RECENT:
         g = grads[-r.RECENT :]
-        on["gradient_explosion"] = np.mean(g > r.GRAD_HIGH) > r.GRAD_HIGH_SHARE
-        on["gradient_spike"] = not on["gradient_explosion"] and g.max() > r.GRAD_SPIKE
-        on["gradient_vanishing"] = np.mean(g < r.GRAD_LOW) > r.GRAD_LOW_SHARE
+        on["gradient_explosion"] = sum(x > r.GRAD_HIGH for x in g) / len(g) > r.GRAD_HIGH_SHARE
+        on["gradient_spike"] = not on["gradient_explosion"] and max(g) > r.GRAD_SPIKE
+        on["gradient_vanishing"] = sum(x < r.GRAD_LOW for x in g) / len(g) > r.GRAD_LOW_SHARE
     if len(losses) >= r.PLATEAU_MIN:
-        a, b = (h.mean() for h in (losses[: len(losses) // 2], losses[len(losses) // 2 :]))
-        on["loss_plateau"] = 0 <= ((a - b) / a if a > 0 else 0.0) < r.PLATEAU_GAIN
+        mid = len(losses) // 2
+        on["loss_plateau"] = 0 <= _gain(_mean(losses[:mid]), _mean(losses[mid:])) < r.PLATEAU_GAIN
     if len(accs) >= r.ACC_MIN:
-        gain = accs[len(accs) // 2 :].mean() - accs[: len(accs) // 2].mean()
-        on["accuracy_stall"] = 0 <= gain < r.ACC_GAIN
-        on["accuracy_degrading"] = gain < r.ACC_LOSS
+        mid = len(accs) // 2
+        rise = _mean(accs[mid:]) - _mean(accs[:mid])
+        on["accuracy_stall"] = 0 <= rise < r.ACC_GAIN
+        on["accuracy_degrading"] = rise < r.ACC_LOSS
     if len(accs) >= r.PAIR_SPAN:
-        half = r.PAIR_SPAN // 2
-        acc_a, acc_b = accs[-2 * half : -half].mean(), accs[-half:].mean()
-        a, b = pairs[-2 * half : -half].mean(), pairs[-half:].mean()
-        with np.errstate(invalid="ignore"):
-            gain = (a - b) / a if a > 0 else 0.0
-        on["overconfidence_high_acc"] = acc_b > r.PAIR_ACC and gain < r.PAIR_GAIN
-        on["overconfidence_divergence"] = acc_b > acc_a + r.PAIR_RISE and b > a * r.PAIR_LOSS_RISE
+        before, after = slice(-r.PAIR_SPAN, -r.PAIR_SPAN // 2), slice(-r.PAIR_SPAN // 2, None)
+        acc_b, a, b = _mean(accs[after]), _mean(pairs[before]), _mean(pairs[after])
+        on["overconfidence_high_acc"] = acc_b > r.PAIR_ACC and _gain(a, b) < r.PAIR_GAIN
+        on["overconfidence_divergence"] = acc_b > _mean(accs[before]) + r.PAIR_RISE and b > a * r.PAIR_LOSS_RISE
         on["overconfidence_early"] = step < r.EARLY_STEPS and acc_b > r.EARLY_ACC
     if len(losses) >= r.SPIKE_MIN:
-        recent = losses[-r.RECENT :].mean()
+        recent = _mean(losses[-r.RECENT :])
         on["nan_loss_critical"] = not math.isfinite(loss)
         on["loss_spike"] = math.isfinite(loss) and recent > 0 and loss > recent * r.SPIKE_RATIO
     if val_loss is not None and not math.isnan(val_loss):
@@ -110,14 +115,15 @@ class _Monitor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         last, step, nans, tuner = None, 0, 0, Tuner()
-        kept = {b: np.empty(0) for b in _BUFFERS}
+        kept = {b: [] for b in _BUFFERS}
         if self.numbers.exists():
             last, step, nans, *settings, adjusted, count = self.numbers.get()
             tuner = Tuner(*settings, last=adjusted, count=count)
-            kept = {b: np.asarray(v, float) for b, v in zip(_BUFFERS, self.buffers.get())}
+            kept = {b: list(v) for b, v in zip(_BUFFERS, self.buffers.get())}
 
         def push(name, value):
-            kept[name] = np.append(kept[name][1 - r.WINDOW :], value)
+            kept[name].append(value)
+            del kept[name][: -r.WINDOW]
 
         pdf, out = _in_order(rows, self.order), []
         for at, loss, grad, acc, val in pdf[[self.order, "loss", "grad_norm", "accuracy", "val_loss"]].itertuples(index=False):
@@ -141,7 +147,7 @@ class _Monitor(StatefulProcessor):
                 health = "critical" if critical else "warning" if found else "healthy"
             out.append((key[0], at, step, False, health, found, bool(changes), nans, *self._settings(tuner), tuner.count))
         self.numbers.update((last, step, nans, *self._settings(tuner), tuner.last, tuner.count))
-        self.buffers.update(tuple([float(x) for x in kept[b]] for b in _BUFFERS))
+        self.buffers.update(tuple(kept[b] for b in _BUFFERS))
         names = [c.split(" ")[0] for c in _HEALTH.format(order=self.order).split(", ")]
         yield pd.DataFrame(out, columns=names).astype({"step": "Int64"})
 
