@@ -80,7 +80,7 @@ def test_encode_lengths(spark):
 
 
 @pytest.mark.parametrize("limit", [0, 1, 7, 50])
-def test_large_vocabulary_path_is_equal(spark, limit):
+def test_large_vocabulary_path_is_equal(spark, limit, monkeypatch):
     rnd = random.Random(limit)
     pool = [f"w{i}" for i in range(60)]
     texts = [" ".join(rnd.choices(pool, k=rnd.randint(0, 40))) for _ in range(30)] + ["", "w0 " * 300]
@@ -91,8 +91,10 @@ def test_large_vocabulary_path_is_equal(spark, limit):
     assert {r.doc_id: r.ids for r in en.encode(df, v, ONE, limit=limit).collect()} == want
     for skip in ((0, 1, 2, 3), (0, 2, 3), ()):
         a = {r.doc_id: r.text for r in en.decode(small, v, skip=skip).collect()}
-        b = {r.doc_id: r.text for r in en.decode(small, v, skip=skip, limit=limit - 4).collect()}
+        b = {r.doc_id: r.text for r in en.decode(small, v, skip=skip, limit=limit).collect()}
         assert a == b
+    monkeypatch.setattr(en, "LITERAL_LIMIT", 0)
+    assert {r.doc_id: r.text for r in en.decode(small, v, skip=()).collect()} == a
 
 
 def test_decode(spark):
