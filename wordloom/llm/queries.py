@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from wordloom.llm.packing import op5_packing
 from wordloom.llm.quality import op2_quality_rules
+from wordloom.llm.tokencount import op4_token_counts
 
-QUERIES = {"op2_quality_rules": op2_quality_rules}
+QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op4_token_counts": op4_token_counts,
+    "op5_packing": op5_packing,
+}
 ORACLES: dict[str, str] = {}
