@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 from wordloom.llm.packing import op5_packing
+from wordloom.llm.pii import op7_pii
 from wordloom.llm.quality import op2_quality_rules
+from wordloom.llm.sharding import op6_sharding
+from wordloom.llm.simhash import op10_simhash_near_dedup
 from wordloom.llm.tokencount import op4_token_counts
+from wordloom.llm.toxicity import op3_toxicity
+from wordloom.llm.warc import op9_warc
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_sharding": op6_sharding,
+    "op7_pii": op7_pii,
+    "op9_warc": op9_warc,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
