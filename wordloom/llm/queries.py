@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from wordloom.llm.hamming import OP1_SQL, op1_hamming_top_k
 from wordloom.llm.packing import op5_packing
 from wordloom.llm.pii import op7_pii
 from wordloom.llm.quality import op2_quality_rules
+from wordloom.llm.sentencepiece_scan import op8_sentencepiece
 from wordloom.llm.sharding import op6_sharding
 from wordloom.llm.simhash import op10_simhash_near_dedup
 from wordloom.llm.tokencount import op4_token_counts
@@ -12,13 +14,15 @@ from wordloom.llm.toxicity import op3_toxicity
 from wordloom.llm.warc import op9_warc
 
 QUERIES = {
+    "op1_hamming_top_k": op1_hamming_top_k,
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
     "op6_sharding": op6_sharding,
     "op7_pii": op7_pii,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_warc": op9_warc,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_hamming_top_k": OP1_SQL}
