@@ -16,84 +16,120 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordloom.llm.common import stored, table
+from wordloom.llm.tokencount import ByteMerges
 from wordloom.operators.order import running
 
 WINDOW = 2048
 END_ID = 1
-LONG = 40  # longer words are tokenised, but not remembered
 BROADCAST = 1_000_000  # partitions (16 bytes each) up to which their offsets are broadcast
-MEMORY = 300_000  # remembered words per Python worker
+MEMORY = 200_000  # words after which a Python worker begins to forget
 
 
 # White space to `str.split`, but not to the tokeniser.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+# Letters that no normal form changes and whose lower case does not depend on neighbours.
+_LATIN = re.compile("[!-\u024f]+")
 
 
 class WordTokenizer:
-    """Ids of whole texts by the `tokenizers` library, with the words met so far remembered.
+    """Ids of whole texts as the `tokenizers` library gives them, with late words remembered.
 
     A file qualifies if its pre-tokeniser splits at white space and none of its rules looks
-    across it, so that a text has the ids of its words one after the other. Texts with a special
-    string or with separators on which Python and the library differ go to the library whole.
+    across it, so that a text has the ids of its words one after the other. New words in Latin
+    letters are merged together as arrays; other words, and texts with a special string or with
+    separators on which Python and the library differ, go through the library.
     """
 
     def __init__(self, path: str, memory: int = MEMORY):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memory, self.known = memory, {}
-
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def ids(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special) or _SEPARATORS.search(text):
-            return self._whole(text)
-        words = text.split()
-        new = [w for w in set(words) if w not in self.known]
-        found = dict(zip(new, (np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(new, add_special_tokens=False)))) if new else {}
-        short = {w: i for w, i in found.items() if len(w) <= LONG}
-        if len(self.known) + len(short) > self.memory:
-            found |= {w: self.known[w] for w in set(words) if w in self.known}
-            self.known, get = {}, found.__getitem__
-        elif len(short) < len(found):
-            found |= {w: self.known[w] for w in set(words) if w in self.known}
-            get = found.__getitem__
-        else:
-            get = self.known.__getitem__
-        if len(short) <= self.memory:
-            self.known.update(short)
-        return np.frombuffer(b"".join(map(get, words)), np.uint32)
+        self.merges = ByteMerges(path)
+        spec = self.merges.spec
+        rules = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        cuts = [c["type"] for c in spec["pre_tokenizer"].get("pretokenizers", [])]
+        if rules != ["NFC", "Replace", "Lowercase"] or cuts != ["Split", "ByteLevel"]:
+            raise ValueError(f"{path} cuts texts by other rules")
+        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4"
+        self.memory, self.known, self.older = memory, {}, {}
+
+    def _library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        latin = [w for w in words if _LATIN.fullmatch(w)]
+        self.known.update((w, self._library(w)) for w in set(words).difference(latin))
+        for at in range(0, len(latin), 20_000):
+            part = latin[at : at + 20_000]
+            cut = [self.pattern.findall(w.lower()) for w in part]
+            ids, sizes = self.merges.merged([p.encode() for c in cut for p in c])
+            # From sizes of pre-tokens to the byte range of every word.
+            total = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum([len(c) for c in cut]))]
+            raw, at_byte = ids.astype(self.kind).tobytes(), (total * np.dtype(self.kind).itemsize).tolist()
+            self.known.update((w, raw[a:z]) for w, a, z in zip(part, at_byte, at_byte[1:]))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, in bytes of the type `kind`."""
+        whole = [any(s in t for s in self.merges.special) or _SEPARATORS.search(t) is not None for t in texts]
+        words = [[] if w else t.split() for t, w in zip(texts, whole)]
+        missing = set().union(*words) - self.known.keys()
+        found = missing & self.older.keys()
+        self.known.update((w, self.older[w]) for w in found)
+        self._learn(list(missing - found))
+        get = self.known.__getitem__
+        made = [self._library(t) if w else b"".join(map(get, x)) for t, w, x in zip(texts, whole, words)]
+        if len(self.known) > self.memory:
+            self.older, self.known = self.known if len(self.known) <= 2 * self.memory else {}, {}
+        return made
+
+
+@lru_cache(maxsize=2)
+def tokenizer(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
+
+
+def _groups(texts: list[str], rows: int = 256, characters: int = 2_000_000) -> Iterator[list[str]]:
+    """Runs of texts of bounded number and size; a longer text is a run of its own."""
+    held, size = [], 0
+    for t in texts:
+        if held and (len(held) == rows or size + len(t) > characters):
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t)
+    if held:
+        yield held
 
 
 def _tokenise(path: str, end_id: int):
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, part, start = WordTokenizer(path), TaskContext.get().partitionId(), 0
+        words, part, start = tokenizer(path), TaskContext.get().partitionId(), 0
+        size = np.dtype(words.kind).itemsize
+        end = np.array([end_id], words.kind).tobytes()
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1)
-            for at in range(0, len(keys), 256):
-                rows, starts, sizes = [], [], []
-                for t in texts[at : at + 256]:
-                    ids = np.r_[tokenizer.ids(t.as_py() or ""), np.uint32(end_id)]
-                    rows.append(ids.astype("<u2").tobytes() if ids.max() < 65536 else ids.astype("<u4").tobytes())
-                    starts.append(start)
-                    sizes.append(len(ids))
-                    start += len(ids)
-                n = len(rows)
+            keys, at = batch.column(0), 0
+            for texts in _groups([t or "" for t in batch.column(1).to_pylist()]):
+                ids = [i + end for i in words.encode(texts)]
+                sizes = np.array([len(i) // size for i in ids], np.int64)
+                starts = start + np.cumsum(sizes) - sizes
+                start += int(sizes.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [keys[at : at + 256], pa.array([part] * n, pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())],
+                    [keys[at : at + len(ids)], pa.array([part] * len(ids), pa.int64()), pa.array(starts), pa.array(sizes), pa.array(ids, pa.binary())],
                     ["k", "part", "at", "n", "ids"],
                 )
+                at += len(ids)
 
     return tokenise
 

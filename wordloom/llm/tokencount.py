@@ -17,6 +17,7 @@ from functools import lru_cache
 from itertools import islice
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -29,64 +30,118 @@ GROUP = 1_000_000  # characters cut into pre-tokens before their counts are look
 LONG = 64  # longer pre-tokens are merged, but not remembered
 
 
+class PairTable:
+    """Rank and product of symbol pairs, found by hashing: slots of equal hash are layers."""
+
+    BITS = 20
+
+    def __init__(self, pairs: np.ndarray):
+        self.keys = pairs[:, 0] << 20 | pairs[:, 1]
+        self.made = pairs[:, 2]
+        self.layers, left = [], np.arange(len(pairs))
+        while len(left):
+            slot = self._slot(self.keys[left])
+            layer = np.full(1 << self.BITS, -1, np.int32)
+            layer[slot[::-1]] = left[::-1]
+            self.layers.append(layer)
+            left = left[layer[slot] != left]
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def ranks(self, key: np.ndarray) -> np.ndarray:
+        """The rank of each pair, or the number of pairs if there is none."""
+        slot = self._slot(key)
+        none = len(self.keys)
+        out = np.full(len(key), none, np.int32)
+        todo = np.arange(len(key))
+        for layer in self.layers:
+            at = layer[slot[todo]]
+            hit = at >= 0
+            todo, at = todo[hit], at[hit]
+            if not len(todo):
+                break
+            same = self.keys[at] == key[todo]
+            out[todo[same]] = at[same]
+            todo = todo[~same]
+        return out
+
+
 class ByteMerges:
-    """The merge table of a byte-level BPE file as sorted arrays."""
+    """The merges of a byte-level BPE file, applied to many pre-tokens at once."""
 
     def __init__(self, path: str):
-        import public_tokenizers
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        if model["type"] != "BPE" or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["normalizer"]:
+        if model["type"] != "BPE" or model["dropout"] or model["byte_fallback"] or model["ignore_merges"]:
             raise ValueError(f"{path} is not a plain byte-level BPE file")
-        vocab = model["vocab"]
+        self.spec, vocab, suffix = spec, model["vocab"], model["end_of_word_suffix"] or ""
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        pairs = np.array([(vocab[a], vocab[b], vocab[a + b]) for a, b in merges], np.int64)
-        keys = pairs[:, 0] << 20 | pairs[:, 1]
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.rank, self.made = keys[order], order.astype(np.int64), pairs[order, 2]
+        self.pairs = PairTable(np.array([(vocab[a], vocab[b], vocab[a + b]) for a, b in merges], np.int64))
         self.byte = np.array([vocab[c] for c in _byte_letters()], np.int64)
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.last = np.array([vocab[c + suffix] for c in _byte_letters()], np.int64)
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
 
-    def surviving(self, pieces: list[bytes]) -> np.ndarray:
-        """Symbols left of each piece after all merges."""
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols that survive all merges, piece after piece, and how many each piece has.
+
+        In every round each piece merges its own lowest-ranked pair. Pieces without one are
+        finished and leave the arrays.
+        """
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         owner = np.repeat(np.arange(len(pieces)), sizes)
-        symbol = self.byte[np.frombuffer(b"".join(pieces), np.uint8)]
-        counts = sizes.copy()
-        none = len(self.keys)
-        while len(symbol) > 1:
-            key = symbol[:-1] << 20 | symbol[1:]
-            at = np.searchsorted(self.keys, key)
-            at[at == none] = 0
-            rank = np.where((self.keys[at] == key) & (owner[:-1] == owner[1:]), self.rank[at], none)
-            # The lowest rank of every piece, at its starts.
-            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            best = np.minimum.reduceat(np.r_[rank, none], starts)
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        symbol = self.byte[raw]
+        ends = np.cumsum(sizes[sizes > 0]) - 1
+        symbol[ends] = self.last[raw[ends]]
+        none = len(self.pairs.keys)
+        rank = np.full(len(symbol), none, np.int32)
+        if len(symbol) > 1:
+            rank[:-1] = self.pairs.ranks(symbol[:-1] << 20 | symbol[1:])
+            rank[ends] = none
+        done = []
+        while len(symbol):
+            first = np.empty(len(symbol), bool)
+            first[0] = True
+            np.not_equal(owner[1:], owner[:-1], out=first[1:])
+            starts = np.flatnonzero(first)
+            best = np.minimum.reduceat(rank, starts)
+            size = np.diff(np.append(starts, len(symbol)))
             live = best < none
-            if not live.any():
-                break
-            size = np.diff(np.r_[starts, len(symbol)])
-            mine = np.repeat(best, size)
-            hit = np.r_[(rank == mine[:-1]) & (rank < none), False]
+            if not live.all():
+                stay = np.repeat(live, size)
+                done.append((owner[~stay], symbol[~stay]))
+                owner, symbol, rank = owner[stay], symbol[stay], rank[stay]
+                best, size = best[live], size[live]
+                if not len(symbol):
+                    break
+            run = np.flatnonzero(rank == np.repeat(best, size))
             # Equal neighbouring pairs overlap (a a a): within a run every second one merges.
-            run = np.flatnonzero(hit)
-            if len(run) > 1:
-                begins = np.r_[True, np.diff(run) > 1]
-                place = np.arange(len(run)) - np.maximum.accumulate(np.where(begins, np.arange(len(run)), 0))
-                hit[run[place % 2 == 1]] = False
-                run = run[place % 2 == 0]
-            symbol[run] = self.made[at[run]]
+            if len(run) > 1 and (np.diff(run) == 1).any():
+                at = np.arange(len(run))
+                begins = np.maximum.accumulate(np.where(np.append(True, np.diff(run) > 1), at, 0))
+                run = run[(at - begins) % 2 == 0]
+            symbol[run] = self.pairs.made[rank[run]]
             keep = np.ones(len(symbol), bool)
             keep[run + 1] = False
-            # Pieces without a pair are finished and leave the arrays.
-            keep &= np.repeat(live, size)
-            counts[owner[starts[live]]] -= np.add.reduceat(hit.astype(np.int64), starts)[live]
-            symbol, owner = symbol[keep], owner[keep]
-        return counts
+            shift = run - np.arange(len(run))  # where the merged symbols are afterwards
+            symbol, owner, rank = symbol[keep], owner[keep], rank[keep]
+            last = np.append(owner[1:] != owner[:-1], True)
+            # Only pairs that touch a merged symbol have a new rank.
+            touched = np.zeros(len(symbol), bool)
+            touched[shift] = True
+            touched[shift[shift > 0] - 1] = True
+            touched = np.flatnonzero(touched)
+            fresh = np.full(len(touched), none, np.int32)
+            inner = ~last[touched]
+            t = touched[inner]
+            fresh[inner] = self.pairs.ranks(symbol[t] << 20 | symbol[t + 1])
+            rank[touched] = fresh
+        owners = np.concatenate([o for o, _ in done]) if done else np.empty(0, np.int64)
+        symbols = np.concatenate([s for _, s in done]) if done else np.empty(0, np.int64)
+        return symbols[np.argsort(owners, kind="stable")], np.bincount(owners, minlength=len(pieces))
 
 
 def _byte_letters() -> list[str]:
@@ -106,7 +161,10 @@ class Counter:
     """Counts tokens of texts, group by group, with a bounded memory of pre-tokens."""
 
     def __init__(self, table: ByteMerges, memory: int = MEMORY):
+        if table.spec["pre_tokenizer"]["type"] != "ByteLevel" or table.spec["normalizer"]:
+            raise ValueError("the file cuts texts by other rules")
         self.table, self.memory, self.known = table, memory, {}
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
 
     def _pieces(self, text: str) -> Iterator[list[str] | int]:
         """Lists of pre-tokens, and the number of special strings."""
@@ -116,9 +174,9 @@ class Counter:
             yield len(spans) - 1
         for span in spans:
             if len(span) <= GROUP:
-                yield self.table.pattern.findall(span)
+                yield self.pattern.findall(span)
             else:
-                found = (m.group() for m in self.table.pattern.finditer(span))
+                found = (m.group() for m in self.pattern.finditer(span))
                 while part := list(islice(found, GROUP // 4)):
                     yield part
 
@@ -129,7 +187,7 @@ class Counter:
         found = {}
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            found.update(zip(part, self.table.surviving([p.encode() for p in part]).tolist()))
+            found.update(zip(part, self.table.merged([p.encode() for p in part])[1].tolist()))
         short = {p: n for p, n in found.items() if len(p) <= LONG}
         found.update((p, self.known[p]) for p in wanted if p in self.known)
         if len(self.known) + len(short) > self.memory:
@@ -186,6 +244,4 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
 
 def op4_token_counts(spark, sf: str) -> DataFrame:
     """One row per document: bytes, tokens, and whether it exceeds 1,024 tokens."""
-    import public_tokenizers
-
     return count_tokens(table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
