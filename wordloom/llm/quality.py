@@ -123,7 +123,7 @@ def assess(text: Column, rules: LineRules = LineRules()) -> list[tuple[str, Colu
     """Steps of columns; each may use the ones before it. Names start with `_q_`."""
     t, w, n = F.col("_q_t"), F.col("_q_w"), F.col("_q_n")
     lines, faults = F.col("_q_lines"), F.col("_q_faults")
-    with_words = F.filter(lines, lambda x: F.length(F.trim(F.lit(" \t\n\x0b\f\r"), x)) > 0)
+    with_words = F.filter(lines, lambda x: F.length(F.trim(x, F.lit(" \t\n\x0b\f\r"))) > 0)
     clean = F.transform(
         F.filter(F.arrays_zip(lines.alias("l"), faults.alias("f")), lambda z: z.f.isNull()), lambda z: z.l
     )
