@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Fit: a bounded sample of labelled rows (`EXAMPLES` of each class, by hash order) is cut into
-terms: words, and word beginnings, which also catch inflected forms. Terms that go with the label
+Fit: a bounded sample of labelled rows (`EXAMPLES` of each class, by hash order, one of each
+group of copies) is cut into terms: words, and word beginnings, which also catch inflected forms. Terms that go with the label
 beyond chance (chi-square) span the vector space. The examples form an inverted index whose
 postings lie in blocks of `BLOCK` examples, with the largest weight of every term in every block.
 
@@ -27,14 +27,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import table
+from wordloom.llm.common import stored, table, words
 
 EXAMPLES = 3000  # labelled rows of each class, at most
 TERMS = 1024  # dimensions, at most
 CHI_SQUARE = 30.0  # chance alone stays below this over a million terms
-MIN_ROWS = 5  # examples that must hold a term
+MIN_ROWS, MIN_SHARE = 5, 0.01  # toxic examples that must hold a term: a number and a share
 NEIGHBOURS = 15
 BLOCK = 64
 SOFT = 0.05  # added to a distance before it is inverted
@@ -166,7 +167,9 @@ class _Known(dict):
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         made = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
-        if len(self) < MEMORY and len(word) < 64:
+        if len(self) >= MEMORY:
+            self.clear()  # frequent words are back at once
+        if len(word) < 64:
             self[word] = made
         return made
 
@@ -184,8 +187,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     drawn = [usable.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(examples) for y in (0, 1)]
     picked = {r["k"]: r["y"] for d in drawn for r in d.collect()}
     sample = F.broadcast(spark.createDataFrame(sorted(picked.items()), "k long, y int"))
-    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(sample, "k").select("t", "y", "k")
-    sampled = Counter(picked.values())
+    texts = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(sample, "k")
+    # Copies would make their every word look telling: of texts with the same smallest shingle
+    # (the more alike, the likelier) one stays. The sample is bounded, and so is this window.
+    w = words(F.col("t"))
+    texts = texts.withColumn("_w", w).withColumn("_s", F.array_min(F.transform("_w", lambda x, i: F.xxhash64(x, F.get("_w", i + 1), F.get("_w", i + 2)))))
+    alike = W.partitionBy("y", F.coalesce("_s", F.lit(0))).orderBy("k", F.xxhash64("t"))
+    texts = stored(texts.withColumn("_n", F.row_number().over(alike)).where("_n = 1").select("t", "y", "k"), "examples")
+    sampled = Counter({r["y"]: r["n"] for r in texts.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()})
     classes = {y: (totals.get(y, 0), sampled[y]) for y in (0, 1)}
 
     found = texts.select("t", "y").mapInArrow(_term_rows, "term string, toxic long, clean long")
@@ -195,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     lead = a * n0 - b * n1
     chi = (n1 + n0) * lead * lead / ((a + b) * (n1 + n0 - a - b) * n1 * n0 + 1e-9)
     if n1 and n0:
-        telling = found.where((a + b >= MIN_ROWS) & (lead > 0)).select("term", chi.alias("x")).where(F.col("x") >= CHI_SQUARE)
+        telling = found.where((a >= max(MIN_ROWS, MIN_SHARE * n1)) & (lead > 0)).select("term", chi.alias("x")).where(F.col("x") >= CHI_SQUARE)
         terms = sorted(r["term"] for r in telling.orderBy(F.desc("x"), "term").limit(TERMS).collect())
     else:
         terms = []
