@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as hs
 from pyspark.sql import functions as F
 
+from wordloom.operators.samples import train_val_split
 from wordloom.operators.order import asof_backward, first_rows, key_at_rank, positional_index, rolling, running
 
 
@@ -38,6 +39,28 @@ def test_first_rows(spark, n):
     assert at == keys[n : n + 1]
 
 
+def test_cuts_on_repeated_and_null_keys(spark):
+    df = rows(spark, [(k, i) for i, k in enumerate([1, 2, 2, 2, 3])], "k long, t int")
+    assert sorted((r.k, r.t) for r in first_rows(df, "k", 3, tie=["t"]).collect()) == [(1, 0), (2, 1), (2, 2)]
+    assert sorted(r.k for r in first_rows(df, "k", 4).collect()) == [1, 2, 2, 2]  # falls between keys
+    with pytest.raises(Exception, match="share their order key"):
+        first_rows(df, "k", 3).collect()
+    split = train_val_split(df, "k", 0.4, tie=["t"]).collect()
+    assert sorted((r.k, r.t) for r in split if r.split == "train") == [(1, 0), (2, 1), (2, 2)]
+    nulls = rows(spark, [(None,), (4,)], "k long")
+    for made in (first_rows(nulls, "k", 1), positional_index(nulls, "k")):
+        with pytest.raises(Exception, match="order key is null"):
+            made.collect()
+
+
+@pytest.mark.parametrize("bits", [0, 8])
+def test_hashed_keys_spread_over_window_tasks(spark, bits):
+    keys = [random.Random(i).getrandbits(62) for i in range(3000)]
+    df = rows(spark, [(k,) for k in keys], "k long")
+    made = positional_index(df, "k", bits=bits)
+    assert {r.k: r.idx for r in made.collect()} == {k: i for i, k in enumerate(sorted(keys))}
+
+
 @settings(max_examples=4, deadline=None)
 @given(hs.lists(hs.one_of(hs.none(), hs.integers(-5, 5)), min_size=1, max_size=60), hs.integers(1, 3))
 def test_running(spark, values, bits):

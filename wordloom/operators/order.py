@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 12  # 4,096 positions per block of a dense order
 LINK_BITS = 16  # 65,536 positions per block where blocks are linked in order
 KEY_BITS = 16  # at most 65,536 unique keys per block of a sparse order
-PARENT_BITS = 24  # blocks linked per window task; the few parents above them go last
+LEVEL_BITS = 16  # at most 65,536 rows per window task on every level of linked blocks
+WIDTH = 64  # bits of a key
 
 _START = W.unboundedPreceding
 
@@ -35,25 +36,36 @@ def _join(how: str, earlier: Column, later: Column) -> Column:
     return (F.least if how == "min" else F.greatest)(earlier, later)
 
 
-def _before(blocks: DataFrame, group: Sequence[str], block: str, hows: dict[str, str]) -> DataFrame:
-    """For one row per block: each column combined over all earlier blocks of its group."""
+def known_key(key: Column) -> Column:
+    """The order key; a null has no place in an order and stops the job."""
+    return F.when(key.isNull(), F.raise_error(F.lit("an order key is null")).cast("long")).otherwise(key.cast("long"))
+
+
+def _before(blocks: DataFrame, group: Sequence[str], block: str, hows: dict[str, str], width: int = WIDTH) -> DataFrame:
+    """For one row per block: each column combined over all earlier blocks of its group.
+
+    Blocks are linked inside parents of 65,536 neighbours, parents inside theirs, and so on, as
+    often as the `width` of block numbers in bits needs. However sparse the keys are, no window
+    task holds more rows than that.
+    """
     g = list(group)
-    tagged = blocks.withColumn("_p", F.shiftright(block, PARENT_BITS))
-    inside = W.partitionBy(*g, "_p").orderBy(block).rowsBetween(_START, -1)
-    local = tagged.select(
-        *g, "_p", block, *[_local(h, F.col(c)).over(inside).alias(c) for c, h in hows.items()]
-    )
-    parents = tagged.groupBy(*g, "_p").agg(
+    if width <= LEVEL_BITS:
+        here = W.partitionBy(*g).orderBy(block).rowsBetween(_START, -1)
+        over = {c: _local(h, F.col(c)).over(here) for c, h in hows.items()}
+        return blocks.select(*g, block, *[(F.coalesce(over[c], F.lit(0)) if h == "sum" else over[c]).alias(c) for c, h in hows.items()])
+    up = f"_p{width}"
+    tagged = blocks.withColumn(up, F.shiftright(block, LEVEL_BITS))
+    inside = W.partitionBy(*g, up).orderBy(block).rowsBetween(_START, -1)
+    local = tagged.select(*g, up, block, *[_local(h, F.col(c)).over(inside).alias(c) for c, h in hows.items()])
+    parents = tagged.groupBy(*g, up).agg(
         *[
             (F.max_by(c, F.when(F.col(c).isNotNull(), F.col(block))) if h == "last" else _local(h, F.col(c))).alias(c)
             for c, h in hows.items()
         ]
     )
-    across = W.partitionBy(*g).orderBy("_p").rowsBetween(_START, -1)
-    parents = parents.select(
-        *g, "_p", *[_local(h, F.col(c)).over(across).alias("_up_" + c) for c, h in hows.items()]
-    )
-    return local.join(parents, [*g, "_p"]).select(
+    above = _before(parents, g, up, hows, width - LEVEL_BITS)
+    above = above.withColumnsRenamed({c: f"_up_{c}" for c in hows})
+    return local.join(above, [*g, up]).select(
         *g, block, *[_join(h, F.col("_up_" + c), F.col(c)).alias(c) for c, h in hows.items()]
     )
 
@@ -73,9 +85,9 @@ def positional_index(
     with the block offsets share that exchange.
     """
     g = list(group)
-    tagged = df.withColumn("_b", F.shiftright(F.col(key), bits))
+    tagged = df.withColumn("_b", F.shiftright(known_key(F.col(key)), bits))
     counts = tagged.groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = _before(counts, g, "_b", {"_n": "sum"})
+    offsets = _before(counts, g, "_b", {"_n": "sum"}, WIDTH - bits)
     here = W.partitionBy(*g, "_b").orderBy(key, *tie)
     return (
         tagged.withColumn("_r", F.row_number().over(here))
@@ -85,32 +97,41 @@ def positional_index(
     )
 
 
-def key_at_rank(df: DataFrame, key: str, rank) -> DataFrame:
-    """The key (one row, or none) that has `rank` smaller keys; keys are unique.
+def key_at_rank(df: DataFrame, key: str, rank, tie: Sequence[str] = ()) -> DataFrame:
+    """The place (one row, or none) that has `rank` rows before it: the key, or with ties the
+    struct of key and ties.
 
-    Reads only the key column: block counts find the block, and only that block is ordered.
-    Cutting a table at a rank this way is a plain filter on the key, so the wide rows are
-    neither sorted nor moved. `rank` is a number or a scalar column.
+    Reads only these columns: block counts find the block, and only that block is ordered.
+    Cutting a table at a rank this way is a plain filter, so the wide rows are neither sorted nor
+    moved. `rank` is a number or a scalar column. A null key stops the job, and so does a cut
+    that would fall between rows equal in key and ties.
     """
-    keys = df.select(F.col(key).alias("_k"), F.shiftright(F.col(key), KEY_BITS).alias("_b"))
+    place = F.struct(key, *tie) if tie else F.col(key)
+    keys = df.select(place.alias("_k"), F.shiftright(known_key(F.col(key)), KEY_BITS).alias("_b"))
     counts = keys.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    ends = counts.join(_before(counts, (), "_b", {"_n": "sum"}).withColumnRenamed("_n", "_o"), "_b")
+    ends = counts.join(_before(counts, (), "_b", {"_n": "sum"}, WIDTH - KEY_BITS).withColumnRenamed("_n", "_o"), "_b")
     rank = rank if isinstance(rank, Column) else F.lit(rank)
-    hit = ends.withColumn("_rank", rank).where("_o <= _rank and _rank < _o + _n").select("_b", "_o", "_rank")
-    # `hit` is one row and selects at most 2**KEY_BITS keys.
+    hit = ends.withColumn("_rank", rank).where("_o <= _rank and _rank < _o + _n")
+    hit = hit.select("_b", "_o", "_rank")
+    # `hit` is one row and selects the rows of at most 2**KEY_BITS keys.
     here = W.partitionBy("_b").orderBy("_k")
-    return (
-        keys.join(F.broadcast(hit), "_b")
-        .withColumn("_i", F.col("_o") + F.row_number().over(here) - 1)
-        .where("_i = _rank")
-        .select(F.col("_k").alias(key))
+    at = keys.join(F.broadcast(hit), "_b").select(
+        "_k", "_rank", (F.col("_o") + F.row_number().over(here) - 1).alias("_i"), (F.col("_o") + F.rank().over(here) - 1).alias("_first")
     )
+    told = F.raise_error(F.lit("rows at the cut share their order key")).cast("boolean")
+    unique = F.when(F.col("_first") < F.col("_rank"), told).otherwise(F.lit(True))
+    return at.where("_i = _rank").where(unique).select(F.col("_k").alias(key))
+
+
+def before(df: DataFrame, key: str, rank, tie: Sequence[str] = ()) -> Column:
+    """True for the first `rank` rows in the order (key, *tie)."""
+    cut = key_at_rank(df, key, rank, tie).scalar()
+    return cut.isNull() | ((F.struct(key, *tie) if tie else F.col(key)) < cut)
 
 
-def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The first `n` rows in key order, as a filter on the key."""
-    bound = key_at_rank(df, key, n).scalar()
-    return df.where(bound.isNull() | (F.col(key) < bound))
+def first_rows(df: DataFrame, key: str, n: int, tie: Sequence[str] = ()) -> DataFrame:
+    """The first `n` rows in the order (key, *tie), as a filter."""
+    return df.where(before(df, key, n, tie))
 
 
 def running(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import tokens
 from wordloom.operators.encode import add_ids, fitted
-from wordloom.operators.order import key_at_rank, positional_index
+from wordloom.operators.order import before, positional_index
 from wordloom.params import EOS_ID, PAD_ID, SOS_ID, Encoding
 
 
@@ -31,6 +33,13 @@ def window_starts(n: Column, length: int) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(length))).otherwise(F.array().cast("array<int>"))
 
 
+def window_keys(texts: DataFrame, enc: Encoding, length: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, start) of every sliding window. Needs token counts only: no vocabulary, no ids."""
+    n = texts.select(key, F.size(tokens(F.col(text), enc)).alias("_n"))
+    starts = n.select(key, F.explode_outer(window_starts(F.col("_n"), length)).alias("start"))
+    return starts.where("start is not null")
+
+
 def sliding_windows(texts: DataFrame, vocab: DataFrame, enc: Encoding, length: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, start, src, tgt): neighbouring stretches of `length` ids, one window per `length`."""
     toks = texts.select(key, tokens(F.col(text), enc).alias("_t"))
@@ -85,14 +94,13 @@ def split_rank(n: Column, val_split: float) -> Column:
     return F.floor(n.cast("double") * (F.lit(1.0) - F.lit(val_split))).cast("long")
 
 
-def train_val_split(df: DataFrame, key: str, val_split: float, out: str = "split") -> DataFrame:
-    """Mark the leading rows in key order `train`, the rest `val`; nothing is shuffled.
+def train_val_split(df: DataFrame, key: str, val_split: float, out: str = "split", tie: Sequence[str] = ()) -> DataFrame:
+    """Mark the leading rows in the order (key, *tie) `train`, the rest `val`; nothing is shuffled.
 
-    The cut is the key at one rank, so the table itself is only filtered or projected.
+    The cut is one place in the order, so the table itself is only filtered or projected.
     """
     n = df.agg(F.count(F.lit(1)).alias("n")).select(split_rank(F.col("n"), val_split)).scalar()
-    cut = key_at_rank(df, key, n).scalar()
-    return df.withColumn(out, F.when(cut.isNull() | (F.col(key) < cut), "train").otherwise("val"))
+    return df.withColumn(out, F.when(before(df, key, n, tie), "train").otherwise("val"))
 
 
 def batched(df: DataFrame, batch: int, key: str, tie=(), bits: int = 16) -> DataFrame:
