@@ -80,7 +80,7 @@ def test_encode_lengths(spark):
 
 
 @pytest.mark.parametrize("limit", [0, 1, 7, 50])
-def test_large_vocabulary_path_is_equal(spark, limit, monkeypatch):
+def test_head_size_does_not_change_results(spark, limit):
     rnd = random.Random(limit)
     pool = [f"w{i}" for i in range(60)]
     texts = [" ".join(rnd.choices(pool, k=rnd.randint(0, 40))) for _ in range(30)] + ["", "w0 " * 300]
@@ -93,8 +93,15 @@ def test_large_vocabulary_path_is_equal(spark, limit, monkeypatch):
         a = {r.doc_id: r.text for r in en.decode(small, v, skip=skip).collect()}
         b = {r.doc_id: r.text for r in en.decode(small, v, skip=skip, limit=limit).collect()}
         assert a == b
-    monkeypatch.setattr(en, "LITERAL_LIMIT", 0)
-    assert {r.doc_id: r.text for r in en.decode(small, v, skip=()).collect()} == a
+
+
+@pytest.mark.parametrize("limit", [0, 3, 100])
+def test_decode_looks_ids_up(spark, limit):
+    """Sparse ids, ids without a word, and a token that holds a line end."""
+    known = {0: "<PAD>", 1: "<UNK>", 2: "<SOS>", 3: "<EOS>", 4: "a", 7: "b\nx", 9: "c"}
+    v = spark.createDataFrame([(i, t, 1, i < 4) for i, t in known.items()], "id int, token string, n long, is_special boolean")
+    df = spark.createDataFrame([(0, [4, 7, 9, 5, -1])], "doc_id long, ids array<int>")
+    assert en.decode(df, v, limit=limit).first().text == "a b\nx c <UNK> <UNK>"
 
 
 def test_decode(spark):

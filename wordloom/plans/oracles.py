@@ -171,8 +171,8 @@ norm AS (SELECT ex_id, CASE WHEN coalesce(input, '') <> '' THEN regexp_replace(i
   ELSE instruction END AS prompt, output AS response FROM ins WHERE output <> '' AND instruction <> '')"""
 
 ORACLES = {
-    "scan_text_capped": f"SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT {PLAN.article_rows}",
-    "scan_examples_capped": f"WITH {TURNS} SELECT ex_id, 'text' AS kind, text FROM (SELECT * FROM turns ORDER BY ex_id LIMIT {PLAN.rows}) WHERE text <> ''",
+    "scan_text": "SELECT doc_id, text FROM documents",
+    "scan_examples": f"WITH {TURNS} SELECT ex_id, 'text' AS kind, text FROM turns WHERE text <> ''",
     "detect_shape": f"""WITH {PAIRS}, j AS (SELECT ex_id, CASE (ex_id + conv_id) % 6
       WHEN 0 THEN json_object('messages', [prompt], 'text', response) WHEN 1 THEN json_object('instruction', prompt, 'output', response)
       WHEN 2 THEN json_object('prompt', prompt, 'chosen', response) WHEN 3 THEN json_object('question', prompt, 'gold', response)
@@ -224,7 +224,7 @@ ORACLES = {
       SELECT tokens, unknown, round(r, 6) AS unk_rate, CASE WHEN r > 0.10::DOUBLE THEN 'high' WHEN r > 0.05::DOUBLE THEN 'moderate' ELSE 'ok' END AS health FROM g""",
     "unk_words": f"{UNKNOWN} SELECT token, n FROM un",
     "top_unknown": f"{UNKNOWN} SELECT token, n FROM un ORDER BY n DESC, first LIMIT 10",
-    "roundtrip_losses": f"""{DOC_ENC}, inv AS (SELECT DISTINCT k, token FROM coded WHERE id > 1), back AS (SELECT DISTINCT k, token FROM coded WHERE id > 1 AND pos < {L - 1})
+    "roundtrip_losses": f"""{DOC_ENC}, inv AS (SELECT DISTINCT k, token FROM coded WHERE id > 1), back AS (SELECT DISTINCT k, token FROM coded WHERE id > 1)
       SELECT k AS doc_id, token FROM inv ANTI JOIN back USING (k, token)""",
     "pair_samples": f"{PAIR_IDS} SELECT ex_id, {show('src')} AS src, {show('tgt')} AS tgt FROM p",
     "encode_prompts": f"""{PAIR_IDS} SELECT pairs.ex_id, {show(fit("coalesce(sc.ids, []::BIGINT[])", L))} AS ids

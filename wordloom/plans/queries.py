@@ -18,7 +18,7 @@ from wordloom.operators import samples as sa
 from wordloom.operators import tuner as tu
 from wordloom.operators import vectors as ve
 from wordloom.operators import vocab as vo
-from wordloom.operators.order import asof_backward, first_rows
+from wordloom.operators.order import asof_backward
 from wordloom.params import CONVERSATIONAL, DEFAULT, TECHNICAL, TrainingPlan
 from wordloom.plans import standins as st
 from wordloom.session import checkpoint, scratch_path
@@ -60,13 +60,12 @@ def out(df: DataFrame, *cols: str, digits: int = DIGITS) -> DataFrame:
 # ── sources ──────────────────────────────────────────────────────────────────────────────
 
 
-def scan_text_capped(spark, sf):
-    return tx.read_texts(spark, f"{sf}/documents.parquet", PLAN.article_rows)
+def scan_text(spark, sf):
+    return tx.read_texts(spark, f"{sf}/documents.parquet")
 
 
-def scan_examples_capped(spark, sf):
-    rows = first_rows(st.turns(spark, sf).select("ex_id", "text"), "ex_id", PLAN.rows)
-    return tx.normalize(rows).select("ex_id", "kind", "text")
+def scan_examples(spark, sf):
+    return tx.normalize(st.turns(spark, sf).select("ex_id", "text")).select("ex_id", "kind", "text")
 
 
 def detect_shape(spark, sf):
@@ -270,7 +269,7 @@ def top_unknown(spark, sf):
 
 
 def roundtrip_losses(spark, sf):
-    return en.roundtrip_losses(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT, L)
+    return en.roundtrip_losses(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT)
 
 
 # ── samples ──────────────────────────────────────────────────────────────────────────────
@@ -308,20 +307,24 @@ def pad_masks(spark, sf):
 
 
 def sample_counts(spark, sf):
-    return sa.sample_counts(_windows(spark, sf), "doc_id")
+    return sa.sample_counts(_window_keys(spark, sf), "doc_id")
 
 
 def step_budget(spark, sf):
-    return sa.step_budget(_windows(spark, sf).select("doc_id"), PLAN.batch_size, PLAN.epochs)
+    return sa.step_budget(_window_keys(spark, sf), PLAN.batch_size, PLAN.epochs)
 
 
 def train_val_split(spark, sf):
     return sa.train_val_split(st.documents(spark, sf).select("doc_id"), "doc_id", PLAN.val_split)
 
 
+def _window_keys(spark, sf):
+    return sa.window_keys(st.documents(spark, sf), DEFAULT, W)
+
+
 def _stored_keys(spark, sf):
-    """Batches are cut from stored samples: encoding runs once, counting and numbering read."""
-    return checkpoint(_windows(spark, sf).select("doc_id", "start"))
+    """Window keys, stored: tokenising runs once, counting and numbering read."""
+    return checkpoint(_window_keys(spark, sf))
 
 
 def batches(spark, sf):
@@ -539,7 +542,9 @@ def stream_scan(spark, sf):
 
 def stream_encode(spark, sf):
     docs = ss.scan(spark, f"{sf}/documents.parque[t]", _DOCS)
-    return out(_appended(spark, sc.encoded(docs, st.stored_vocab(spark, sf), DEFAULT, L), "encoded"))
+    path, mark = scratch_path(spark, "encoded"), scratch_path(spark, "encoded-checkpoint")
+    sc.write_encoded(docs, st.stored_vocab(spark, sf), DEFAULT, path, mark, L)
+    return out(spark.read.schema("doc_id long, ids array<int>").parquet(path), "doc_id", "ids")
 
 
 def stream_unk(spark, sf):
@@ -566,8 +571,8 @@ def stream_health(spark, sf):
 
 QUERIES = {
     "vocab_ids": vocab_ids,
-    "scan_text_capped": scan_text_capped,
-    "scan_examples_capped": scan_examples_capped,
+    "scan_text": scan_text,
+    "scan_examples": scan_examples,
     "detect_shape": detect_shape,
     "normalize_messages": normalize_messages,
     "normalize_instruction": normalize_instruction,

@@ -21,20 +21,16 @@ SHAPES = ("messages", "instruction", "preference", "qa", "text", "fallback")
 ANSWERS = ("prediction", "answer", "extracted_answer", "gold")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash rows over all cores when the scan has fewer splits than there are cores.
+def read_texts(spark, path: str, n: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, text) of a Parquet corpus, optionally its first `n` rows; other columns are not read.
 
-    A small file of few row groups would be tokenised by one or two tasks. A large corpus has
-    many splits and is left where it is: no shuffle.
+    A session may ask for its scans to be dealt out (`wordloom.scan.partitions`), as one on a
+    single machine does whose small files have one row group; unset, texts are not moved.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-def read_texts(spark, path: str, n: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text) of a Parquet corpus, optionally its first `n` rows; other columns are not read."""
     df = spark.read.parquet(path).select(key, text)
-    return spread(df if n is None else first_rows(df, key, n), key)
+    df = df if n is None else first_rows(df, key, n)
+    dealt = spark.conf.get("wordloom.scan.partitions", None)
+    return df.repartition(int(dealt), key) if dealt else df
 
 
 def read_rows(spark, path: str, fmt: str = "parquet", n: int | None = None, key: str = "ex_id", schema=None) -> DataFrame:

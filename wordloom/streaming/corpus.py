@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.operators.encode import encode, unknown_rates
+from wordloom.operators.encode import HEAD, encode, unknown_rates
 from wordloom.params import Encoding
 
 
-def encoded(stream: DataFrame, vocab: DataFrame, enc: Encoding, length: int | None = None) -> DataFrame:
-    """Encode arriving texts. Needs no state: the vocabulary must fit the dictionary limit."""
-    return encode(stream, vocab, enc, length)
+def write_encoded(
+    stream: DataFrame, vocab: DataFrame, enc: Encoding, path: str, checkpoint: str, length: int | None = None, limit: int = HEAD
+) -> None:
+    """Encode what has arrived and append it to `path`, micro-batch by micro-batch.
+
+    Needs no state and takes a vocabulary of any size: each batch goes through the same code as a
+    table. A batch that is run again after a failure replaces its own folder.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        encode(batch, vocab, enc, length, limit=limit).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
 
 
 def unknown_totals(stream: DataFrame, vocab: DataFrame, enc: Encoding) -> DataFrame:
