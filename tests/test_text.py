@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as hs
 from pyspark.sql import functions as F
 
-from wordloom.functions.text import accent_tables, portable, strip_accents, strip_accents_exact, tokens, trimmed
+from wordloom.functions.text import accent_tables, expanding_letters, portable, strip_accents, tokens, trimmed
 from wordloom.params import CONVERSATIONAL, DEFAULT, TECHNICAL, Encoding, get_encoding, list_encodings, register_encoding
 
 # Adversarial texts.
@@ -37,15 +37,15 @@ def plain(text, enc):
     return [p for p in pieces if p in enc.keep_punctuation or re.fullmatch(r"[\w\-]+", p)]
 
 
-def run(spark, texts, enc, exact=False):
+def run(spark, texts, enc):
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
-    got = rows.select("i", tokens(F.col("text"), enc, exact).alias("t")).collect()
+    got = rows.select("i", tokens(F.col("text"), enc).alias("t")).collect()
     return [r["t"] for r in sorted(got)]
 
 
 @pytest.mark.parametrize("enc", [DEFAULT, CONVERSATIONAL, TECHNICAL.updated(strip_accents=False), TECHNICAL])
 def test_edge_texts(spark, enc):
-    assert run(spark, EDGE, enc, exact=enc.strip_accents) == [plain(t, enc) for t in EDGE]
+    assert run(spark, EDGE, enc) == [plain(t, enc) for t in EDGE]
 
 
 def test_known_losses(spark):
@@ -69,13 +69,19 @@ def test_random_texts(spark, texts):
 def test_accents(spark):
     source, target = accent_tables()
     assert len(source) == len(target) > 1000
-    text = "\xc9\xe0 한 ṩ"
-    row = spark.createDataFrame([(text,)], "t string").select(
-        strip_accents(F.col("t")).alias("a"), strip_accents_exact(F.col("t")).alias("b"), trimmed(F.lit("\xa0 x \n")).alias("c")
-    ).first()
-    assert row["a"] == "Ea 한 s"
-    assert row["b"] == "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn")
-    assert row["c"] == "x"
+    assert len(expanding_letters()) > 40
+    texts = ["\xc9\xe0 \ud55c\uad6d \u1e69", "".join(expanding_letters()), "\uac00\ud7a3 plain", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = {r.i: r for r in df.select("i", strip_accents(F.col("t")).alias("a"), trimmed(F.lit("\xa0 x \n")).alias("c")).collect()}
+    for i, t in enumerate(texts):
+        want = None if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn")
+        assert rows[i]["a"] == want
+    assert rows[0]["c"] == "x"
+
+
+def test_technical_preset_decomposes(spark):
+    text = "\ud55c\uad6d Stra\xdfe caf\xe9 " + " ".join(expanding_letters())
+    assert run(spark, [text], TECHNICAL) == [plain(text, TECHNICAL)]
 
 
 def test_portable():

@@ -5,10 +5,8 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from wordloom.params import Encoding
 
@@ -63,22 +61,55 @@ def accent_tables() -> tuple[str, str]:
     return "".join(source), "".join(target)
 
 
-def strip_accents(text: Column) -> Column:
-    """Base letters only: translate composed letters, then drop loose marks."""
-    source, target = accent_tables()
-    return F.regexp_replace(F.translate(text, source, target), r"\p{Mn}", "")
+# Hangul syllables are computed from their three parts.
+_HANGUL = ("\uac00", "\ud7a3")
+_LEAD = "".join(map(chr, range(0x1100, 0x1113)))
+_VOWEL = "".join(map(chr, range(0x1161, 0x1176)))
+_TAIL = "".join(map(chr, range(0x11A8, 0x11C3)))
+
+
+@lru_cache(maxsize=1)
+def expanding_letters() -> dict[str, str]:
+    """Letters other than Hangul whose decomposition has several base letters."""
+    made = {}
+    for code in range(0x80, 0x30000):
+        ch = chr(code)
+        if 0xD800 <= code <= 0xDFFF or _HANGUL[0] <= ch <= _HANGUL[1]:
+            continue
+        base = "".join(c for c in unicodedata.normalize("NFD", ch) if unicodedata.category(c) != "Mn")
+        if len(base) > 1:
+            made[ch] = base
+    return made
+
 
+def _expanded(text: Column) -> Column:
+    """Letters that decompose into several, written out; the others as they are."""
+    table = F.create_map(*[F.lit(x) for pair in expanding_letters().items() for x in pair])
 
-@F.arrow_udf(StringType())
-def strip_accents_exact(text: pa.Array) -> pa.Array:
-    """As `strip_accents`, also for scripts whose letters expand to several (Hangul)."""
+    def letter(c: Column) -> Column:
+        at = F.ascii(c) - ord(_HANGUL[0])
+        part = lambda letters, i: F.substring(F.lit(letters), i.cast("int"), F.lit(1))
+        tail = at % 28
+        syllable = F.concat(
+            part(_LEAD, F.floor(at / 588) + 1),
+            part(_VOWEL, F.floor((at % 588) / 28) + 1),
+            F.when(tail > 0, part(_TAIL, tail)).otherwise(""),
+        )
+        return F.when(c.between(*_HANGUL), syllable).otherwise(F.coalesce(F.try_element_at(table, c), c))
 
-    def one(s):
-        if s is None:
-            return None
-        return "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) != "Mn")
+    return F.array_join(F.transform(F.split(text, ""), letter), "")
 
-    return pa.array([one(s) for s in text.to_pylist()], pa.string())
+
+def strip_accents(text: Column) -> Column:
+    """Base letters only, as canonical decomposition without its marks leaves them.
+
+    Composed letters are translated; the rare texts with letters that expand to several, such as
+    Hangul, are written out letter by letter first; loose marks go.
+    """
+    source, target = accent_tables()
+    rare = "[" + "-".join(_HANGUL) + "".join(expanding_letters()) + "]"
+    whole = F.when(text.rlike(rare), _expanded(text)).otherwise(text)
+    return F.regexp_replace(F.translate(whole, source, target), r"\p{Mn}", "")
 
 
 def trimmed(text: Column) -> Column:
@@ -97,7 +128,7 @@ def _escape(chars) -> str:
     return "".join("\\" + c for c in chars)
 
 
-def tokens(text: Column, enc: Encoding, exact_accents: bool = False) -> Column:
+def tokens(text: Column, enc: Encoding) -> Column:
     """The tokens of a text as ARRAY<STRING>.
 
     The encoding is always passed explicitly: training and annotation jobs that want the
@@ -105,7 +136,7 @@ def tokens(text: Column, enc: Encoding, exact_accents: bool = False) -> Column:
     """
     t = text
     if enc.strip_accents:
-        t = strip_accents_exact(t) if exact_accents else strip_accents(t)
+        t = strip_accents(t)
     if enc.lowercase:
         t = F.lower(t)
     if _is_simple(enc):

@@ -25,8 +25,8 @@ class Encoding:
     keep_punctuation: tuple = (".", ",", "!", "?", ";", ":")
     strip_accents: bool = False
     unk_threshold: float = 0.15
-    dataset_source: str = "claude-opus"
-    dataset_name: str = "math-extraction-comp/deepseek-ai__deepseek-llm-67b-chat"
+    dataset_source: str | None = None
+    dataset_name: str | None = None
     dataset_rows: int = 52000
     seq_length: int = 512
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +25,7 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "12g") ->
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    spark.conf.set("wordloom.scan.partitions", cores if cores.isdigit() else "8")
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -30,18 +33,38 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "12g") ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    The cluster names it in `spark.checkpoint.dir`. Only when that is unset (tests on one
-    machine) a temporary folder is created and remembered in the session.
+    The cluster names it in `spark.checkpoint.dir`. Only a session on one machine may go without:
+    a temporary folder is created and remembered then. On a cluster that would scatter files over
+    machine-local disks, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("wordloom.scratch.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share ({master})")
         root = tempfile.mkdtemp(prefix="wordloom-")
         spark.conf.set("wordloom.scratch.dir", root)
     return root
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session, wherever they run."""
+    if spark.conf.get("wordloom.shipped", None):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="wordloom-package-"), f"wordloom-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)  # the driver serves it to every executor
+    spark.conf.set("wordloom.shipped", "true")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, never reused by another run."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
