@@ -147,6 +147,9 @@ def test_tuner_reports(spark, checked):
         assert table[run].adjustments == len(rows)
         assert tuple(table[run][s] for s in tu.SETTINGS) == tuple(rows[-1][s] for s in tu.SETTINGS)
     assert table[3].adjustments == 0 and table[3].scale == 1.0 and table[3].steps == 25
+    assert table[3].health == "warmup"
+    last = {r.run_id: r.health for r in ro.health_status(checked).collect() if r.step == table[r.run_id].steps}
+    assert {run: r.health for run, r in table.items()} == last
     counts = {(r.run_id, r.reason): r.n for r in tu.reason_counts(replayed).collect()}
     assert sum(counts.values()) == sum(len(r.reasons) for r in done)
     lr = tu.effective_lr(checked.select("run_id", "step", F.lit(2.0).alias("lr")), replayed)

@@ -243,26 +243,30 @@ def rolling_diagnostics(steps: DataFrame) -> DataFrame:
 
 
 def recommendations(steps: DataFrame) -> DataFrame:
-    """(run_id, step, param, action): advice from loss, epoch, attention entropy and memory.
+    """(run_id, step, param, action, reason): advice from loss, epoch, attention entropy and memory.
 
     Expects `current_epoch`, `attn_entropy` and `memory_gb` as known at the step.
     """
 
-    def advice(when, param, action):
-        return F.when(when, F.struct(F.lit(param).alias("param"), F.lit(action).alias("action")))
+    def advice(when, param, action, reason):
+        said = reason if isinstance(reason, Column) else F.lit(reason)
+        return F.when(when, F.struct(F.lit(param).alias("param"), F.lit(action).alias("action"), said.alias("reason")))
 
-    ent = F.coalesce("attn_entropy", F.lit(0.0))
+    def told(text, value, digits):
+        return F.format_string(text.replace("#", f"%.{digits}f"), value)
+
+    ent, memory = F.coalesce("attn_entropy", F.lit(0.0)), F.coalesce("memory_gb", F.lit(0.0))
     # The texts of the advice.
     given = F.array_compact(
         F.array(
-            advice((F.col("loss") > CAPACITY_LOSS) & ~F.isnan("loss") & (F.col("current_epoch") > CAPACITY_EPOCH), "dModel / Heads", "Increase"),
-            advice((ent > 0) & (ent < ENTROPY_LOW), "Heads (h)", "Increase"),
-            advice(_gt(ent, ENTROPY_HIGH), "Layers (N)", "Decrease"),
-            advice(_gt(F.coalesce("memory_gb", F.lit(0.0)), MEMORY_HIGH), "Batch Size / Seq Len", "Decrease"),
+            advice((F.col("loss") > CAPACITY_LOSS) & ~F.isnan("loss") & (F.col("current_epoch") > CAPACITY_EPOCH), "dModel / Heads", "Increase", "High training loss after multiple epochs. Model capacity may be too low."),
+            advice((ent > 0) & (ent < ENTROPY_LOW), "Heads (h)", "Increase", told("Low attention entropy (#). Attention is too focused.", ent, 2)),
+            advice(_gt(ent, ENTROPY_HIGH), "Layers (N)", "Decrease", told("High attention entropy (#). Attention is too diffuse.", ent, 2)),
+            advice(_gt(memory, MEMORY_HIGH), "Batch Size / Seq Len", "Decrease", told("Memory usage is very high (# GB).", memory, 1)),
         )
     )
     rows = steps.where(_warm()).select("run_id", "step", F.explode_outer(given).alias("_a"))
-    return rows.where("_a is not null").select("run_id", "step", "_a.param", "_a.action")
+    return rows.where("_a is not null").select("run_id", "step", "_a.param", "_a.action", "_a.reason")
 
 
 def all_checks(steps: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wordloom.operators.order import running
-from wordloom.operators.rolling import CHECKS, NAN_LIMIT, any_check
+from wordloom.operators.rolling import CHECKS, any_check, health_status
 from wordloom.params import TrainingPlan
 
 COOLDOWN = 200  # fixed value: steps between adjustments
@@ -181,15 +181,7 @@ def reason_counts(replayed: DataFrame) -> DataFrame:
 def summary(checked: DataFrame, replayed: DataFrame) -> DataFrame:
     """One row per run: steps, adjustments, bad losses, final settings and final health."""
     totals = checked.groupBy("run_id").agg(F.max("step").alias("step"), F.max("nan_count").alias("nan_events"))
-    final = settings_at(checked, replayed).select(
-        "run_id",
-        "step",
-        *SETTINGS,
-        F.when((F.col("nan_count") > NAN_LIMIT) | F.col("nan_loss_critical"), "critical")
-        .when(any_check(), "warning")
-        .otherwise("healthy")
-        .alias("health"),
-    )
+    final = health_status(settings_at(checked, replayed)).select("run_id", "step", *SETTINGS, "health")
     counts = adjustments(replayed).groupBy("run_id").agg(F.count(F.lit(1)).alias("adjustments"))
     return (
         totals.join(final, ["run_id", "step"])

@@ -212,6 +212,27 @@ def pca(df: DataFrame, key: str, vec: str, dims: int = 3) -> DataFrame:
     return out.select("id", *[(F.col("p")[d] * signs[d]).alias(f"pc{d + 1}") for d in range(dims)])
 
 
+def moments(df: DataFrame, vec: str) -> DataFrame:
+    """(i, j, mean_i, covariance) for i <= j, 1-based: what the principal axes come from.
+
+    Products are summed inside each task first, so one row per pair and task is shuffled. The
+    mean is taken off before multiplying; it is one vector on the driver.
+    """
+    values = F.col(vec).cast("array<double>")
+    mean = df.select(Summarizer.mean(array_to_vector(values)).alias("m")).first()["m"].toArray()
+    centre = F.array(*[F.lit(float(m)) for m in mean])
+    flat = df.select(F.zip_with(values, centre, lambda x, m: x - m).alias("c"))
+    left = flat.select("c", F.posexplode("c").alias("i", "x"))
+    pairs = left.select("i", "x", F.posexplode(F.slice("c", F.col("i") + 1, F.lit(len(mean)))).alias("d", "y"))
+    made = pairs.groupBy("i", "d").agg(F.sum(F.col("x") * F.col("y")).alias("s"), F.count(F.lit(1)).alias("n"))
+    return made.select(
+        (F.col("i") + 1).cast("long").alias("i"),
+        (F.col("i") + F.col("d") + 1).cast("long").alias("j"),
+        F.get(centre, F.col("i")).alias("mean_i"),
+        (F.col("s") / (F.col("n") - 1)).alias("covariance"),
+    )
+
+
 def minmax_scaled(df: DataFrame, axes: list[str]) -> DataFrame:
     """Scale each axis to [-1, 1]. The bounds are scalar subqueries, not a join."""
     out = df

@@ -226,6 +226,12 @@ ORACLES = {
     "top_unknown": f"{UNKNOWN} SELECT token, n FROM un ORDER BY n DESC, first LIMIT 10",
     "roundtrip_losses": f"""{DOC_ENC}, inv AS (SELECT DISTINCT k, token FROM coded WHERE id > 1), back AS (SELECT DISTINCT k, token FROM coded WHERE id > 1)
       SELECT k AS doc_id, token FROM inv ANTI JOIN back USING (k, token)""",
+    "tokenizer_report": f"""{UNKNOWN}, r AS (SELECT sum(n)::BIGINT AS tokens, sum(n) FILTER (token NOT IN (SELECT token FROM vocab))::BIGINT AS unknown FROM wcc)
+      SELECT '{DEFAULT.name}' AS encoding, {DEFAULT.min_frequency}::BIGINT AS min_frequency, true AS lowercase, 0::BIGINT AS vocab_cap, (SELECT count(*) FROM vocab) AS vocab_size,
+      tokens, unknown, round(unknown / tokens::DOUBLE, 6) AS unk_rate,
+      CASE WHEN unknown / tokens::DOUBLE > 0.10::DOUBLE THEN 'high' WHEN unknown / tokens::DOUBLE > 0.05::DOUBLE THEN 'moderate' ELSE 'ok' END AS health,
+      (SELECT string_agg(token, ' ' ORDER BY n DESC, first) FROM (SELECT * FROM un ORDER BY n DESC, first LIMIT 10)) AS top_unknown FROM r""",
+    "rebuilt_vocabulary": f"WITH {TURNS}, {CONVO}, {VOCAB} SELECT id, token, n FROM vocab",
     "pair_samples": f"{PAIR_IDS} SELECT ex_id, {show('src')} AS src, {show('tgt')} AS tgt FROM p",
     "encode_prompts": f"""{PAIR_IDS} SELECT pairs.ex_id, {show(fit("coalesce(sc.ids, []::BIGINT[])", L))} AS ids
       FROM pairs LEFT JOIN sc ON sc.ex_id = pairs.ex_id AND sc.side = 's'""",
@@ -276,6 +282,10 @@ ORACLES = {
     "knn_cosine": f"WITH {KNN} SELECT id, neighbour, round(sim, 6) AS sim, rank FROM knn",
     "knn_edges": f"""WITH {KNN}, e AS (SELECT least(id, neighbour) AS lo, greatest(id, neighbour) AS hi, min(id) AS src FROM knn GROUP BY ALL)
       SELECT src, CASE WHEN src = lo THEN hi ELSE lo END AS dst FROM e""",
+    "vector_moments": """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1)::BIGINT AS i FROM embeddings)
+      SELECT a.i, b.i AS j, round(avg(a.x), 8) AS mean_i, round(covar_samp(a.x, b.x), 8) AS covariance
+      FROM e a JOIN e b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""",
+    "word_map_scale": "SELECT count(*) AS n, -1.0::DOUBLE AS low, 1.0::DOUBLE AS high FROM embeddings",
     "minmax_scale": """WITH a AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z FROM embeddings),
       b AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, min(z) AS z0, max(z) AS z1 FROM a)
       SELECT vec_id, round((x - x0) / greatest(x1 - x0, 1e-6) * 2 - 1, 4) AS x, round((y - y0) / greatest(y1 - y0, 1e-6) * 2 - 1, 4) AS y,
@@ -305,10 +315,10 @@ ORACLES = {
       SELECT run_id, step, coalesce(step >= 30 AND val_loss > loss * 1.15::DOUBLE AND accuracy > 0.4::DOUBLE, false) AS sft_overfitting FROM f""",
     "recommendations": f"""WITH {STEPS}, {VAL}, k AS (SELECT steps.run_id, steps.step, steps.loss, steps.epoch + 1 AS ep, v.attn_entropy AS ent, v.memory_gb AS mem
       FROM steps ASOF LEFT JOIN val v ON steps.run_id = v.run_id AND steps.step > v.step WHERE steps.step >= 30)
-      SELECT run_id, step, 'dModel / Heads' AS param, 'Increase' AS action FROM k WHERE loss > 4.5 AND ep > 2
-      UNION ALL SELECT run_id, step, 'Heads (h)', 'Increase' FROM k WHERE ent > 0 AND ent < 1.5
-      UNION ALL SELECT run_id, step, 'Layers (N)', 'Decrease' FROM k WHERE ent > 5.0
-      UNION ALL SELECT run_id, step, 'Batch Size / Seq Len', 'Decrease' FROM k WHERE mem > 14.0""",
+      SELECT run_id, step, 'dModel / Heads' AS param, 'Increase' AS action, 'High training loss after multiple epochs. Model capacity may be too low.' AS reason FROM k WHERE loss > 4.5 AND ep > 2
+      UNION ALL SELECT run_id, step, 'Heads (h)', 'Increase', format('Low attention entropy ({{:.2f}}). Attention is too focused.', ent) FROM k WHERE ent > 0 AND ent < 1.5
+      UNION ALL SELECT run_id, step, 'Layers (N)', 'Decrease', format('High attention entropy ({{:.2f}}). Attention is too diffuse.', ent) FROM k WHERE ent > 5.0
+      UNION ALL SELECT run_id, step, 'Batch Size / Seq Len', 'Decrease', format('Memory usage is very high ({{:.1f}} GB).', mem) FROM k WHERE mem > 14.0""",
     "health_status": f"{health(NOISY + ', ' + VAL, KNOWN_VAL)} SELECT run_id, step, health, nan_count FROM h",
     "stream_scan": "SELECT doc_id, text FROM documents",
     "stream_encode": f"{DOC_ENC} SELECT k AS doc_id, {show(fit('list_concat([2], ids, [3])', L))} AS ids FROM enc",

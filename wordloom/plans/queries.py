@@ -20,6 +20,7 @@ from wordloom.operators import vectors as ve
 from wordloom.operators import vocab as vo
 from wordloom.operators.order import asof_backward
 from wordloom.params import CONVERSATIONAL, DEFAULT, TECHNICAL, TrainingPlan
+from wordloom.plans import jobs
 from wordloom.plans import standins as st
 from wordloom.session import checkpoint, scratch_path
 from wordloom.sources import telemetry as te
@@ -272,6 +273,18 @@ def roundtrip_losses(spark, sf):
     return en.roundtrip_losses(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT)
 
 
+def tokenizer_report(spark, sf):
+    report = en.diagnose(st.turns(spark, sf).withColumnRenamed("ex_id", "doc_id"), st.stored_vocab(spark, sf), DEFAULT)
+    return out(report.withColumn("top_unknown", F.array_join("top_unknown", " ")).withColumn("vocab_cap", F.coalesce("vocab_cap", F.lit(0))))
+
+
+def rebuilt_vocabulary(spark, sf):
+    """A stored vocabulary is refreshed with its own settings from the turns of all conversations."""
+    path = scratch_path(spark, "rebuilt")
+    save_vocabulary(st.document_vocab(spark, sf), DEFAULT, path)
+    return out(jobs.rebuild_vocabulary(spark, st.turns(spark, sf).select("ex_id", "text"), path), "id", "token", "n")
+
+
 # ── samples ──────────────────────────────────────────────────────────────────────────────
 
 
@@ -428,6 +441,18 @@ def pca_3d(spark, sf):
     return out(ve.pca(st.table(spark, sf, "embeddings"), "vec_id", "embedding"))
 
 
+def vector_moments(spark, sf):
+    m = ve.moments(st.table(spark, sf, "embeddings"), "embedding")
+    return m.select("i", "j", F.round("mean_i", 8).alias("mean_i"), F.round("covariance", 8).alias("covariance"))
+
+
+def word_map_scale(spark, sf):
+    """The scaled map of all vectors, summed up by the bounds and spread that scaling must give."""
+    coords = ve.minmax_scaled(ve.pca(st.table(spark, sf, "embeddings"), "vec_id", "embedding"), ["pc1", "pc2", "pc3"])
+    low, high = F.least(*[F.min(f"pc{d}") for d in (1, 2, 3)]), F.greatest(*[F.max(f"pc{d}") for d in (1, 2, 3)])
+    return coords.agg(F.count(F.lit(1)).alias("n"), F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
+
+
 def minmax_scale(spark, sf):
     e = st.table(spark, sf, "embeddings")
     axes = e.select("vec_id", *[F.get("embedding", F.lit(d)).cast("double").alias(n) for d, n in enumerate("xyz")])
@@ -604,6 +629,8 @@ QUERIES = {
     "unk_words": unk_words,
     "top_unknown": top_unknown,
     "roundtrip_losses": roundtrip_losses,
+    "tokenizer_report": tokenizer_report,
+    "rebuilt_vocabulary": rebuilt_vocabulary,
     "pair_samples": pair_samples,
     "encode_prompts": encode_prompts,
     "sliding_windows": sliding_windows,
@@ -629,6 +656,8 @@ QUERIES = {
     "knn_cosine": knn_cosine,
     "knn_edges": knn_edges,
     "pca_3d": pca_3d,
+    "vector_moments": vector_moments,
+    "word_map_scale": word_map_scale,
     "minmax_scale": minmax_scale,
     "lr_schedule": lr_schedule,
     "ema_loss": ema_loss,
