@@ -34,8 +34,8 @@ from wordloom.llm.common import stored, table
 
 SPACE = "▁"  # a fixed value: what stands for a space in pieces
 CHUNK = 32_768  # characters
-MEMORY = 300_000  # remembered words, and pairs of pieces, per Python worker
-LONG = 40  # longer words are not remembered
+MEMORY = 300_000  # remembered words per Python worker, and pairs of pieces
+LONG = 40  # longer words are not remembered, and traced through the lattice
 NONE = -np.inf
 
 _WORDS = regex.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -57,31 +57,37 @@ class Pieces:
         self.longest = max(map(len, self.id))
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError(f"{path}: pieces reach across words")
-        self.pairs: dict[tuple[str, str], bool] = {}
+        # Every beginning of a piece, and whether it is one.
+        self.begun = {p[:n]: False for p in self.id for n in range(1, len(p))} | dict.fromkeys(self.id, True)
+        self.pairs: dict[str, bool] = {}
         self.words: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """The encoding of a short text: the best-scored pair merges, the leftmost of equals."""
-        parts, score = list(text), self.score
-        while len(parts) > 1:
-            best, at = NONE, -1
-            for i in range(len(parts) - 1):
-                s = score.get(parts[i] + parts[i + 1], NONE)
-                if s > best:
-                    best, at = s, i
-            if at < 0:
+        parts, score = list(text), self.score.get
+        pairs = [score(a + b, NONE) for a, b in zip(parts, parts[1:])]
+        while pairs:
+            best = max(pairs)
+            if best == NONE:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            i = pairs.index(best)
+            parts[i] += parts.pop(i + 1)
+            pairs.pop(i)
+            if i:
+                pairs[i - 1] = score(parts[i - 1] + parts[i], NONE)
+            if i < len(pairs):
+                pairs[i] = score(parts[i] + parts[i + 1], NONE)
         return parts
 
     def fits(self, left: str, right: str) -> bool:
         """Weight 0 (true) or minus infinity of the arc between two pieces; `left` may be empty."""
-        got = self.pairs.get((left, right))
+        key = f"{left} {right}"  # no piece holds a space
+        got = self.pairs.get(key)
         if got is None:
             got = self.merged(left + right) == ([left, right] if left else [right])
-            if len(self.pairs) >= 4 * MEMORY:
+            if len(self.pairs) >= MEMORY:
                 self.pairs.clear()
-            self.pairs[left, right] = got
+            self.pairs[key] = got
         return got
 
     def known(self, text: str) -> bool:
@@ -90,16 +96,22 @@ class Pieces:
     def reach(self, text: str, lo: int, hi: int, first: str = "", until: int | None = None) -> dict[int, str]:
         """Place -> the piece that ends there, over all places from `lo` to `hi` that paths of
         weight 0 reach from `lo`, where the piece `first` ends. Pieces start before `until`."""
-        until = hi if until is None else until
         last = {lo: first}
-        for p in range(lo + 1, hi + 1):
-            for n in range(max(1, p - until + 1), min(self.longest, p - lo) + 1):
-                left = last.get(p - n)
-                if left is not None:
-                    right = text[p - n : p]
-                    if (n == 1 or right in self.id) and self.fits(left, right):
-                        last[p] = right
-                        break
+        begun, pairs = self.begun.get, self.pairs.get
+        for p in range(lo, hi if until is None else min(hi, until)):
+            left = last.get(p)
+            if left is None:
+                continue
+            for end in range(p + 1, min(hi, p + self.longest) + 1):
+                right = text[p:end]
+                whole = begun(right)  # None: no piece begins like this
+                if whole or end == p + 1:
+                    fit = pairs(f"{left} {right}")
+                    # At most one piece fits at a place.
+                    if self.fits(left, right) if fit is None else fit:
+                        last[end] = right
+                if whole is None:
+                    break
         return last
 
     def trace(self, last: dict[int, str], lo: int, hi: int) -> list[str]:
@@ -123,7 +135,9 @@ class Pieces:
     def word(self, word: str) -> bytes:
         got = self.words.get(word)
         if got is None:
-            got = self.ids(self.trace(self.reach(word, 0, len(word)), 0, len(word)))
+            # A word within a chunk has no unknown state: its merges give the one path directly.
+            # They cost the square of its length, so a long word is traced through the lattice.
+            got = self.ids(self.merged(word) if len(word) <= LONG else self.trace(self.reach(word, 0, len(word)), 0, len(word)))
             if len(self.words) >= MEMORY:
                 self.words.clear()
             if len(word) <= LONG:
@@ -228,8 +242,8 @@ def _small(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                keys, texts = (c.to_pylist() for c in batch.slice(at, 256).select(["k", "t"]).columns)
+            for at in range(0, batch.num_rows, 64):
+                keys, texts = (c.to_pylist() for c in batch.slice(at, 64).select(["k", "t"]).columns)
                 yield _batch(batch.schema.field("k").type, _IDS, [(k, 0, 0, p.run(normalised(t))) for k, t in zip(keys, texts)])
 
     return encode
