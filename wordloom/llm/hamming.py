@@ -77,7 +77,8 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGM
         probes = open_.select("q", "bound", F.posexplode(values).alias("j", "_v"))
         probes = probes.select("q", "bound", "j", F.explode(F.lit(_flips(width, s))).alias("_f"), "_v")
         probes = probes.select("q", "bound", "j", F.col("_v").bitwiseXOR(F.col("_f").cast("long")).alias("v"))
-        met = probes.join(slots, ["j", "v"]).withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))))
+        # Never broadcast: stored queries are small, but their probes grow with the radius.
+        met = probes.join(slots.hint("merge"), ["j", "v"]).withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))))
         # A code is met at this radius by its nearest segment, and counted by the first of those.
         apart = F.array(*[F.bit_count(_segment(F.col("q").bitwiseXOR(F.col("code")), i, segments)) for i in range(segments)])
         nearest = F.array_position(apart, F.array_min(apart)) - 1
