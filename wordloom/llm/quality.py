@@ -173,7 +173,9 @@ def clean_documents(docs: DataFrame, text: str = "text", rules: LineRules = Line
         F.col("_q_left").cast("long").alias("kept_chars"),
         (~failed & (F.col("_q_left") >= rules.keep_share * chars)).alias("kept"),
     )
-    return df.select(F.col("_row").alias("row"), quality.alias("quality"))
+    # A generator ends the plan: a caller's filter on the verdict must not be copied down into the
+    # steps, where it would put whole array expressions in the place of their computed columns.
+    return df.select(F.col("_row").alias("row"), F.explode_outer(F.array(quality)).alias("quality"))
 
 
 def op2_quality_rules(spark, sf: str) -> DataFrame:
