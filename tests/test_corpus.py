@@ -14,7 +14,7 @@ from wordloom.operators import vocab as vo
 from wordloom.params import DEFAULT, TrainingPlan, require_rows
 from wordloom.plans.jobs import build_training_set, rebuild_vocabulary
 from wordloom.plans.standins import documents
-from wordloom.session import scratch_path
+from wordloom.session import checkpoint, scratch_path
 from wordloom.sources import texts as tx
 from wordloom.sources.vocab_store import import_json, load_vocabulary, save_settings, save_vocabulary
 
@@ -288,3 +288,18 @@ def test_pca_and_map(spark):
     assert [r.word for r in rows[:4]] == ["a", "b", "c", "?"] and len(rows) == 20
     assert max(r.x for r in rows) == 1.0 and min(r.z for r in rows) == -1.0
     assert not edges.isEmpty()
+
+
+@pytest.mark.parametrize("limit", [2, 1000])
+def test_stream_takes_any_vocabulary(spark, tmp_path, limit):
+    from wordloom.streaming import corpus as sc
+    from wordloom.streaming import sources as ss
+
+    df = corpus(spark, ["a b c", "", "c c zz", "d a"])
+    v, _ = words(spark, ["a b c d e"])
+    v = checkpoint(v)
+    df.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = ss.scan(spark, str(tmp_path / "in"), "doc_id long, text string")
+    sc.write_encoded(stream, v, ONE, str(tmp_path / "out"), str(tmp_path / "mark"), limit=limit)
+    got = {r.doc_id: r.ids for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {r.doc_id: r.ids for r in en.encode(df, v, ONE).collect()}
