@@ -2,7 +2,7 @@
 
 Rows with equal texts form a group, and a group goes to one shard. Placing is greedy: the largest
 group first, each to the shard where the dot product of its size vector with the residual capacity
-is highest (all three dimensions in shares of a shard).
+is highest (all three dimensions in shares of a shard, bytes weighed most).
 
 * A group of more than `SPLIT` of a shard in any dimension would break the balance. It is dealt
   into slices; there are at most `shards / SPLIT` such groups in each dimension, so they are
@@ -30,20 +30,22 @@ SHARDS = 40
 SPLIT = 1 / 8  # of a shard: larger groups are sliced
 BUCKET = 20_000  # groups per packing task, about
 DIMENSIONS = ("bytes", "tokens", "rows")
+WEIGHTS = (16.0, 1.0, 1.0)  # of the dimensions in the dot product: the law is on bytes
 
 
-def place(sizes: np.ndarray, capacity: np.ndarray) -> np.ndarray:
+def place(sizes: np.ndarray, capacity: np.ndarray, weights=WEIGHTS) -> np.ndarray:
     """The bin of each item: items (n, d) by descending size, bins by residual capacity (b, d).
 
-    Sizes and capacities are shares of a whole shard; ties go to the lowest bin.
+    Sizes and capacities are shares of a whole shard, weighed by dimension; ties go to the
+    lowest bin.
     """
+    weighed = sizes * np.asarray(weights)
     residual = capacity.astype(np.float64).copy()
     bins = np.empty(len(sizes), np.int32)
-    for i in np.argsort(-sizes.sum(1), kind="stable").tolist():
-        item = sizes[i]
-        b = int(np.argmax(residual @ item))
+    for i in np.argsort(-weighed.sum(1), kind="stable").tolist():
+        b = int(np.argmax(residual @ weighed[i]))
         bins[i] = b
-        residual[b] -= item
+        residual[b] -= sizes[i]
     return bins
 
 
