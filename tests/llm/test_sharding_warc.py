@@ -161,3 +161,24 @@ def test_whole_table(spark, sf):
         first.setdefault(pages[i], i)
     got = {r.page_id: tuple(r)[1:] for r in warc.op9_warc(spark, sf).collect()}
     assert got == {i: (len(p), digest(p), "response" if first[p] == i else "revisit", None if first[p] == i else first[p]) for i, p in pages.items()}
+
+
+def test_long_urls(spark, tmp_path):
+    url = "data:text/html," + "aé\x07" * 50_000
+    df = spark.createDataFrame([(1, url, "<p>one</p>"), (2, "http://b", "two\r\n\r\n" + "x" * 100)], "page_id long, url string, html string")
+    warc.write_archives(df, str(tmp_path / "a"))
+    rows = warc.read_archives(spark, str(tmp_path / "a")).collect()
+    assert sorted(r.page_id for r in rows) == [1, 2] and all(r.gap_bytes is None for r in rows)
+    plain = warc.record(1, url, b"one") + warc.record(2, url, b"two")
+    records, gaps = warc.salvage(plain)
+    assert [f["payload"] for _, f in records] == [b"one", b"two"] and not gaps
+    broken = b"WARC/1.1\r\nWARC-Type: response\r\n" + plain
+    records, gaps = warc.salvage(broken)
+    assert [f["payload"] for _, f in records] == [b"one", b"two"] and gaps == [(0, len(broken) - len(plain))]
+
+
+def test_a_gap_in_a_new_archive_stops_op9(spark, sf, monkeypatch):
+    monkeypatch.setattr(warc, "read_archives", lambda spark, path: spark.sql(
+        "select 'f' file, 0L at, 9L gap_bytes, 1L page_id, 0L payload_bytes, '' payload_digest, '' record_type, 1L refers_to"))
+    with pytest.raises(Exception, match="unreadable bytes"):
+        warc.op9_warc(spark, sf).collect()

@@ -77,8 +77,8 @@ def parse(data: bytes, at: int = 0) -> tuple[dict, int] | None:
     """The record at `at` and the offset behind it, or None if any check fails."""
     if data[at : at + len(VERSION)] != VERSION:
         return None
-    end = data.find(b"\r\n\r\n", at, at + 65536)
-    if end < 0:
+    end = data.find(b"\r\n\r\n", at)  # however far: a url has no limit of length
+    if end < 0 or data.find(b"\r\n" + VERSION, at, end) >= 0:
         return None
     fields = {}
     for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
@@ -234,8 +234,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op9_warc(spark, sf: str) -> DataFrame:
-    """Every page written to archives and read back: one row per record."""
+    """Every page written to archives and read back: one row per record; a gap stops the job."""
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf, "pages").select("page_id", "url", "html"), path)
-    back = read_archives(spark, path).where("gap_bytes is null")
+    lost = F.concat(F.lit("unreadable bytes in a new archive: "), F.col("file"), F.lit(" at "), F.col("at"))
+    whole = F.when(F.col("gap_bytes").isNull(), True).otherwise(F.raise_error(lost).cast("boolean"))
+    back = read_archives(spark, path).where(whole)
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
