@@ -1,7 +1,7 @@
 """SimHash near-duplicates through pivot distance tables.
 
-1. Every text becomes one 64-bit fingerprint; equal fingerprints are one row from here on, named
-   by their smallest doc_id.
+1. Every text becomes one 64-bit fingerprint; equal fingerprints are one row from here on. A
+   component is named by its smallest doc_id; one without any doc_id has no name.
 2. Every fingerprint gets a row of the pivot table: its Hamming distances to fixed reference
    fingerprints. By the triangle inequality two fingerprints within `radius` differ by at most
    `radius` in every coordinate, so a larger difference in any one discards the pair.
@@ -201,13 +201,37 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return e.select(F.col("a").alias("v"), F.col("b").alias("component"))
 
 
+def grouped(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """(mark, g, component) of `nodes` (v, k, mark) and the components `found`: the group of each
+    mark and the smallest key in it, null in a group without any key."""
+    joined = nodes.join(found.withColumnRenamed("component", "g"), "v", "left").select("mark", "k", F.coalesce("g", "v").alias("g"))
+    joined = stored(joined, "groups")
+    names = joined.groupBy("g").agg(F.min("k").alias("component"))
+    return joined.join(names, "g").select("mark", "g", "component")
+
+
+def one_of_each(docs: DataFrame, key: str, mark: Column, groups: DataFrame) -> DataFrame:
+    """The rows of `docs` whose key names their group, and one row of each group without any key."""
+    winners = groups.where("component is not null").select(F.col("component").alias("_winner")).distinct()
+    named = docs.join(winners, docs[key] == winners["_winner"], "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    nameless = docs.where(F.col(key).isNull()).select(row, mark.alias("mark")).join(groups.where("component is null"), "mark")
+    nameless = nameless.groupBy("g").agg(F.first("row").alias("row"))
+    return named.unionByName(nameless.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
+
+
+def _groups(prints: DataFrame, radius: int) -> DataFrame:
+    """(mark, g, component) of every fingerprint; a fingerprint is its own vertex, so that one
+    which has null keys only takes part."""
+    nodes = stored(prints.groupBy("fp").agg(F.min("k").alias("k")), "nodes").withColumn("v", F.col("fp"))
+    found = components(links(nodes.select("v", "fp"), radius))
+    return grouped(nodes.select("v", "k", F.col("fp").alias("mark")), found)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(key, fp, component): the fingerprint of each row and the smallest key of its component."""
     prints = stored(docs.select(F.col(key).alias("k"), fingerprints(F.col(text), width).alias("fp")), "prints")
-    # A fingerprint is named by its smallest key; null keys name nothing.
-    nodes = stored(prints.groupBy("fp").agg(F.min("k").alias("v")), "nodes")
-    found = components(links(nodes.where("v is not null"), radius))
-    named = nodes.join(found, "v", "left").select("fp", F.coalesce("component", "v").alias("component"))
+    named = _groups(prints, radius).select(F.col("mark").alias("fp"), "component")
     return prints.join(named, "fp").select(F.col("k").alias(key), "fp", "component")
 
 
@@ -215,11 +239,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     """The rows of `docs` whose key names their component: one row of each group.
 
     Rows that repeat a key are one document and stay together; rows with a null key are judged
-    by their text alone and go if any keyed row carries a linked one.
+    by their text alone and go if any keyed row carries a linked one. One row of a group
+    that has null keys only stays.
     """
-    found = near_duplicates(docs, key, text, width, radius)
-    winners = found.where(F.col(key) == F.col("component")).select(F.col(key).alias("_winner")).distinct()
-    return docs.join(winners, docs[key] == winners["_winner"], "left_semi")
+    prints = stored(docs.select(F.col(key).alias("k"), fingerprints(F.col(text), width).alias("fp")), "prints")
+    return one_of_each(docs, key, fingerprints(F.col(text), width), _groups(prints, radius))
 
 
 def op10_simhash_near_dedup(spark, sf: str) -> DataFrame:
