@@ -118,3 +118,25 @@ def test_table(spark, sf):
 def test_no_python_in_the_plan(spark, sf):
     plan = pii.op7_pii(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_cards_beside_other_numbers(spark):
+    rnd = random.Random(7)
+    c, d = card(rnd), card(rnd)
+    spaced = " ".join(c[i : i + 4] for i in range(0, 16, 4))
+    v = "4111 1111 1111 1111"
+    texts = [
+        f"card {v} 12/25", "qty 12 4111111111111111.", "pay 4111-1111-1111-1111 90 EUR", "no.4111111111111111", f"{c} {d}",
+        f"1 {spaced} 2 {d} 345", f"{v} 2024-01-05", f"{v} 555-234-5678", "3.4111111111111111", "12 34 " * 4000 + c + "﷐",
+        f"﷐7﷯ {v} 12",
+    ]
+    made = exchanged(spark, texts)
+    for i, n in enumerate([1, 1, 1, 1, 2, 2]):
+        assert made[i][1] == ["card"] * n, texts[i]
+        assert re.sub(r"\d", "0", made[i][0]) == re.sub(r"\d", "0", texts[i])
+        assert not any(x in re.sub("[ -]", "", made[i][0]) for x in (c, d, "4111111111111111"))
+    assert made[0][0].endswith(" 12/25") and made[1][0].startswith("qty 12 ") and made[2][0].endswith(" 90 EUR")
+    assert made[6][1] == ["card", "date"] and made[7][1] == ["card", "phone"] and "2024-01-05" not in made[6][0]
+    assert made[8] == (texts[8], [])
+    assert c not in made[9][0] and made[9][0].endswith("﷐") and "card" in made[9][1]
+    assert made[10][1] == ["card"] and made[10][0].startswith("﷐7﷯ ") and v not in made[10][0]

@@ -33,10 +33,15 @@ IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\d+])(?:\+1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4})(?!\d)"
 IBAN = r"\b(?:DE\d\d(?: ?\d){18}|ES\d\d(?: ?\d){20}|BE\d\d(?: ?\d){12}|PT\d\d(?: ?\d){21}|AT\d\d(?: ?\d){16})\b"
-CARD = r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d])"
-# The first format that fits at a place wins.
+# A whole run of digit groups, of any length; the cards are looked for inside.
+CARD = r"(?<!\d)(?<!\d[.+-])(?=\d(?:[ -]?\d){12})\d++(?:[ -]\d++)*+"
 FORMATS = {"email": EMAIL, "access_key": ACCESS_KEY, "assigned": ASSIGNED, "iban": IBAN, "date": DATE, "ip": IP, "ssn": SSN, "phone": PHONE, "card": CARD}
-ANY = "|".join(f"(?:{p})" for p in FORMATS.values())
+# Two passes; in each the first format that fits at a place wins. The second reads what the first
+# left, and the numbers beside a card, with `OPEN index CLOSE` in place of what was exchanged.
+FIRST = {k: FORMATS[k] for k in ("email", "access_key", "assigned", "iban", "card")}
+SECOND = {k: FORMATS[k] for k in ("date", "ip", "ssn", "phone")}
+OPEN = ["\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3", "\ufdd4"]  # noncharacters; the first that a text lacks
+CLOSE = "\ufdef"
 FIRST_DAY, DAYS = "1700-01-01", (773, 189)  # 146,097 days: the 400 years to 2099-12-31
 
 
@@ -124,6 +129,68 @@ def _card(secret: Column, x: Column) -> Column:
     return bind(_digits(x), lambda d: F.when(_luhn(d) % 10 == 0, _refilled(x, made(d))))
 
 
+SPOTS = "array<struct<rank:int,a:int,b:int>>"
+
+
+def _card_spots(x: Column) -> Column:
+    """Where cards stand in a run of digit groups: (rank, first group, last group), in order.
+
+    Every stretch of whole groups with 13 to 19 digits that passes Luhn is a candidate. The whole run
+    comes first, then 16 digits, 15, and the others; of overlapping ones the first stays.
+    """
+
+    def found(g: Column) -> Column:
+        n = F.size(g)
+
+        def at(i: Column) -> Column:
+            ends = F.sequence(i, F.least(i + 18, n - 1))
+            digits = lambda j: F.array_join(F.slice(g, i + 1, j - i + 1), "")
+            fits = lambda j: bind(digits(j), lambda d: F.length(d).between(13, 19) & (_luhn(d) % 10 == 0))
+
+            def spot(j: Column) -> Column:
+                size = F.length(digits(j))
+                whole = (i == 0) & (j == n - 1)
+                rank = F.when(whole, 0).when(size == 16, 1).when(size == 15, 2).otherwise(30 - size)
+                return F.struct(rank.cast("int").alias("rank"), i.cast("int").alias("a"), j.cast("int").alias("b"))
+
+            return F.transform(F.filter(ends, fits), spot)
+
+        every = F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), at)))
+        free = lambda taken, c: ~F.exists(taken, lambda k: (k.a <= c.b) & (c.a <= k.b))
+        kept = F.aggregate(every, F.array().cast(SPOTS), lambda t, c: F.when(free(t, c), F.concat(t, F.array(c))).otherwise(t))
+        return F.array_sort(F.transform(kept, lambda k: F.struct(F.lit(0).alias("rank"), k.a.alias("a"), k.b.alias("b"))))
+
+    return bind(F.split(x, "[ -]"), found)
+
+
+PIECE = "struct<raw:string,kind:string,made:string>"
+
+
+def _piece(raw: Column, kind: Column | None = None, made: Column | None = None) -> Column:
+    return F.struct(raw.alias("raw"), *[(F.lit(None) if c is None else c).cast("string").alias(n) for c, n in ((kind, "kind"), (made, "made"))]).cast(PIECE)
+
+
+def _cards(secret: Column, x: Column) -> Column:
+    """A run of digit groups as pieces: its cards, exchanged, and the numbers beside them."""
+
+    def cut(spots: Column) -> Column:
+        groups = F.split(x, "[ -]")
+        # Offsets in characters; separators are single characters.
+        start = lambda k: F.when(k == 0, 0).otherwise(F.length(F.array_join(F.slice(groups, 1, k), "-")) + 1)
+        end = lambda k: F.length(F.array_join(F.slice(groups, 1, k + 1), "-"))
+        part = lambda lo, hi: F.substring(x, lo + 1, hi - lo)
+
+        def one(k: Column, i: Column) -> Column:
+            before = F.when(i == 0, 0).otherwise(end(F.get(spots, i - 1).b))
+            card = part(start(k.a), end(k.b))
+            return F.array(_piece(part(before, start(k.a))), bind(card, lambda c: _piece(c, F.lit("card"), _card(secret, c))))
+
+        tail = part(end(F.get(spots, F.size(spots) - 1).b), F.length(x))
+        return F.when(F.size(spots) == 0, F.array(_piece(x))).otherwise(F.concat(F.flatten(F.transform(spots, one)), F.array(_piece(tail))))
+
+    return bind(_card_spots(x), cut)
+
+
 def _iban(secret: Column, x: Column) -> Column:
     land = F.substring(x, 1, 2)
     letters = F.concat((F.ascii(F.substring(x, 1, 1)) - 55).cast("string"), (F.ascii(F.substring(x, 2, 1)) - 55).cast("string"))
@@ -210,27 +277,49 @@ def _assigned(secret: Column, x: Column) -> Column:
 MAKERS = {"email": _email, "access_key": _access_key, "assigned": _assigned, "iban": _iban, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
-def _exchange(secret: Column, x: Column) -> Column:
-    """STRUCT(kind, made): the format of a match and its pseudonym; null if its check fails."""
-    chosen = F.lit(None).cast("struct<kind:string,made:string>")
-    for kind, pattern in reversed(FORMATS.items()):
-        made = F.struct(F.lit(kind).alias("kind"), MAKERS[kind](secret, x).alias("made"))
+def _any(formats: dict[str, str]) -> str:
+    return "|".join(f"(?:{p})" for p in formats.values())
+
+
+def _exchange(secret: Column, x: Column, formats: dict[str, str]) -> Column:
+    """A match as a piece: its format and its pseudonym; both null if its check fails."""
+    chosen = _piece(x)
+    for kind, pattern in reversed(formats.items()):
+        made = bind(MAKERS[kind](secret, x), lambda m: F.when(m.isNotNull(), _piece(x, F.lit(kind), m)).otherwise(_piece(x)))  # noqa: B023
         chosen = F.when(x.rlike(f"^(?:{pattern})$"), made).otherwise(chosen)
     return chosen
 
 
+def _woven(gaps: Column, pieces: Column) -> Column:
+    """Gaps and lists of pieces in turn, as one list of pieces."""
+    return F.flatten(F.zip_with(gaps, pieces, lambda g, p: F.concat(F.array(_piece(g)), F.coalesce(p, F.array().cast(f"array<{PIECE}>")))))
+
+
 def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     """(row, pii): the input row as a struct, and STRUCT(text, kinds): the text with pseudonyms
     and the kind of every exchanged value, in order."""
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     t = F.col("row").getField(text)
     secret = F.lit(key)
-    df = df.withColumn("_m", F.regexp_extract_all(t, F.lit(f"({ANY})"), F.lit(1)))
-    df = df.withColumn("_x", F.transform("_m", lambda x: _exchange(secret, x)))
-    fresh = F.zip_with("_m", "_x", lambda m, x: F.coalesce(x.made, m))
-    joined = F.array_join(F.flatten(F.zip_with(F.split(t, ANY), fresh, lambda g, m: F.array(g, F.coalesce(m, F.lit(""))))), "")
+    one = _any(FIRST)
+    run = lambda x: x.rlike(r"^\d[\d -]+$")
+    rest = {k: p for k, p in FIRST.items() if k != "card"}
+    df = df.withColumn("_m", F.regexp_extract_all(t, F.lit(f"({one})"), F.lit(1)))
+    df = df.withColumn("_p", F.transform("_m", lambda x: F.when(run(x), _cards(secret, x)).otherwise(F.array(_exchange(secret, x, rest)))))
+    df = df.withColumn("_p", F.when(F.size("_m") > 0, _woven(F.split(t, one), F.col("_p"))).otherwise(F.array(_piece(t))))
+    opening = F.coalesce(*[F.when(~F.contains(t, F.lit(c)), F.lit(c)) for c in OPEN], F.lit(OPEN[0]))
+    left = lambda p, i: F.when(p.made.isNull(), p.raw).otherwise(F.concat(opening, i.cast("string"), F.lit(CLOSE)))
+    df = df.withColumn("_t", F.when(t.isNull(), t).otherwise(F.array_join(F.transform("_p", left), "")))
+    two = f"[{OPEN[0]}-{OPEN[-1]}]\\d+{CLOSE}|{_any(SECOND)}"
+    df = df.withColumn("_n", F.regexp_extract_all("_t", F.lit(f"({two})"), F.lit(1)))
+    put = lambda x: F.when(
+        (F.substring(x, 1, 1) == opening) & (F.right(x, F.lit(1)) == CLOSE), F.get("_p", F.regexp_extract(x, r"\d+", 0).cast("int"))
+    ).otherwise(_exchange(secret, x, SECOND))
+    df = df.withColumn("_x", F.transform("_n", put))
+    fresh = F.transform("_x", lambda x: F.coalesce(x.made, x.raw))
+    joined = F.array_join(F.flatten(F.zip_with(F.split("_t", two), fresh, lambda g, m: F.array(g, F.coalesce(m, F.lit(""))))), "")
     kinds = F.transform(F.filter("_x", lambda x: x.made.isNotNull()), lambda x: x.kind)
-    out = F.when(t.isNull() | (F.size("_m") == 0), t).otherwise(joined)
+    out = F.when(t.isNull() | (F.size("_n") == 0), t).otherwise(joined)
     return df.select("row", F.struct(out.alias("text"), F.coalesce(kinds, F.array().cast("array<string>")).alias("kinds")).alias("pii"))
 
 
