@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline as cp
 from test_quality import plain
-from test_simhash import by_bits, plain_components
+from test_similar import grams, plain_groups
 from test_tokens import check_packed
 from wordloom.llm import quality, toxicity
 
@@ -55,8 +55,7 @@ def test_rejected_documents_and_lines_go(stages):
 
 
 def test_one_of_each_group_stays(stages):
-    before = rows(stages[2])
-    found = plain_components({i: by_bits(r.text) for i, r in before.items()}, 3)
+    found = plain_groups({i: grams(r.text) for i, r in rows(stages[2]).items()})
     assert set(rows(stages[3])) == {i for i, c in found.items() if i == c}
 
 
@@ -82,7 +81,7 @@ def test_registered():
 
     names = e.queries()
     assert "pipeline" in names and set(QUERIES) <= set(names)
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_stages_take_other_columns_nulls_and_empty_tables(spark, sf):
