@@ -48,9 +48,9 @@ def test_cuts_on_repeated_and_null_keys(spark):
     split = train_val_split(df, "k", 0.4, tie=["t"]).collect()
     assert sorted((r.k, r.t) for r in split if r.split == "train") == [(1, 0), (2, 1), (2, 2)]
     nulls = rows(spark, [(None,), (4,)], "k long")
-    for made in (first_rows(nulls, "k", 1), positional_index(nulls, "k")):
+    for made in (lambda: first_rows(nulls, "k", 1), lambda: positional_index(nulls, "k")):
         with pytest.raises(Exception, match="order key is null"):
-            made.collect()
+            made().collect()
 
 
 @pytest.mark.parametrize("bits", [0, 8])

@@ -61,7 +61,7 @@ def runs():
 def checked(spark, runs):
     data = [(r, *s, s[0] // 200) for r, steps in runs.items() for s in steps]
     df = spark.createDataFrame(data, "run_id long, step long, loss double, grad_norm double, accuracy double, epoch long")
-    return checkpoint(ro.health_status(ro.all_checks(df.repartition(6))))
+    return checkpoint(ro.health_status(ro.all_checks(df.repartition(6), bits=12)))
 
 
 def test_checks_equal_buffers(runs, checked):
@@ -183,6 +183,101 @@ def test_chain_moves_on_at_the_cap():
     assert tu.Tuner(scale=3.0).decide(40, ["loss_plateau"])[1] == {}
 
 
+@pytest.mark.parametrize("bits", [4, 7])
+def test_windows_do_not_depend_on_blocks(spark, runs, bits):
+    """Blocks far shorter than a window, and stretches of blocks without a usable value."""
+    steps = [(1, *x) for x in runs[1][3800:5200]]
+    steps = [(r, i + 1, NAN if i > 200 and i < 700 else x[2], x[3], x[4], 0) for i, x in enumerate(steps) for r in [1]]
+    steps += [(2, *x, 0) for x in runs[2]] + [(3, 1, NAN, NAN, 0.5, 0), (3, 2, None, 1.0, 0.5, 0)]
+    df = spark.createDataFrame(steps, "run_id long, step long, loss double, grad_norm double, accuracy double, epoch long").repartition(5)
+    one, other = (
+        {(r.run_id, r.step): r for r in ro.windows(df, "loss", "grad", "step", bits=b).collect()} for b in (bits, 16)
+    )
+    assert set(one) == set(other) == {(x[0], x[1]) for x in steps}
+    for key, row in one.items():
+        for name, value in row.asDict().items():
+            assert value == other[key][name] or (value != value and other[key][name] != other[key][name]), (key, name)
+    assert one[3, 1].n_loss is None and one[3, 2].nan_count == 1 and one[3, 2].n_grad == 1
+
+
+def test_all_checks_take_few_exchanges(spark, runs):
+    data = [(r, *s, s[0] // 200) for r, steps in runs.items() for s in steps[:300]]
+    path = scratch_path(spark, "plan-steps")
+    schema = "run_id long, step long, loss double, grad_norm double, accuracy double, epoch long"
+    spark.createDataFrame(data, schema).write.parquet(path)
+    df = ro.health_status(ro.all_checks(spark.read.parquet(path)))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = [x.strip(" +-:*()0123456789") for x in final.splitlines()]
+    assert sum(x.startswith("Exchange") for x in lines) <= 4 and sum("ReusedExchange" in x for x in lines) == 1
+    assert sum("FileScan" in x or "Scan parquet" in x for x in lines) == 1
+
+
+def fold(flags):
+    """The log of one run by the plain loop over its flagged steps."""
+    t, out = tu.Tuner(), []
+    for step, fired in flags:
+        found, changes = t.decide(step, fired)
+        out.append((step, found, bool(changes), changes, t.before if changes else {}, *t.settings(), t.count))
+    return out
+
+
+def random_flags(rnd, n, weights):
+    every = []
+    for step in range(1, n + 1):
+        fired = [c for c in tu.CHECKS if rnd.random() < weights.get(c, 0.0)]
+        if fired and step >= 30:
+            every.append((step, fired))
+    return every
+
+
+@pytest.mark.parametrize("bits", [5, 8, 16])
+def test_replay_equals_the_fold(spark, bits):
+    rnd = random.Random(bits)
+    kinds = [
+        {"gradient_vanishing": 1.0},  # always due, until both settings are at their limit
+        {"gradient_vanishing": 0.6, "gradient_explosion": 0.3, "gradient_spike": 0.1, "accuracy_stall": 0.2, "overconfidence_early": 0.3},
+        {"loss_plateau": 0.02, "accuracy_degrading": 0.02, "loss_spike": 0.004, "nan_loss_critical": 0.002, "sft_overfitting": 0.05},
+        {c: 0.3 for c in tu.CHAIN} | {"accuracy_stall": 0.1},
+        {"overconfidence_high_acc": 0.001},
+    ]
+    runs = {i: random_flags(rnd, 3000, k) for i, k in enumerate(kinds)}
+    runs[9] = [(2900, ["loss_plateau"])]
+    data = [(r, s, *[c in fired for c in tu.CHECKS]) for r, flags in runs.items() for s, fired in flags]
+    df = spark.createDataFrame(data, "run_id long, step long, " + ", ".join(f"{c} boolean" for c in tu.CHECKS)).repartition(5)
+    got = {}
+    for r in sorted(tu.replay(df, bits=bits).collect(), key=lambda r: r.step):
+        got.setdefault(r.run_id, []).append((r.step, list(r.reasons), r.adjusted, r.changes, r.before, r.clip, r.scale, r.smoothing, r.dropout, r.adjustments))
+    for run, flags in runs.items():
+        assert got[run] == fold(flags), run
+    assert tu.replay(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bits", [6, 16])
+def test_rounded_average_equals_the_loop(spark, bits):
+    rnd = random.Random(bits)
+    runs = {
+        1: [round(rnd.random() * 9, 3) for _ in range(700)],
+        2: [2.5] * 300 + [2.5001] * 300 + [rnd.random() * 1e-3 for _ in range(100)],  # starts that never meet
+        3: [rnd.gauss(0, 1e6) for _ in range(300)],
+        4: [1.0] * 100 + [INF] + [1.0] * 100 + [-INF, 1.0],
+        5: [1.0] * 130 + [NAN] + [1.0] * 50,
+        6: [0.12345],
+    }
+    data = [(r, i + 1, v) for r, values in runs.items() for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "run_id long, step long, loss double").repartition(4)
+    got = {}
+    for r in sorted(ro.ema(df, digits=4, bits=bits).collect(), key=lambda r: r.step):
+        got.setdefault(r.run_id, []).append(r.ema)
+    for run, values in runs.items():
+        want, e = [], None
+        for v in values:
+            e = round(v if e is None else 0.95 * e + (1 - 0.95) * v, 4)
+            want.append(e)
+        assert str(got[run]) == str(want), run
+    assert ro.ema(df, digits=4).columns == ["run_id", "step", "loss", "ema"]
+
+
 @pytest.mark.parametrize("keep", [0.5, 0.95, 0.999])
 def test_ema_any_length(spark, keep):
     rnd = random.Random(5)
@@ -192,7 +287,7 @@ def test_ema_any_length(spark, keep):
         e = v if e is None else keep * e + (1 - keep) * v
         want.append(e)
     df = spark.createDataFrame([(1, i + 1, v) for i, v in enumerate(values)], "run_id long, step long, loss double")
-    got = [r.ema for r in ro.ema(df.repartition(4), keep=keep).orderBy("step").collect()]
+    got = [r.ema for r in ro.ema(df.repartition(4), keep=keep, bits=8).orderBy("step").collect()]
     assert np.allclose(got, want, rtol=1e-9)
 
 
@@ -200,7 +295,7 @@ def test_ema_keeps_bad_values(spark):
     data = [(1, i, NAN if i == 3 else 1.0) for i in range(1, 20001, 1)]
     data += [(2, i, INF if i == 2 else -INF if i == 5 else 1.0) for i in range(1, 8)]
     df = spark.createDataFrame(data, "run_id long, step long, loss double")
-    got = ro.ema(df)
+    got = ro.ema(df, bits=12)
     assert got.where("run_id = 1 and not isnan(ema)").count() == 2
     two = [r.ema for r in got.where("run_id = 2").orderBy("step").collect()]
     assert two[0] == 1.0 and two[1:4] == [INF] * 3 and all(map(math.isnan, two[4:]))

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wordloom.session import checkpoint
+
 BLOCK_BITS = 12  # 4,096 positions per block of a dense order
 LINK_BITS = 16  # 65,536 positions per block where blocks are linked in order
 KEY_BITS = 16  # at most 65,536 unique keys per block of a sparse order
@@ -44,12 +46,15 @@ def known_key(key: Column) -> Column:
 def _before(blocks: DataFrame, group: Sequence[str], block: str, hows: dict[str, str], width: int = WIDTH) -> DataFrame:
     """For one row per block: each column combined over all earlier blocks of its group.
 
-    Blocks are linked inside parents of 65,536 neighbours, parents inside theirs, and so on, as
-    often as the `width` of block numbers in bits needs. However sparse the keys are, no window
-    task holds more rows than that.
+    Blocks are linked inside parents of 65,536 neighbours, parents inside theirs, and so on, until
+    the blocks of every group fit one window task: known from their count, or from the `width` of
+    block numbers in bits. However sparse the keys are, no task holds more rows than that.
     """
     g = list(group)
-    if width <= LEVEL_BITS:
+    if width > LEVEL_BITS:
+        blocks = checkpoint(blocks)
+        most = blocks.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    if width <= LEVEL_BITS or most <= 1 << LEVEL_BITS:
         here = W.partitionBy(*g).orderBy(block).rowsBetween(_START, -1)
         over = {c: _local(h, F.col(c)).over(here) for c, h in hows.items()}
         return blocks.select(*g, block, *[(F.coalesce(over[c], F.lit(0)) if h == "sum" else over[c]).alias(c) for c, h in hows.items()])
@@ -146,8 +151,8 @@ def running(
 
     `specs` maps an output name to (column, how). `pos` is a dense LONG position (gaps are
     fine, many rows on one position are not). A row sees everything before it, and itself if
-    `inclusive`. One row per block, a 65,536th of the group, is linked in order; the rows
-    themselves move once, on (group, block).
+    `inclusive`. One row per block, a 65,536th of the group, is linked in order, level by level;
+    the rows themselves move once, on (group, block).
     """
     g = list(group)
     ins = {f"_in{i}": (out, how) for i, (out, (_, how)) in enumerate(specs.items())}
@@ -160,8 +165,8 @@ def running(
             for n, (_, h) in ins.items()
         ]
     )
-    link = W.partitionBy(*g).orderBy("_b").rowsBetween(_START, -1)
-    carry = blocks.select(*g, "_b", *[_local(h, F.col(n)).over(link).alias("_c" + n) for n, (_, h) in ins.items()])
+    carry = _before(blocks, g, "_b", {n: h for n, (_, h) in ins.items()}, WIDTH - bits)
+    carry = carry.withColumnsRenamed({n: "_c" + n for n in ins})
     here = W.partitionBy(*g, "_b").orderBy(pos).rowsBetween(_START, 0 if inclusive else -1)
     local = tagged.withColumns({"_l" + n: _local(h, F.col(n)).over(here) for n, (_, h) in ins.items()})
     joined = local.join(carry, [*g, "_b"]).withColumns(
@@ -195,17 +200,12 @@ def rolling(
     lookback: int,
     exprs: Callable[[Callable[[int, int], W]], dict[str, Column]],
     bits: int = BLOCK_BITS,
-    keep: Column | None = None,
-    aside: str | None = None,
 ) -> DataFrame:
     """Fixed row frames over a dense position, for groups of any length.
 
     Each block also gets the last `lookback` rows of the block before it, so a frame reaching
     back up to `lookback` rows is complete inside its block and one long group spreads over
     many tasks. `exprs` receives a frame maker `f(start, end)` and returns the new columns.
-
-    With `keep`, only those rows are framed (`pos` is dense among them). The others stand
-    aside in blocks of the position `aside` and get nulls.
     """
     size = 1 << bits
     if lookback >= size:
@@ -213,46 +213,8 @@ def rolling(
     g = list(group)
     own = F.shiftright(F.col(pos), bits)
     spill = F.col(pos) % size >= size - lookback
-    if keep is not None:
-        own = F.when(keep, own).otherwise(-1 - F.shiftright(F.col(aside), bits))
-        spill = spill & keep
     homes = F.when(spill, F.array(own, own + 1)).otherwise(F.array(own))
     spread = df.withColumn("_home", F.explode_outer(homes))
     part = W.partitionBy(*g, "_home").orderBy(pos)
     made = exprs(lambda start, end: part.rowsBetween(start, end))
-    framed = spread.withColumns(made).where(F.col("_home") == own).drop("_home")
-    if keep is not None:
-        framed = framed.withColumns({n: F.when(keep, F.col(n)) for n in made})
-    return framed
-
-
-def rolling_kept(
-    df: DataFrame,
-    group: Sequence[str],
-    pos: str,
-    lookback: int,
-    metrics: dict[str, tuple[Column, Callable]],
-    then: Callable[[DataFrame], DataFrame] = lambda df: df,
-) -> DataFrame:
-    """Per metric, frames over only the rows it keeps, shown on every row.
-
-    `metrics` maps a name to (keep, exprs); `exprs(frame, order)` gets the frame maker and the
-    name of the 0-based position among the kept rows. A row that is not kept repeats the values
-    of the last kept row before it. `then` may add plain columns in the same pass.
-    """
-    order = {m: f"_k_{m}" for m in metrics}
-    keeps = {m: F.coalesce(k, F.lit(False)) for m, (k, _) in metrics.items()}
-    wide = running(df, group, pos, {order[m]: (keeps[m].cast("long"), "sum") for m in metrics})
-    names: list[str] = []
-    for m, (_, exprs) in metrics.items():
-        wide = wide.withColumn(order[m], F.col(order[m]) - 1)
-
-        def remember(frame, exprs=exprs, m=m):
-            made = exprs(frame, order[m])
-            names.extend(made)
-            return made
-
-        wide = rolling(wide, group, order[m], lookback, remember, keep=keeps[m], aside=pos)
-    wide = then(wide.drop(*order.values()))
-    filled = running(wide, group, pos, {"_f_" + n: (F.col(n), "last") for n in names})
-    return filled.drop(*names).withColumnsRenamed({"_f_" + n: n for n in names})
+    return spread.withColumns(made).where(F.col("_home") == own).drop("_home")

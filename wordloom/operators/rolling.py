@@ -8,14 +8,15 @@ norms skip NaN, accuracies and (accuracy, loss) pairs take every step with a NaN
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wordloom.operators.order import rolling, rolling_kept, running
-
-RUN = ["run_id"]
+from wordloom.operators import blocks
 
 # Window lengths and thresholds of the checks.
 WINDOW = 100
@@ -49,95 +50,177 @@ def _flag(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def _mean(part: Column) -> Column:
-    return F.try_divide(F.aggregate(part, F.lit(0.0), lambda a, x: a + x), F.size(part))
-
+def _numbers(rows: pa.Table, name: str) -> np.ndarray:
+    """A metric as doubles; a null is NaN."""
+    return rows[name].combine_chunks().cast(pa.float64()).to_numpy(zero_copy_only=False).astype(np.float64)
+
+
+def _usable(family: str, rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Which rows a family of windows takes, and its values on them."""
+    if family == "loss":
+        loss = _numbers(rows, "loss")
+        keep = np.isfinite(loss)
+        return keep, [loss[keep]]
+    if family == "grad":
+        grad = _numbers(rows, "grad_norm")
+        keep = ~np.isnan(grad)
+        return keep, [grad[keep]]
+    loss = _numbers(rows, "loss")
+    return np.ones(len(loss), bool), [_numbers(rows, "accuracy"), np.where(np.isnan(loss), 0.0, loss)]
+
+
+class _Frames:
+    """The last 100 values at every place from `first` on, as rows of a view, zeros in front."""
+
+    def __init__(self, values: np.ndarray, first: int):
+        self.values, self.first = values, first
+        self.view = self._view(values, 0.0)
+        self.n = np.minimum(np.arange(first, len(values)) + 1, WINDOW)
+
+    def _view(self, values: np.ndarray, front: float) -> np.ndarray:
+        if not len(values):
+            return np.zeros((0, WINDOW))
+        padded = np.concatenate([np.full(WINDOW - 1, front), values])
+        return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[self.first : len(values)]
+
+    def mean(self, start: int = 1 - WINDOW, end: int = 0) -> np.ma.MaskedArray:
+        """Mean of the values at the offsets start..end; masked where there is none."""
+        n = np.clip(self.n + end, 0, end - start + 1)
+        total = self.view[:, WINDOW - 1 + start : WINDOW + end].sum(axis=1)
+        return np.ma.masked_array(total / np.maximum(n, 1), n == 0)
+
+    def share(self, over, span: int) -> np.ndarray:
+        """Share of the last `span` values that satisfy `over`, which holds for no filler."""
+        seen = self._view(over(self.values).astype(np.float64), 0.0)
+        return seen[:, -span:].sum(axis=1) / np.minimum(self.n, span)
+
+    def extreme(self, reduce, front: float, span: int = WINDOW) -> np.ndarray:
+        return reduce(self._view(self.values, front)[:, -span:], axis=1)
+
+    def short(self, whole: np.ma.MaskedArray, part) -> np.ma.MaskedArray:
+        """`whole`, but `part(values)` where there are fewer than 100: at the first 99 of a run."""
+        for i in np.flatnonzero(self.n < WINDOW).tolist():
+            values = part(self.values[: self.first + i + 1])
+            whole[i] = values.mean() if len(values) else np.ma.masked
+        return whole
+
+    def halves(self) -> tuple[np.ma.MaskedArray, np.ma.MaskedArray]:
+        """Means of the older and newer half; the older one of an odd number is the shorter."""
+        half = WINDOW // 2
+        return (
+            self.short(self.mean(1 - WINDOW, -half), lambda v: v[: len(v) // 2]),
+            self.short(self.mean(1 - half, 0), lambda v: v[len(v) // 2 :]),
+        )
 
-def _halves(frame, value: str, order: str, first: int):
-    """How many of the last 100 values there are, and the means of all, the older and newer half.
 
-    A full window has two fixed frames. A shorter one only occurs among the first 100 values
-    of a run (`order` starts at `first`), so only those are gathered, in one growing frame; its
-    older half is the shorter one.
-    """
-    n = F.least(F.col(order) - first + 1, F.lit(WINDOW)).cast("int")
-    half = F.floor(n / 2).cast("int")
-    young = F.collect_list(F.when(F.col(order) < first + WINDOW, F.col(value))).over(frame(W.unboundedPreceding, 0))
-    old = F.sum(value).over(frame(1 - WINDOW, -WINDOW // 2))
-    new = F.sum(value).over(frame(1 - WINDOW // 2, 0))
-    older = F.when(n == WINDOW, old / (WINDOW // 2)).otherwise(_mean(F.slice(young, F.lit(1), half)))
-    newer = F.when(n == WINDOW, new / (WINDOW // 2)).otherwise(_mean(F.slice(young, half + 1, n - half)))
-    return n, young, (F.coalesce(old, F.lit(0.0)) + new) / n, older, newer
-
-
-def _loss_frames(frame, order):
-    n, young, mean, older, newer = _halves(frame, "loss", order, 0)
-    early = F.when(n == WINDOW, F.avg("loss").over(frame(1 - WINDOW, RISK_EDGE - WINDOW))).otherwise(
-        _mean(F.slice(young, 1, RISK_EDGE))
-    )
+def _loss_frames(f: _Frames) -> dict:
+    older, newer = f.halves()
     return {
-        "n_loss": n,
+        "n_loss": f.n,
         "loss_older": older,
         "loss_newer": newer,
-        "loss_early": early,
-        "loss_late": F.avg("loss").over(frame(1 - RISK_EDGE, 0)),
-        "loss_recent": F.avg("loss").over(frame(1 - RECENT, 0)),
-        "avg_loss": mean,
+        "loss_early": f.short(f.mean(1 - WINDOW, RISK_EDGE - WINDOW), lambda v: v[:RISK_EDGE]),
+        "loss_late": f.mean(1 - RISK_EDGE),
+        "loss_recent": f.mean(1 - RECENT),
+        "avg_loss": f.mean(),
+    }
+
+
+def _grad_frames(f: _Frames) -> dict:
+    return {
+        "n_grad": f.n,
+        "grad_high_share": f.share(lambda g: g > GRAD_HIGH, RECENT),
+        "grad_low_share": f.share(lambda g: g < GRAD_LOW, RECENT),
+        "grad_recent_max": f.extreme(np.max, -math.inf, RECENT),
+        "avg_grad": f.mean(),
+        "max_grad": f.extreme(np.max, -math.inf),
+        "min_grad": f.extreme(np.min, math.inf),
     }
 
 
-def _grad_frames(frame, order):
-    g, recent, full = F.col("grad_norm"), frame(1 - RECENT, 0), frame(1 - WINDOW, 0)
+def _step_frames(accuracy: _Frames, loss: _Frames) -> dict:
+    older, newer = accuracy.halves()
+    before, after = (1 - PAIR_SPAN, -PAIR_SPAN // 2), (1 - PAIR_SPAN // 2, 0)
     return {
-        "n_grad": F.least(F.col(order) + 1, F.lit(WINDOW)).cast("int"),
-        "grad_high_share": F.avg((g > GRAD_HIGH).cast("int")).over(recent),
-        "grad_low_share": F.avg((g < GRAD_LOW).cast("int")).over(recent),
-        "grad_recent_max": F.max("grad_norm").over(recent),
-        "avg_grad": F.avg("grad_norm").over(full),
-        "max_grad": F.max("grad_norm").over(full),
-        "min_grad": F.min("grad_norm").over(full),
+        "n_acc": accuracy.n,
+        "acc_older": older,
+        "acc_newer": newer,
+        "avg_accuracy": accuracy.mean(),
+        "pair_acc_a": accuracy.mean(*before),
+        "pair_acc_b": accuracy.mean(*after),
+        "pair_loss_a": loss.mean(*before),
+        "pair_loss_b": loss.mean(*after),
     }
 
 
-def _metric(name: str):
-    if name == "loss":
-        return _finite(F.col("loss")), _loss_frames
-    return ~F.isnan("grad_norm"), _grad_frames
+_FRAMES = {"loss": _loss_frames, "grad": _grad_frames, "step": _step_frames}
+_LISTS = {"loss": ["_loss"], "grad": ["_grad"], "step": ["_acc", "_pair"]}
+_MADE = {
+    "loss": ["n_loss", "loss_older", "loss_newer", "loss_early", "loss_late", "loss_recent", "avg_loss"],
+    "grad": ["n_grad", "grad_high_share", "grad_low_share", "grad_recent_max", "avg_grad", "max_grad", "min_grad"],
+    "step": ["n_acc", "acc_older", "acc_newer", "avg_accuracy", "pair_acc_a", "pair_acc_b", "pair_loss_a", "pair_loss_b"],
+}
+
 
+def _column(values, shown: np.ndarray, at: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """Values of the usable rows on every row: each repeats the last usable one, null before."""
+    data, hidden = np.ma.getdata(values), np.ma.getmaskarray(values)
+    if not len(data):
+        return pa.nulls(len(shown), kind)
+    at = np.maximum(at, 0)
+    return pa.array(data[at], kind, mask=~shown | hidden[at])
 
-def windows(steps: DataFrame, *kept: str, every_step: bool = False) -> DataFrame:
-    """Add the windows of the named metrics, and those over every step, in one pass."""
-    then = step_windows if every_step else (lambda df: df)
-    return rolling_kept(steps, RUN, "step", WINDOW - 1, {m: _metric(m) for m in kept}, then)
 
+def windows(steps: DataFrame, *families: str, bits: int = blocks.BITS) -> DataFrame:
+    """Add the windows of the named families (`loss`, `grad`, `step`) and `nan_count`, the bad losses
+    so far, in one pass over blocks.
 
-def loss_windows(steps: DataFrame) -> DataFrame:
-    return windows(steps, "loss")
+    What a block needs of the rows before it are the last 100 usable values of each family and the
+    count of bad losses: a summary that two neighbouring blocks merge into one of the same size, so
+    long stretches without usable values cost nothing. Inside a block every window is a row of a
+    strided view, summed on its own: no running sums, whose rounding would drift.
+    """
+    lists = [name for f in families for name in _LISTS[f]]
+    tail = WINDOW
 
+    def summarise(rows: pa.Table) -> dict:
+        out = {"_bad": _bad(rows)}
+        for f in families:
+            for name, values in zip(_LISTS[f], _usable(f, rows)[1]):
+                out[name] = values[-tail:].tolist()
+        return out
 
-def grad_windows(steps: DataFrame) -> DataFrame:
-    return windows(steps, "grad")
+    def link(state: dict | None, own: dict) -> tuple[dict, dict]:
+        before = state or {"_bad": 0} | {name: [] for name in lists}
+        after = {name: (before[name] + own[name])[-tail:] for name in lists}
+        return before, after | {"_bad": before["_bad"] + own["_bad"]}
 
+    def finish(rows: pa.Table, carry: dict) -> pa.Table:
+        bad = carry["_bad"] + np.cumsum(_bad_rows(rows))
+        for f in families:
+            keep, values = _usable(f, rows)
+            known = [np.array(carry[name], np.float64) for name in _LISTS[f]]
+            # A row that is not usable repeats the last usable one, maybe of an earlier block.
+            first = max(0, len(known[0]) - 1)
+            frames = _FRAMES[f](*[_Frames(np.concatenate(pair), first) for pair in zip(known, values)])
+            at = len(known[0]) - 1 - first + np.cumsum(keep)
+            for name in _MADE[f]:
+                kind = pa.int32() if name.startswith("n_") else pa.float64()
+                rows = rows.append_column(name, _column(frames[name], at >= 0, at, kind))
+        return rows.append_column("nan_count", pa.array(bad, pa.int64()))
 
-def step_windows(steps: DataFrame) -> DataFrame:
-    """Frames over every step: accuracy and (accuracy, loss) pairs."""
-    paired = steps.withColumn("_pl", F.when(F.isnan("loss"), 0.0).otherwise(F.col("loss")))
+    fields = ", ".join(["_bad long"] + [f"{name} array<double>" for name in lists])
+    made = ", ".join(f"{n} {'int' if n.startswith('n_') else 'double'}" for f in families for n in _MADE[f])
+    return blocks.scan(steps, "run_id", "step", summarise, link, finish, fields, fields, ", ".join([made, "nan_count long"] if made else ["nan_count long"]), bits)
 
-    def frames(frame):
-        n, _, mean, older, newer = _halves(frame, "accuracy", "step", 1)
-        before, after = frame(1 - PAIR_SPAN, -PAIR_SPAN // 2), frame(1 - PAIR_SPAN // 2, 0)
-        return {
-            "n_acc": n,
-            "acc_older": older,
-            "acc_newer": newer,
-            "avg_accuracy": mean,
-            "pair_acc_a": F.avg("accuracy").over(before),
-            "pair_acc_b": F.avg("accuracy").over(after),
-            "pair_loss_a": F.avg("_pl").over(before),
-            "pair_loss_b": F.avg("_pl").over(after),
-        }
 
-    return rolling(paired, RUN, "step", WINDOW - 1, frames).drop("_pl")
+def _bad_rows(rows: pa.Table) -> np.ndarray:
+    known = ~rows["loss"].combine_chunks().is_null().to_numpy(zero_copy_only=False)
+    return known & ~np.isfinite(_numbers(rows, "loss"))
+
+
+def _bad(rows: pa.Table) -> int:
+    return int(_bad_rows(rows).sum())
 
 
 def _warm() -> Column:
@@ -202,29 +285,28 @@ def overfit_checks() -> dict[str, Column]:
 
 
 def gradient_flags(steps: DataFrame) -> DataFrame:
-    return grad_windows(steps).withColumns(gradient_checks())
+    return windows(steps, "grad").withColumns(gradient_checks())
 
 
 def plateau_flags(steps: DataFrame) -> DataFrame:
-    return loss_windows(steps).withColumns(plateau_checks())
+    return windows(steps, "loss").withColumns(plateau_checks())
 
 
 def spike_flags(steps: DataFrame) -> DataFrame:
-    return loss_windows(steps).withColumns(divergence_checks())
+    return windows(steps, "loss").withColumns(divergence_checks())
 
 
 def accuracy_trend(steps: DataFrame) -> DataFrame:
-    return step_windows(steps).withColumns(accuracy_checks())
+    return windows(steps, "step").withColumns(accuracy_checks())
 
 
 def overconfidence_flags(steps: DataFrame) -> DataFrame:
-    return step_windows(steps).withColumns(overconfidence_checks())
+    return windows(steps, "step").withColumns(overconfidence_checks())
 
 
 def overconfidence_risk(steps: DataFrame) -> DataFrame:
     """Add `risk` in [0, 1]: recent accuracy above one half, times lack of loss progress."""
-    wide = windows(steps, "loss", every_step=True)
-    return wide.withColumn("risk", risk_score())
+    return windows(steps, "loss", "step").withColumn("risk", risk_score())
 
 
 def risk_score() -> Column:
@@ -237,7 +319,7 @@ def risk_score() -> Column:
 
 def rolling_diagnostics(steps: DataFrame) -> DataFrame:
     """Add the means and extremes of the last 100 usable values, 0 while there are none."""
-    wide = windows(steps, "loss", "grad", every_step=True)
+    wide = windows(steps, "loss", "grad", "step")
     cols = ("avg_loss", "avg_grad", "avg_accuracy", "max_grad", "min_grad")
     return wide.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in cols})
 
@@ -269,15 +351,13 @@ def recommendations(steps: DataFrame) -> DataFrame:
     return rows.where("_a is not null").select("run_id", "step", "_a.param", "_a.action", "_a.reason")
 
 
-def all_checks(steps: DataFrame) -> DataFrame:
+def all_checks(steps: DataFrame, bits: int = blocks.BITS) -> DataFrame:
     """Every window and every check on every step, plus the running count of bad losses.
 
     `val_loss` may be absent; then the overfit check never fires.
     """
     base = steps if "val_loss" in steps.columns else steps.withColumn("val_loss", F.lit(None).cast("double"))
-    bad = (~_finite(F.col("loss"))).cast("long")
-    wide = windows(running(base, RUN, "step", {"nan_count": (bad, "sum")}), "loss", "grad", every_step=True)
-    return wide.withColumns(
+    return windows(base, "loss", "grad", "step", bits=bits).withColumns(
         {
             **gradient_checks(),
             **plateau_checks(),
@@ -321,51 +401,88 @@ def health_status(checked: DataFrame) -> DataFrame:
     return checked.withColumn("health", status)
 
 
-def ema(steps: DataFrame, value: str = "loss", keep: float = 0.95, out: str = "ema") -> DataFrame:
-    """Exponential moving average per run, seeded with the first value, exact for any length.
+def ema(steps: DataFrame, value: str = "loss", keep: float = 0.95, out: str = "ema", digits: int | None = None, bits: int = blocks.BITS) -> DataFrame:
+    """Exponential moving average per run, seeded with the first value, for runs of any length.
 
-    The recurrence is linear. Inside a block it is a weighted running sum; what a block hands
-    on is one number, and the share of a block that lies far enough back is exactly zero in
-    double precision, so each block looks at a bounded number of blocks before it.
+    A block changes the average before it by a linear map, two numbers that the next block needs.
+    NaN and infinities never leave the average again. With `digits` every average is rounded
+    before it feeds the next one, see `_rounded`.
     """
-    bits = max(1, int(math.log2(27.0 / -math.log(keep))))
-    size = 1 << bits
-    decay = keep**size
-    lags = math.ceil(750.0 / (-math.log(keep) * size)) + 1
-    x = F.col(value)
-    i = F.col("_p") % size
-    weight = F.when(F.col("_p") == 0, 1.0).otherwise(1.0 - keep)
-    bad = ~_finite(x)
-    tagged = steps.withColumn("_p", F.col("step") - 1).withColumns(
-        {
-            "_b": F.shiftright("_p", bits),
-            "_w": F.when(bad, 0.0).otherwise(weight * x * F.pow(F.lit(keep), -i.cast("double"))),
-        }
-    )
-    blocks = tagged.groupBy("run_id", "_b").agg((F.sum("_w") * keep ** (size - 1)).alias("_end"))
-
-    def handed(frame):
-        earlier = F.collect_list("_end").over(frame(-lags, -1))
-        return {"_carry": F.aggregate(earlier, F.lit(0.0), lambda a, e: a * decay + e)}
-
-    carry = rolling(blocks, RUN, "_b", lags, handed).select("run_id", "_b", "_carry")
-    # A NaN or an infinity never leaves the average again: where does each first occur?
-    firsts = tagged.groupBy("run_id").agg(
-        F.min(F.when(F.isnan(x), F.col("_p"))).alias("_nan"),
-        F.min(F.when(x == math.inf, F.col("_p"))).alias("_up"),
-        F.min(F.when(x == -math.inf, F.col("_p"))).alias("_dn"),
-    )
-    here = W.partitionBy("run_id", "_b").orderBy("_p").rowsBetween(W.unboundedPreceding, 0)
-    local = tagged.withColumn("_s", F.sum("_w").over(here)).join(carry, ["run_id", "_b"]).join(firsts, "run_id")
-    smooth = F.col("_s") * F.pow(F.lit(keep), i.cast("double")) + F.col("_carry") * F.pow(F.lit(keep), (i + 1).cast("double"))
-    up, dn = F.col("_p") >= F.col("_up"), F.col("_p") >= F.col("_dn")
-    final = (
-        F.when((F.col("_p") >= F.col("_nan")) | (up & dn), F.lit(math.nan))
-        .when(up, F.lit(math.inf))
-        .when(dn, F.lit(-math.inf))
-        .otherwise(smooth)
-    )
-    return local.withColumn(out, final).drop("_p", "_b", "_w", "_s", "_carry", "_nan", "_up", "_dn")
+    made = f"{out if digits is None else '_whole'} double"
+
+    def summarise(rows: pa.Table) -> dict:
+        x = _numbers(rows, value)
+        return {"_first": float(x[0]), "_n": len(x), "_end": _average(x, 0.0, keep)[-1]}
+
+    def link(state: dict | None, own: dict) -> tuple[dict, dict]:
+        before = own["_first"] if state is None else state["_before"]
+        # What is not finite stays; a factor that underflows must not hide it.
+        kept = keep ** own["_n"] * before if math.isfinite(before) else before
+        return {"_before": None if state is None else before}, {"_before": kept + own["_end"]}
+
+    def finish(rows: pa.Table, carry: dict) -> pa.Table:
+        after = _average(_numbers(rows, value), carry["_before"], keep)
+        return rows.append_column(made.split(" ")[0], pa.array(after if digits is None else [carry["_before"], *after[:-1]], pa.float64()))
+
+    whole = blocks.scan(steps, "run_id", "step", summarise, link, finish, "_first double, _n long, _end double", "_before double", made, bits)
+    return whole if digits is None else _rounded(whole, value, keep, out, digits, bits)
+
+
+def _average(x: np.ndarray, before: float | None, keep: float, digits: int | None = None) -> list[float]:
+    """The average after every value; without one before it, the first value is the first average."""
+
+    def step(e: float, v: float) -> float:
+        e = keep * e + (1.0 - keep) * v
+        return e if digits is None else round(e, digits)
+
+    values = x.tolist()
+    if before is None:
+        seed = values[0] if digits is None else round(values[0], digits)
+        return list(accumulate(values[1:], step, initial=seed))
+    return list(accumulate(values, step, initial=before))[1:]
+
+
+def _rounded(whole: DataFrame, value: str, keep: float, out: str, digits: int, bits: int) -> DataFrame:
+    """The average whose every value is rounded; `_whole` is the unrounded one before each row.
+
+    Rounding shifts an average by less than half a unit over 1 - keep, so before a block it is one
+    of a few dozen values around the unrounded one. Each block is played from all of them; they
+    keep their order and fall together as they go. Which of them it was, the block before tells.
+    """
+    unit = 10.0**-digits
+
+    def summarise(rows: pa.Table) -> dict:
+        x, before = _numbers(rows, value), rows["_whole"][0].as_py()
+        if before is None or not math.isfinite(before):
+            return {"_from": [], "_to": [_average(x, before, keep, digits)[-1]]}
+        # Half a unit a step, and what the two ways of computing may differ by.
+        reach = unit / 2 / (1.0 - keep) + 1e-12 * max(abs(before), float(np.abs(x[np.isfinite(x)]).max(initial=0.0)))
+        if reach > 1e6 * unit:
+            raise ValueError(f"averages near {before} have no {digits} digits to round")
+        low, high = math.floor((before - reach) / unit) - 1, math.ceil((before + reach) / unit) + 1
+        starts = [k / 10**digits for k in range(low, high + 1)]
+        at, ends = list(range(len(starts))), list(starts)  # start -> place among the values still apart
+        for v in x.tolist():
+            ends = [round(keep * e + (1.0 - keep) * v, digits) for e in ends]
+            if len(ends) > 1:
+                apart = sorted(set(ends)) if math.isfinite(v) else ends[:1]
+                if len(apart) < len(ends):
+                    place = {e: i for i, e in enumerate(apart)}
+                    moved = [place.get(e, 0) for e in ends]
+                    at, ends = [moved[i] for i in at], apart
+        return {"_from": starts, "_to": [ends[i] for i in at]}
+
+    def link(state: dict | None, own: dict) -> tuple[dict, dict]:
+        before = None if state is None else state["_e"]
+        ends = dict(zip(own["_from"], own["_to"])) if own["_from"] else {before: own["_to"][0]}
+        return {"_e": before}, {"_e": ends[before]}
+
+    def finish(rows: pa.Table, carry: dict) -> pa.Table:
+        made = _average(_numbers(rows, value), carry["_e"], keep, digits)
+        return rows.append_column(out, pa.array(made, pa.float64()))
+
+    fields = "_from array<double>, _to array<double>"
+    return blocks.scan(whole, "run_id", "step", summarise, link, finish, fields, "_e double", f"{out} double", bits).drop("_whole")
 
 
 def sampled(steps: DataFrame, every: int, batch: str = "batch", last: str = "last_batch") -> Column:

@@ -1,23 +1,30 @@
-"""The adjustment log: a fold over the steps on which some check fired.
+"""The adjustment log: what is done about the steps on which some check fired.
 
-What a check finds is a window query (`rolling.all_checks`) and runs in parallel over all
-steps. Only the decision is sequential: adjustments scale the current settings and start a
-cooldown. So only flagged steps reach Python, in step order per run, as a stream of Arrow
-batches with a handful of numbers as state; a run is never held in memory.
+What a check finds is a window query (`rolling.all_checks`). What is done about it depends on the
+settings in force and on the last adjustment: a finding that can change nothing more starts no
+cooldown, so the next adjustment cannot be told from the flags alone. Between two adjustments
+nothing changes, though. Flagged steps are therefore cut into blocks that are played side by side:
+inside a block the next adjusting step is searched among many steps at once, and the loop is over
+adjustments; between blocks the states are guessed and mended until they agree (`starts`). One run
+spreads over many tasks, and no task holds more than a block.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wordloom.operators.blocks import BITS, BLOCK, tagged
 from wordloom.operators.order import running
 from wordloom.operators.rolling import CHECKS, any_check, health_status
 from wordloom.params import TrainingPlan
+from wordloom.session import checkpoint
 
 COOLDOWN = 200  # fixed value: steps between adjustments
 
@@ -70,6 +77,9 @@ class Tuner:
     count: int = 0
     before: dict = field(default_factory=dict)
 
+    def settings(self) -> tuple[float, ...]:
+        return tuple(getattr(self, s) for s in SETTINGS)
+
     def effects(self, check: str) -> dict[str, float]:
         out = {}
         for name, factor, addend, low, high in EFFECTS[check]:
@@ -113,32 +123,155 @@ REPLAY = (
     "run_id long, step long, reasons array<string>, adjusted boolean, changes map<string,double>, "
     "before map<string,double>, clip double, scale double, smoothing double, dropout double, adjustments long"
 )
-_COLUMNS = [c.strip().split(" ")[0] for c in REPLAY.replace("map<string,double>", "m").split(",")]
-
-
-def _fold(batches):
-    run, tuner = None, None
-    for pdf in batches:
-        flags = pdf[list(CHECKS)].to_numpy(bool)
-        out = []
-        for run_id, step, row in zip(pdf["run_id"].tolist(), pdf["step"].tolist(), flags):
-            if run_id != run:
-                run, tuner = run_id, Tuner()
-            found, changes = tuner.decide(step, [c for c, on in zip(CHECKS, row) if on])
-            before = tuner.before if changes else {}
-            out.append(
-                (run_id, step, found, bool(changes), changes, before)
-                + tuple(getattr(tuner, s) for s in SETTINGS)
-                + (tuner.count,)
-            )
-        yield pd.DataFrame(out, columns=_COLUMNS)
-
-
-def replay(checked: DataFrame) -> DataFrame:
+_STATE = "clip double, scale double, smoothing double, dropout double, last long, count long"
+_FIELDS = (*SETTINGS, "last", "count")
+_BITS = {c: 1 << i for i, c in enumerate(CHECKS)}
+_EMERGENCY = sum(_BITS[c] for c in EMERGENCY)
+_CHAIN = [_BITS[c] for c in CHAIN]
+LOOK = 256  # flagged steps looked at first for the next adjustment
+
+
+def _effective(tuner: Tuner) -> int:
+    """The checks that would change something under the current settings, as bits."""
+    return sum(bit for check, bit in _BITS.items() if tuner.effects(check))
+
+
+def _next(steps: np.ndarray, fired: np.ndarray, start: int, tuner: Tuner, effective: int) -> int:
+    """The first flagged step from `start` on that adjusts something; their number if none does.
+
+    Steps are looked at together, in stretches that double, as the settings do not change between.
+    """
+    lo, width = start, LOOK
+    while lo < len(steps):
+        s, f = steps[lo : lo + width], fired[lo : lo + width]
+        hit = np.flatnonzero(((f & effective) != 0) & ((s - tuner.last >= COOLDOWN) | ((f & _EMERGENCY) != 0)))
+        if len(hit):
+            return lo + int(hit[0])
+        lo, width = lo + width, width * 2
+    return len(steps)
+
+
+def _found(fired: np.ndarray, effective: int) -> np.ndarray:
+    """What is reported: of the overconfidence patterns, none after the first that changes something."""
+    fired = fired.copy()
+    for i, bit in enumerate(_CHAIN):
+        if effective & bit:
+            fired[(fired & bit) != 0] &= ~sum(_CHAIN[i + 1 :])
+    return fired
+
+
+def _play(steps: np.ndarray, fired: np.ndarray, tuner: Tuner, log: list | None = None) -> Tuner:
+    """Replay flagged steps of one run in order; the loop is over adjustments, not over steps.
+
+    `log` gets (first, end, settings, adjustments, found, changes, before) of every stretch of steps.
+    """
+    at = 0
+    while at < len(steps):
+        effective = _effective(tuner)
+        hit = _next(steps, fired, at, tuner, effective)
+        if log is not None and hit > at:
+            log.append((at, hit, tuner.settings(), tuner.count, _found(fired[at:hit], effective), {}, {}))
+        if hit < len(steps):
+            found, changes = tuner.decide(int(steps[hit]), [c for c, bit in _BITS.items() if fired[hit] & bit])
+            if log is not None:
+                log.append((hit, hit + 1, tuner.settings(), tuner.count, np.array([sum(_BITS[c] for c in found)]), changes, tuner.before))
+        at = hit + 1
+    return tuner
+
+
+def _started(start: pa.Table) -> Tuner:
+    row = start.to_pylist()[0]
+    return Tuner(**{f: row[f] for f in _FIELDS})
+
+
+def _ends(rows: pa.Table, start: pa.Table) -> pa.Table:
+    """The state after a block, from the state before it; `count` counts this block only."""
+    rows, tuner = rows.sort_by("step"), _started(start)
+    tuner.count = 0
+    end = _play(rows["step"].to_numpy(), rows["fired"].to_numpy(), tuner)
+    keys = {k: start[k] for k in ("run_id", BLOCK)}
+    return pa.table(keys | {f: pa.array([getattr(end, f)]) for f in _FIELDS})
+
+
+def _logged(rows: pa.Table, start: pa.Table) -> pa.Table:
+    rows, log = rows.sort_by("step"), []
+    _play(rows["step"].to_numpy(), rows["fired"].to_numpy(), _started(start), log)
+    n = [end - first for first, end, *_ in log]
+    names = {}  # bits -> the checks they stand for; few kinds occur
+
+    def reasons(bits: int) -> list[str]:
+        return names.setdefault(bits, [c for c, bit in _BITS.items() if bits & bit])
+
+    def each(values, kind):
+        return pa.array([v for v, k in zip(values, n) for _ in range(k)], kind)
+
+    pairs = pa.map_(pa.string(), pa.float64())
+    made = {
+        "run_id": rows["run_id"],
+        "step": rows["step"],
+        "reasons": pa.array([reasons(b) for stretch in log for b in stretch[4].tolist()], pa.list_(pa.string())),
+        "adjusted": each([bool(x[5]) for x in log], pa.bool_()),
+        "changes": each([list(x[5].items()) for x in log], pairs),
+        "before": each([list(x[6].items()) if x[5] else [] for x in log], pairs),
+    }
+    made |= {s: each([x[2][i] for x in log], pa.float64()) for i, s in enumerate(SETTINGS)}
+    return pa.table(made | {"adjustments": each([x[3] for x in log], pa.int64())})
+
+
+def _rested(bits: int) -> Column:
+    """The last adjustment so long before a block that it does not matter there."""
+    return F.shiftleft(F.col(BLOCK), bits) - COOLDOWN
+
+
+def _handed(ends: DataFrame, bits: int) -> DataFrame:
+    """The state before every block: the end of the block before, and the adjustments so far.
+
+    A cooldown that is over counts as just over, so that states alike in effect are equal.
+    """
+    w, first = W.partitionBy("run_id").orderBy(BLOCK), Tuner()
+    before = [F.coalesce(F.lag(s).over(w), F.lit(getattr(first, s))).alias(s) for s in SETTINGS]
+    last = F.greatest(F.lag("last").over(w), _rested(bits)).alias("last")
+    count = F.coalesce(F.sum("count").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("count")
+    return ends.select("run_id", BLOCK, *before, last, count)
+
+
+def starts(flagged: DataFrame, bits: int) -> DataFrame:
+    """(run_id, block, state before it) for every block with flagged steps.
+
+    Every block is played from a guess, all at once. Where a block ends otherwise than its successor
+    assumed, the successor is played again, until all agree: then every state follows from the one
+    before, as in a single fold. Settings run into their limits and cooldowns run out, so guesses
+    soon stop to matter; at worst each round settles one more block of a run. Only those blocks and
+    one row per block move in a round.
+    """
+    guess = [F.lit(getattr(Tuner(), s)).alias(s) for s in SETTINGS] + [_rested(bits).alias("last"), F.lit(0).cast("long").alias("count")]
+    begun = checkpoint(flagged.select("run_id", BLOCK).distinct().select("run_id", BLOCK, *guess))
+    most = begun.groupBy("run_id").count().agg(F.max("count").alias("n")).first()["n"] or 0
+    if most <= 1:
+        return begun
+    keys, ends, again = ["run_id", BLOCK], None, begun
+    schema = f"run_id {flagged.schema['run_id'].dataType.simpleString()}, {BLOCK} long, {_STATE}"
+    while True:
+        played = flagged.join(again.select(*keys), keys, "left_semi").groupBy(*keys).cogroup(again.groupBy(*keys)).applyInArrow(_ends, schema)
+        kept = [] if ends is None else [ends.join(again.select(*keys), keys, "left_anti")]
+        ends = checkpoint(reduce(DataFrame.unionByName, kept, played))
+        handed = checkpoint(_handed(ends, bits))
+        assumed = begun.select(*keys, *[F.col(f).alias("_" + f) for f in (*SETTINGS, "last")])
+        wrong = reduce(lambda a, b: a | b, [F.col(f) != F.col("_" + f) for f in (*SETTINGS, "last")])
+        again = checkpoint(handed.join(assumed, keys).where(wrong).select(handed.columns))
+        begun = handed
+        if again.isEmpty():
+            return begun
+
+
+def replay(checked: DataFrame, bits: int = BITS) -> DataFrame:
     """One row per flagged step: what was found, whether it was acted on, and the settings after."""
-    flagged = checked.where(any_check()).select("run_id", "step", *CHECKS)
-    ordered = flagged.repartition("run_id").sortWithinPartitions("run_id", "step")
-    return ordered.mapInPandas(_fold, REPLAY)
+    fired = reduce(lambda a, b: a + b, [F.when(F.col(c), bit).otherwise(0) for c, bit in _BITS.items()])
+    flagged = checked.where(any_check()).select("run_id", F.col("step").cast("long").alias("step"), fired.alias("fired"))
+    flagged = checkpoint(tagged(flagged, "step", bits))
+    keys = ["run_id", BLOCK]
+    logged = flagged.groupBy(*keys).cogroup(starts(flagged, bits).groupBy(*keys)).applyInArrow(_logged, REPLAY)
+    return logged
 
 
 def adjustments(replayed: DataFrame) -> DataFrame:

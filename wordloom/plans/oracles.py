@@ -147,7 +147,51 @@ h AS (SELECT run_id, step, event_id, nan_count, CASE WHEN step < 30 THEN 'warmup
   ELSE 'healthy' END AS health FROM c)"""
 
 
+def tuned(steps: str, val: str) -> str:
+    """The adjustment log `r`, as a fold of the flagged steps of each run, one step at a time."""
+    changed = lambda value, now: f"CASE WHEN {value} <> {now} THEN {value} END"
+    rounded = lambda value: f"format('{{:.4f}}', {value})::DOUBLE"
+    up = {"overconfidence_high_acc": 0.025, "overconfidence_divergence": 0.03, "overconfidence_early": 0.04}
+    smooth = [changed(f"least(smoothing + {d}::DOUBLE, 0.3::DOUBLE)", "smoothing") for d in up.values()]
+    checks = (
+        "gradient_explosion gradient_spike gradient_vanishing loss_plateau accuracy_stall accuracy_degrading "
+        "overconfidence_high_acc overconfidence_divergence overconfidence_early nan_loss_critical loss_spike sft_overfitting"
+    ).split()
+    told = ", ".join(f"CASE WHEN {c} THEN '{c}' END" for c in checks)
+    return f"""{health(steps, val).replace("WITH ", "WITH RECURSIVE ", 1)},
+fl AS (SELECT * RENAME (overfit AS sft_overfitting), row_number() OVER (PARTITION BY run_id ORDER BY step) AS i FROM c
+  WHERE gradient_explosion OR gradient_spike OR gradient_vanishing OR loss_plateau OR accuracy_stall OR accuracy_degrading
+    OR overconfidence_high_acc OR overconfidence_divergence OR overconfidence_early OR nan_loss_critical OR loss_spike OR overfit),
+r0 AS (SELECT run_id, 0::BIGINT AS i, 0::BIGINT AS step, '' AS reasons, false AS adjusted, {PLAN.grad_clip}::DOUBLE AS clip, 1.0::DOUBLE AS scale,
+  {PLAN.label_smoothing}::DOUBLE AS smoothing, {PLAN.dropout}::DOUBLE AS dropout, -200::BIGINT AS last, 0::BIGINT AS adjustments FROM fl WHERE i = 1),
+r AS (SELECT * FROM r0 UNION ALL
+  SELECT run_id, i, step, reasons, go, CASE WHEN go THEN coalesce({rounded("new_clip")}, clip) ELSE clip END,
+    CASE WHEN go THEN coalesce({rounded("new_scale")}, scale) ELSE scale END,
+    CASE WHEN go THEN coalesce({rounded("new_smoothing")}, smoothing) ELSE smoothing END,
+    CASE WHEN go THEN coalesce({rounded("new_dropout")}, dropout) ELSE dropout END,
+    CASE WHEN go THEN step ELSE last END, adjustments + go::BIGINT
+  FROM (SELECT *, concat_ws(' ', {told}) AS reasons,
+      coalesce(new_clip, new_scale, new_smoothing, new_dropout) IS NOT NULL AND (step - last >= 200 OR nan_loss_critical OR loss_spike) AS go
+    FROM (SELECT * REPLACE (found_2 AS overconfidence_divergence, found_3 AS overconfidence_early),
+        coalesce(CASE WHEN found_3 THEN {smooth[2]} END, CASE WHEN found_2 THEN {smooth[1]} END, CASE WHEN overconfidence_high_acc THEN {smooth[0]} END,
+          CASE WHEN accuracy_stall THEN {changed("greatest(smoothing - 0.02::DOUBLE, 0.0::DOUBLE)", "smoothing")} END) AS new_smoothing,
+        coalesce(CASE WHEN nan_loss_critical THEN greatest(clip * 0.5::DOUBLE, 0.1::DOUBLE) END,
+          CASE WHEN gradient_vanishing THEN {changed("least(clip * 1.2::DOUBLE, 10.0::DOUBLE)", "clip")} END,
+          CASE WHEN gradient_spike THEN greatest(clip * 0.9::DOUBLE, 0.1::DOUBLE) END,
+          CASE WHEN gradient_explosion THEN {changed("greatest(clip * 0.8::DOUBLE, 0.1::DOUBLE)", "clip")} END) AS new_clip,
+        coalesce(CASE WHEN loss_spike THEN greatest(scale * 0.7::DOUBLE, 0.1::DOUBLE) END, CASE WHEN nan_loss_critical THEN greatest(scale * 0.5::DOUBLE, 0.05::DOUBLE) END,
+          CASE WHEN gradient_vanishing THEN {changed("least(scale * 1.15::DOUBLE, 3.0::DOUBLE)", "scale")} END,
+          CASE WHEN gradient_explosion THEN {changed("greatest(scale * 0.85::DOUBLE, 0.1::DOUBLE)", "scale")} END,
+          CASE WHEN loss_plateau THEN {changed("least(scale * 1.1::DOUBLE, 3.0::DOUBLE)", "scale")} END,
+          CASE WHEN accuracy_degrading THEN {changed("greatest(scale * 0.9::DOUBLE, 0.1::DOUBLE)", "scale")} END) AS new_scale,
+        CASE WHEN sft_overfitting THEN {changed("least(dropout + 0.05::DOUBLE, 0.5::DOUBLE)", "dropout")} END AS new_dropout
+      FROM (SELECT *, overconfidence_divergence AND NOT (overconfidence_high_acc AND smoothing < 0.3::DOUBLE) AS found_2,
+          overconfidence_early AND NOT ((overconfidence_high_acc OR overconfidence_divergence) AND smoothing < 0.3::DOUBLE) AS found_3
+        FROM (SELECT fl.*, r.clip, r.scale, r.smoothing, r.dropout, r.last, r.adjustments FROM r JOIN fl ON fl.run_id = r.run_id AND fl.i = r.i + 1)))))"""
+
+
 KNOWN_VAL = "(SELECT max_by(v.val_loss, v.step) FROM val v WHERE v.run_id = ns.run_id AND v.step < ns.step)"
+TUNED = tuned(NOISY + ", " + VAL, KNOWN_VAL)
 VEC = """x AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings),
 s AS (SELECT vec_id, v, label, list_max(v) + ln(list_sum(list_transform(v, lambda e: exp(e - list_max(v))))) AS lse FROM x)"""
 ATTN = f"""{VEC},
@@ -294,6 +338,9 @@ ORACLES = {
     "ema_loss": f"""WITH {STEPS}, li AS (SELECT run_id, list(loss ORDER BY step) AS a FROM steps GROUP BY run_id),
       e AS (SELECT steps.run_id, steps.step, list_reduce(a[1:steps.step], lambda p, x: 0.95::DOUBLE * p + 0.05::DOUBLE * x) AS ema FROM steps JOIN li USING (run_id))
       SELECT run_id, step, round(ema, 6) AS ema FROM e""",
+    "ema_rounded": f"""WITH RECURSIVE {STEPS}, e AS (SELECT run_id, step, format('{{:.4f}}', loss)::DOUBLE AS ema FROM steps WHERE step = 1
+      UNION ALL SELECT s.run_id, s.step, format('{{:.4f}}', 0.95::DOUBLE * e.ema + (1.0::DOUBLE - 0.95::DOUBLE) * s.loss)::DOUBLE FROM e JOIN steps s ON s.run_id = e.run_id AND s.step = e.step + 1)
+      SELECT run_id, step, ema FROM e""",
     "sampled_steps": f"""WITH {STEPS}, b AS (SELECT run_id, step, step - min(step) OVER w + 1 AS batch, max(step) OVER w AS last, loss FROM steps WINDOW w AS (PARTITION BY run_id, epoch))
       SELECT run_id, step, batch, loss FROM b WHERE batch % {PLAN.log_interval} = 0 OR step = last""",
     "accumulation_steps": f"""WITH {STEPS}, b AS (SELECT *, step - min(step) OVER w + 1 AS batch, max(step) OVER w AS last FROM steps WINDOW w AS (PARTITION BY run_id, epoch)),
@@ -320,6 +367,17 @@ ORACLES = {
       UNION ALL SELECT run_id, step, 'Layers (N)', 'Decrease', format('High attention entropy ({{:.2f}}). Attention is too diffuse.', ent) FROM k WHERE ent > 5.0
       UNION ALL SELECT run_id, step, 'Batch Size / Seq Len', 'Decrease', format('Memory usage is very high ({{:.1f}} GB).', mem) FROM k WHERE mem > 14.0""",
     "health_status": f"{health(NOISY + ', ' + VAL, KNOWN_VAL)} SELECT run_id, step, health, nan_count FROM h",
+    "tuner_replay": f"""{TUNED} SELECT run_id, step, reasons, adjusted, clip, scale, smoothing, dropout, adjustments FROM r WHERE i > 0""",
+    "adjustment_summary": f"{TUNED} SELECT run_id, reason, count(*) AS n FROM (SELECT run_id, unnest(string_split(reasons, ' ')) AS reason FROM r WHERE adjusted) GROUP BY ALL",
+    "tuner_summary": f"""{TUNED}, z AS (SELECT run_id, clip, scale, smoothing, dropout, adjustments FROM r QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY i DESC) = 1)
+      SELECT run_id, h.step AS steps, coalesce(adjustments, 0) AS adjustments, nan_count AS nan_events, coalesce(clip, {PLAN.grad_clip}::DOUBLE) AS clip, coalesce(scale, 1.0::DOUBLE) AS scale,
+        coalesce(smoothing, {PLAN.label_smoothing}::DOUBLE) AS smoothing, coalesce(dropout, {PLAN.dropout}::DOUBLE) AS dropout, health
+      FROM (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY step DESC) = 1) h LEFT JOIN z USING (run_id)""",
+    "recent_adjustments": f"""{TUNED} SELECT run_id, step, row_number() OVER (PARTITION BY run_id ORDER BY step DESC)::INT AS recency, clip, scale, smoothing, dropout
+      FROM r WHERE adjusted QUALIFY recency <= 10""",
+    "lr_effective": f"""{TUNED}, known AS (SELECT steps.run_id, steps.step, coalesce(r.scale, 1.0::DOUBLE) AS lr_scale FROM steps
+      ASOF LEFT JOIN (SELECT * FROM r WHERE adjusted) r ON steps.run_id = r.run_id AND steps.step > r.step)
+      SELECT run_id, step, lr_scale, round({LR} * lr_scale, 12) AS effective_lr FROM known""",
     "stream_scan": "SELECT doc_id, text FROM documents",
     "stream_encode": f"{DOC_ENC} SELECT k AS doc_id, {show(fit('list_concat([2], ids, [3])', L))} AS ids FROM enc",
     "stream_unk": f"{DOC_ENC}, {RATES} SELECT sum(tokens)::BIGINT AS tokens, sum(unknown)::BIGINT AS unknown FROM rates",

@@ -476,6 +476,11 @@ def ema_loss(spark, sf):
     return out(ro.ema(st.steps(spark, sf)), "run_id", "step", "ema")
 
 
+def ema_rounded(spark, sf):
+    """The average as a training log keeps it: every value rounded before it feeds the next."""
+    return ro.ema(st.steps(spark, sf), digits=4).select("run_id", "step", "ema")
+
+
 def sampled_steps(spark, sf):
     return out(ro.sampled_steps(st.steps(spark, sf), PLAN.log_interval), "run_id", "step", "batch", "loss")
 
@@ -545,7 +550,7 @@ def recent_adjustments(spark, sf):
 def lr_effective(spark, sf):
     checked = _checked(spark, sf)
     steps = _rated(st.steps(spark, sf).select("run_id", "step"))
-    return tu.effective_lr(steps, tu.replay(checked)).select("run_id", "step", "lr_scale", F.round("effective_lr", 8).alias("effective_lr"))
+    return tu.effective_lr(steps, tu.replay(checked)).select("run_id", "step", "lr_scale", F.round("effective_lr", 12).alias("effective_lr"))
 
 
 # ── streams ──────────────────────────────────────────────────────────────────────────────
@@ -661,6 +666,7 @@ QUERIES = {
     "minmax_scale": minmax_scale,
     "lr_schedule": lr_schedule,
     "ema_loss": ema_loss,
+    "ema_rounded": ema_rounded,
     "sampled_steps": sampled_steps,
     "accumulation_steps": accumulation_steps,
     "gradient_flags": _flags(ro.gradient_flags, "gradient_explosion", "gradient_spike", "gradient_vanishing"),

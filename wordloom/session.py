@@ -70,9 +70,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpoint(df, eager: bool = True):
-    """Cut the lineage of `df` through reliable storage in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=eager)
+def checkpoint(df):
+    """Cut the lineage of `df`: written once to the shared folder, then read from there.
+
+    Unlike an RDD checkpoint this computes `df` a single time, and readers see its size.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "checkpoint")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
