@@ -56,7 +56,7 @@ def test_statistics():
     s = dict(zip(qc.STATISTICS, qc.statistics("One two two 12 ### !\n\nÉa. Ab\nx |\nx |".encode())))
     assert s["words"] == math.log1p(12) and s["lines"] == math.log1p(4)
     assert s["symbols"] == qc._odds(3, 24 + 1) and s["digits"] == qc._odds(2, 25) and s["separators"] == qc._odds(2, 25)
-    assert s["upper"] == qc._odds(2, 13) and s["repeated_next"] == qc._odds(1, 12) and s["repeated_lines"] == qc._odds(1, 4)
+    assert s["upper"] == qc._odds(2, 14) and s["repeated_next"] == qc._odds(1, 12) and s["repeated_lines"] == qc._odds(1, 4)
     assert s["commonest"] == qc._odds(2, 12) and s["bare"] == qc._odds(4, 12) and s["distinct"] == math.log(10 / math.sqrt(13))
     assert all(map(math.isfinite, qc.statistics(b""))) and all(map(math.isfinite, qc.statistics(b"  \n")))
     assert len(qc.statistics(b"word " * 500_000)) == len(qc.STATISTICS)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import table
+from wordloom.llm.common import stored, table
 
 FOLDS, HELD_OUT = 3, 1
 SHRINK = 0.1  # of a class covariance, towards the pooled one
@@ -133,13 +133,28 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
 
 
+def measured(text: Column) -> Column:
+    """The statistics of every whole text, as ARRAY<DOUBLE>."""
+
+    @F.arrow_udf("array<double>")
+    def measure(texts: pa.Array) -> pa.Array:
+        rows = [statistics(t.as_buffer().to_pybytes()) for t in texts]
+        flat = pa.array(np.array(rows, np.float64).ravel(), pa.float64())
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * len(STATISTICS), pa.int32()), flat)
+
+    return measure(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def _matrix(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(STATISTICS))
+
+
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per label and task: how many, the sums, and the sums of products."""
     d = len(STATISTICS)
     held = {y: [0, np.zeros(d), np.zeros((d, d))] for y in (0, 1)}
     for batch in batches:
-        y = batch.column(1).to_numpy()
-        x = np.array([statistics(t.as_buffer().to_pybytes()) for t in batch.column(0)]).reshape(-1, d)
+        x, y = _matrix(batch.column(0)), batch.column(1).to_numpy()
         for label, sums in held.items():
             own = x[y == label]
             sums[0] += len(own)
@@ -154,34 +169,35 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Discriminant:
-    """Learn from all labelled rows outside the held-out fold."""
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", x: str = "x", label: str = "quality") -> Discriminant:
+    """Learn from all labelled rows outside the held-out fold; `x` holds what `measured` gives."""
     d = len(STATISTICS)
     usable = labels.where((fold(F.col(key)) != HELD_OUT) & F.col(label).isin(0, 1)).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
-    texts = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    taught = texts.join(usable, "k").select("t", "y").mapInArrow(_sums, "y int, n long, sums array<double>")
+    # Statistics are joined, not texts: about a hundred bytes a document move.
+    known = docs.select(F.col(key).alias("k"), F.col(x).alias("x")).where(fold(F.col("k")) != HELD_OUT)
+    taught = known.join(usable, "k").select("x", "y").mapInArrow(_sums, "y int, n long, sums array<double>")
     cells = taught.select("y", "n", *[F.get("sums", F.lit(i)).alias(f"s{i}") for i in range(d + d * d)])
     made = cells.groupBy("y").agg(F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(d + d * d)]).collect()
     flat = {r["y"]: (r["n"], np.array([r[f"s{i}"] for i in range(d + d * d)])) for r in made}
     return discriminant({y: (n, s[:d], s[d:].reshape(d, d)) for y, (n, s) in flat.items()})
 
 
-def quality_score(text: Column, model: Discriminant, spark) -> Column:
-    """The score of every whole text, 0 to 1."""
+def quality_score(x: Column, model: Discriminant, spark) -> Column:
+    """The score of every row of statistics, 0 to 1."""
     shared = spark.sparkContext.broadcast(model)  # a few kilobytes, whatever the data
 
     @F.arrow_udf("double")
-    def judge(texts: pa.Array) -> pa.Array:
-        rows = [statistics(t.as_buffer().to_pybytes()) for t in texts]
-        return pa.array(shared.value.score(np.array(rows).reshape(-1, len(STATISTICS))), pa.float64())
+    def judge(rows: pa.Array) -> pa.Array:
+        return pa.array(shared.value.score(_matrix(rows)), pa.float64())
 
-    return judge(F.coalesce(text, F.lit("")).cast("binary"))
+    return judge(x)
 
 
 def op11_quality_classifier(spark, sf: str) -> DataFrame:
     """One row per document: held_out, score and predicted."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = table(spark, sf, "documents")
+    docs = stored(docs.select("doc_id", measured(F.col("text")).alias("x")), "statistics")  # texts are read once
     model = fit(docs, table(spark, sf, "labels"))
-    scored = docs.select("doc_id", quality_score(F.col("text"), model, spark).alias("score"))
+    scored = docs.select("doc_id", quality_score(F.col("x"), model, spark).alias("score"))
     held_out = F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
