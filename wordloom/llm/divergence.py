@@ -2,8 +2,9 @@
 
 Texts are counted as bytes inside the tasks (whole texts, one dictionary per task, handed on before
 it grows too large), so a frequent word costs one row per task and source. Terms in enough
-documents of their language are kept and numbered: a term hashes to a block, and stands in it by
-falling count, which gathers the rare ones in subtrees that are mostly zero.
+documents of their language are kept: counting, keeping and joining share one shuffle. A kept term
+hashes to a block, and its id there follows from falling count, which gathers the rare ones in
+subtrees that are mostly zero.
 
 Every block of term ids is a complete binary tree per group, its leaves the group's counts. Equal
 subtrees, of one group or of several, share one node: a node is the pair of its children's nodes.
@@ -48,11 +49,13 @@ HELD = 400_000  # counted terms a task holds before it hands them on
 # What is no letter becomes a space, A-Z become a-z, bytes of other characters stay.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
+GROUP, _GROUP = "", b""  # in place of a term: the row that stands for the group itself
+
 _COUNTED = "lang string, source string, term string, n long, docs long"
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, n, docs) sums of a task; a null term carries the group itself."""
+    """(lang, source, term, n, docs) sums of a task; every group also has a row of its own."""
     times: dict[tuple[str, str], Counter] = {}
     texts: dict[tuple[str, str], Counter] = {}
     held = 0
@@ -64,14 +67,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()),
                     pa.array(list(n), pa.binary()).cast(pa.string()), pa.array(list(n.values()), pa.int64()),
-                    pa.array([d[t] for t in n], pa.int64()),
+                    pa.array(list(map(d.__getitem__, n)), pa.int64()),
                 ],
                 ["lang", "source", "term", "n", "docs"],
             )
-        for (lang, source), d in texts.items():
-            yield pa.RecordBatch.from_pylist([{"lang": lang, "source": source, "term": None, "n": 0, "docs": d[None]}], pa.schema(
-                [("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())]
-            ))
         times.clear()
         texts.clear()
 
@@ -79,13 +78,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, lang, source in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             group = lang, source
             if group not in times:
-                times[group], texts[group] = Counter(), Counter()
+                times[group], texts[group] = Counter({_GROUP: 0}), Counter()
             n, d = times[group], texts[group]
             before = len(n)
             found = text.as_buffer().to_pybytes().translate(_FOLD).split()
             n.update(found)
             d.update(set(found))
-            d[None] += 1
+            d[_GROUP] += 1
             held += len(n) - before
             if held > HELD:
                 yield from out()
@@ -93,14 +92,24 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, term, n, docs): occurrences, and documents that hold the term. One row per
-    group has a null term and counts the documents."""
+def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """(lang, source, term, n, lang_n, head): how often each group uses each term that is in enough
+    documents of its language, and how often the language does; `head` is set on one row of a term.
+    Every group has a row with the term GROUP.
+    """
     blank = F.lit("")
     read = docs.select(
         F.coalesce(F.col(f"`{text}`"), blank).cast("binary"), F.coalesce(F.col(f"`{lang}`"), blank), F.coalesce(F.col(f"`{source}`"), blank)
     ).toDF("text", "lang", "source")
-    return read.mapInArrow(_count, _COUNTED).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # Tasks have summed up already. What follows finds its rows together: one exchange for it all.
+    dealt = read.mapInArrow(_count, _COUNTED).repartition("lang", "term")
+    counted = dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    every = W.partitionBy("lang", "term")
+    whole = counted.select(
+        "lang", "source", "term", "n", F.sum("n").over(every).alias("lang_n"), F.sum("docs").over(every).alias("docs"),
+        (F.col("source") == F.min("source").over(every)).alias("head"),
+    )
+    return whole.where((F.col("docs") >= min_docs) | (F.col("term") == GROUP)).drop("docs")
 
 
 def consed(counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -174,21 +183,25 @@ _PRICED = "lang string, source string, item string, value long"
 def _compare(key: tuple, rows: pa.Table) -> pa.Table:
     """Price the pairs of groups of two tiles within one block of terms.
 
-    Rows are counts (place, n) or, with place -1, groups (total, width of the block, tile).
+    Rows are counts (term, n, lang_n) or, with the term GROUP, groups (n: total, lang_n: how many
+    terms the block holds, tile).
     """
     lang, _, one, other = (k.as_py() for k in key)
-    place, n = rows["place"].to_numpy(), rows["n"].to_numpy()
-    name = rows["source"].combine_chunks().dictionary_encode()
-    name = name if isinstance(name, pa.DictionaryArray) else name.combine_chunks()
-    names, who = name.dictionary.to_pylist(), name.indices.to_numpy()
-    heads = np.flatnonzero(place < 0)
+    n, lang_n, tiles = (rows[c].to_numpy() for c in ("n", "lang_n", "tile"))
+    names, who = _numbered(rows["source"])
+    terms, term = _numbered(rows["term"])
+    head = term == (terms.index(GROUP) if GROUP in terms else -1)
+    heads, body = np.flatnonzero(head), np.flatnonzero(~head)
     of = np.full(len(names), -1)
     of[who[heads]] = np.arange(len(heads))
-    totals, tile = n[heads], rows["tile"].to_numpy()[heads]
-    width = int(rows["width"].to_numpy()[heads[0]])
-    body = np.flatnonzero(place >= 0)
+    totals, tile, width = n[heads], tiles[heads], int(lang_n[heads[0]])
+    # Ids follow falling count; terms that no group here uses come last, they are alike.
+    often = np.zeros(len(terms), np.int64)
+    often[term[body]] = lang_n[body]
+    place = np.empty(len(terms), np.int64)
+    place[np.lexsort((np.arange(len(terms)), -often))] = np.arange(len(terms))
     counts = np.zeros((len(heads), width), np.int64)
-    counts[of[who[body]], place[body]] = n[body]
+    counts[of[who[body]], place[term[body]]] = n[body]
     left, right = np.triu_indices(len(heads), 1)
     if one != other:  # pairs within a tile have a task of their own
         across = tile[left] != tile[right]
@@ -205,40 +218,33 @@ def _compare(key: tuple, rows: pa.Table) -> pa.Table:
     )
 
 
+def _numbered(column: pa.ChunkedArray) -> tuple[list, np.ndarray]:
+    """The distinct values of a column, and the number of each row's value."""
+    made = column.combine_chunks().dictionary_encode()
+    made = made if isinstance(made, pa.DictionaryArray) else made.combine_chunks()
+    return made.dictionary.to_pylist(), made.indices.to_numpy()
+
+
 def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, leaves: int = LEAVES, groups: int = GROUPS) -> DataFrame:
     """(lang, source, part, item, value, rank): part `pair`, how far each other source of the
     language is from the group; part `term`, the terms the group uses most above its language."""
-    counted = stored(term_counts(docs), "term-counts")
-    occurring = counted.where("term is null").select("lang", "source")
-    terms = counted.where("term is not null")
-    kept = terms.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs")
-    kept = stored(kept, "kept-terms")
-
-    # One row per language: how many terms, blocks, tiles and occurrences it has.
-    sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("all_n"))
-    sizes = occurring.groupBy("lang").agg(F.count(F.lit(1)).alias("s")).join(sizes, "lang", "left")
+    known = stored(kept_counts(docs, min_docs), "kept-counts")
+    own = F.col("term") != GROUP
+    # One row per language: how many terms, occurrences, blocks and tiles it has.
+    sizes = known.groupBy("lang").agg(
+        F.count_if(own & F.col("head")).alias("v"), F.sum(F.when(own, F.col("n")).otherwise(0)).alias("all_n"), F.count_if(~own).alias("s")
+    )
     sizes = stored(
-        sizes.select(
-            "lang", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("all_n", F.lit(0)).alias("all_n"),
-            F.ceil(F.coalesce("v", F.lit(0)) / leaves).cast("int").alias("blocks"), F.ceil(F.col("s") / groups).cast("int").alias("tiles"),
-        ),
+        sizes.select("lang", "v", "all_n", F.ceil(F.col("v") / leaves).cast("int").alias("blocks"), F.ceil(F.col("s") / groups).cast("int").alias("tiles")),
         "languages",
-    )
-
-    placed = kept.join(sizes.select("lang", "blocks"), "lang").withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
-    here = W.partitionBy("lang", "block").orderBy(F.desc("lang_n"), "term")
-    placed = placed.select("lang", "term", "lang_n", "block", (F.row_number().over(here) - 1).alias("place"))
-    placed = stored(placed, "term-ids")
-    known = stored(terms.join(placed, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n", "block", "place"), "known-counts")
-
-    totals = occurring.join(known.groupBy("lang", "source").agg(F.sum("n").alias("own")), ["lang", "source"], "left")
-    totals = totals.join(sizes, "lang").select(
-        "lang", "source", (F.coalesce("own", F.lit(0)) + F.col("v")).alias("total"), "v", "all_n", "tiles",
+    )
+    totals = known.groupBy("lang", "source").agg(F.sum(F.when(own, F.col("n")).otherwise(0)).alias("own")).join(sizes, "lang")
+    totals = totals.select(
+        "lang", "source", (F.col("own") + F.col("v")).alias("total"), "v", "all_n", "tiles", "blocks",
         F.pmod(F.xxhash64("source"), "tiles").cast("int").alias("tile"),
     )
     totals = stored(totals, "groups")
-
-    return _pairs(known, totals, placed).unionByName(_terms(known, totals, top))
+    return _pairs(known.where(own), totals, sizes).unionByName(_terms(known.where(own), totals, top))
 
 
 def _ranked(df: DataFrame, part: str) -> DataFrame:
@@ -246,16 +252,19 @@ def _ranked(df: DataFrame, part: str) -> DataFrame:
     return df.select("lang", "source", F.lit(part).alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
 
 
-def _pairs(known: DataFrame, totals: DataFrame, placed: DataFrame) -> DataFrame:
+def _pairs(known: DataFrame, totals: DataFrame, sizes: DataFrame) -> DataFrame:
     """Every ordered pair of sources of a language, with the price over all kept terms."""
-    widths = placed.groupBy("lang", "block").agg(F.count(F.lit(1)).cast("int").alias("width"))
+    block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block")
+    widths = known.where("head").join(sizes.select("lang", "blocks"), "lang").select("lang", block)
+    widths = widths.groupBy("lang", "block").agg(F.count(F.lit(1)).alias("width"))
     # How many terms a block holds comes with the groups, which are in every block of their language.
-    heads = totals.where("v > 0").join(widths, "lang").select("lang", "block", "source", "tile", "tiles", F.lit(-1).alias("place"), F.col("total").alias("n"), "width")
-    body = known.join(totals.select("lang", "source", "tile", "tiles"), ["lang", "source"])
-    body = body.select("lang", "block", "source", "tile", "tiles", "place", "n", F.lit(0).alias("width"))
+    heads = totals.where("v > 0").join(widths, "lang")
+    heads = heads.select("lang", "block", "source", "tile", "tiles", F.lit(GROUP).alias("term"), F.col("total").alias("n"), F.col("width").alias("lang_n"))
+    body = known.join(totals.select("lang", "source", "tile", "tiles", "blocks"), ["lang", "source"])
+    body = body.select("lang", block, "source", "tile", "tiles", "term", "n", "lang_n")
     met = heads.unionByName(body).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     met = met.select(
-        "lang", "block", F.least("tile", "with").alias("one"), F.greatest("tile", "with").alias("other"), "source", "tile", "place", "n", "width"
+        "lang", "block", F.least("tile", "with").alias("one"), F.greatest("tile", "with").alias("other"), "source", "tile", "term", "n", "lang_n"
     )
     priced = met.groupBy("lang", "block", "one", "other").applyInArrow(_compare, _PRICED)
     priced = priced.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
