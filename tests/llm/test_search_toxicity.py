@@ -68,14 +68,31 @@ def test_search_table(spark, sf):
 # ── toxicity ─────────────────────────────────────────────────────────────────────────────
 
 
+def plain_cut(text):
+    import regex
+
+    return Counter(w for token in (text or "").lower().split() for w in regex.findall(r"\p{L}+", token))
+
+
+def plain_starts(examples):
+    """The beginnings of words that go with a label beyond chance."""
+    begun = [{w[:m] for w in plain_cut(t) for m in (4, 5, 6) if len(w) >= m} for _, _, t in examples]
+    n1, n0 = sum(y for _, y, _ in examples), sum(1 - y for _, y, _ in examples)
+    made = []
+    for x in set().union(*begun):
+        a, b = (sum(x in s for s, (_, y, _) in zip(begun, examples) if y == k) for k in (1, 0))
+        out = (n1 + n0 - a - b) * (a + b) * n1 * n0
+        if out and (n1 + n0) * (a * n0 - b * n1) ** 2 / out >= 30:
+            made.append(x)
+    return made
+
+
 def plain_toxicity(examples, totals, texts, k=15):
     """(score, neighbours) of every text by the definition, comparing with every example.
 
     `examples`: (key, label, text) by key; `totals`: label -> labelled rows.
     """
-    import regex
-
-    cut = lambda t: Counter(w for token in (t or "").lower().split() for w in regex.findall(r"\p{L}+", token))
+    cut = plain_cut
     begun = lambda w: [w[:m] for m in (4, 5, 6) if len(w) >= m]
     rows = [cut(t) for _, _, t in examples]
     label = [y for _, y, _ in examples]
@@ -94,7 +111,7 @@ def plain_toxicity(examples, totals, texts, k=15):
                 made.setdefault(t, set()).add(i)
         return made
 
-    starts = {x for x, h in holders([{x for w in r for x in begun(w)} for r in rows]).items() if chi(h) >= 30}
+    starts = set(plain_starts(examples))
     known = set().union(*rows) if rows else set()
 
     def terms(counts):
@@ -138,7 +155,7 @@ def index_of(examples, totals):
     import pyarrow as pa
 
     batch = pa.RecordBatch.from_arrays([pa.array([e[0] for e in examples]), pa.array([e[1] for e in examples], pa.int32()), pa.array([e[2] for e in examples])], ["k", "y", "t"])
-    return toxicity.indexed(pa.Table.from_batches(toxicity._vectors(iter([batch]))), totals)
+    return toxicity.indexed(pa.Table.from_batches(toxicity._vectors(iter([batch]))), plain_starts(examples), totals)
 
 
 def check_scores(index, examples, totals, texts):

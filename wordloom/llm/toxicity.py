@@ -147,39 +147,35 @@ class Index:
         return np.where(every > 0, (toxic + far * self.prior) / (every + far), self.blank), rows, found
 
 
+def chi_square(a, b, n1, n0):
+    """How far a term held by `a` of `n1` toxic and `b` of `n0` clean examples is from chance."""
+    lead = a * n0 - b * n1
+    return (n1 + n0) * lead * lead / ((a + b) * (n1 + n0 - a - b) * n1 * n0 + 1e-9)
+
+
 def build_index(
-    keys: pa.Array, label: np.ndarray, example: np.ndarray, word: np.ndarray, times: np.ndarray, names: list[str], classes: dict[int, tuple[int, int]]
-) -> Index:
-    """From (example, word, times) rows, where `names` has the words; `classes` maps a label to how
-    many rows have it, and how many examples."""
+    keys: pa.Array, label: np.ndarray, example: np.ndarray, word: np.ndarray, times: np.ndarray, names: list[str], starts: list[str],
+    classes: dict[int, tuple[int, int]],
+) -> Index:
+    """From (example, word, times) rows, where `names` has the words and `starts` the telling
+    beginnings; `classes` maps a label to how many rows have it, and how many examples."""
     n, n1, n0 = len(label), float((label == 1).sum()), float((label == 0).sum())
-
-    def telling(example: np.ndarray, term: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
-        """Chi-square, and how many examples hold the term; (example, term) pairs are distinct."""
-        a, b = (np.bincount(term[label[example] == y], minlength=terms).astype(float) for y in (1, 0))
-        lead = a * n0 - b * n1
-        return n * lead * lead / np.maximum((a + b) * (n - a - b) * n1 * n0, 1.0), a + b
-
-    # Beginnings: the words of each, and their occurrences added up by example.
-    begun: dict[str, int] = {}
-    of = [(begun.setdefault(x, len(begun)), i) for i, w in enumerate(names) for x in beginnings(w)]
-    start, its = (np.array([p[i] for p in of], np.int64) for i in (0, 1))
-    by_word = np.argsort(its, kind="stable")
-    low, high = np.searchsorted(its[by_word], word), np.searchsorted(its[by_word], word, "right")
-    at, which = _spans(low, high)
-    pair, where = np.unique(example[which] * max(1, len(begun)) + start[by_word][at], return_inverse=True)
-    e2, t2 = pair // max(1, len(begun)), pair % max(1, len(begun))
-    n2 = np.bincount(where, times[which], minlength=len(pair))
-    chi, _ = telling(e2, t2, len(begun))
-    chosen = np.flatnonzero(chi >= CHI_SQUARE)
-    number = np.full(len(begun), -1)
-    number[chosen] = len(names) + np.arange(len(chosen))
-    keep = number[t2] >= 0
-    spelled = list(begun)
-    words, starts = {w: i for i, w in enumerate(names)}, {spelled[i]: len(names) + k for k, i in enumerate(chosen.tolist())}
-    example, term, times = (np.concatenate(x) for x in ((example, e2[keep]), (word, number[t2[keep]]), (times, n2[keep])))
-
-    chi, holds = telling(example, term, len(names) + len(chosen))
+    words = {w: i for i, w in enumerate(names)}
+    begun = {x: len(names) + i for i, x in enumerate(sorted(starts))}
+    if begun:
+        # Occurrences of the words that begin so, added up by example.
+        of = [(i, begun[x]) for i, w in enumerate(names) for x in beginnings(w) if x in begun]
+        its, start = (np.array([p[i] for p in of], np.int64) for i in (0, 1))
+        at, which = _spans(np.searchsorted(its, word), np.searchsorted(its, word, "right"))
+        size = len(names) + len(begun)
+        pair, where = np.unique(example[which] * size + start[at], return_inverse=True)
+        added = np.bincount(where, times[which], minlength=len(pair))
+        example, term, times = np.append(example, pair // size), np.append(word, pair % size), np.append(times, added)
+    else:
+        term = word
+
+    a, b = (np.bincount(term[label[example] == y], minlength=len(names) + len(begun)).astype(float) for y in (1, 0))
+    chi, holds = chi_square(a, b, n1, n0), a + b
     scale = np.log1p(n / np.maximum(holds, 1)) * chi / (chi + CHI_SQUARE) + 1e-6
     raw = (1 + np.log(times)) * scale[term]
     # Examples of one label that share their weightiest term stand together: tighter bounds.
@@ -210,7 +206,7 @@ def build_index(
     start = np.flatnonzero(np.diff(pair, prepend=-1))
     top = np.maximum.reduceat(weight, start) if len(start) else weight
     return Index(
-        words, starts, scale, keys, label.astype(np.float64), stands, prior, blank, np.searchsorted(term[start], np.arange(len(scale) + 1)),
+        words, begun, scale, keys, label.astype(np.float64), stands, prior, blank, np.searchsorted(term[start], np.arange(len(scale) + 1)),
         (example[start] // BLOCK).astype(np.int32), top, np.append(start, len(term)).astype(np.int64), example.astype(np.int32), weight,
         row, frequent,
     )
@@ -271,7 +267,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def indexed(made: pa.Table, totals: dict[int, int]) -> Index:
+def indexed(made: pa.Table, starts: list[str], totals: dict[int, int]) -> Index:
     """The index of examples (k, y, w, n) as `_vectors` makes them; `totals` counts labelled rows."""
     made = made.sort_by("k")
     keys, label = _whole(made["k"]), made["y"].to_numpy().astype(np.int64)
@@ -280,13 +276,26 @@ def indexed(made: pa.Table, totals: dict[int, int]) -> Index:
     found = lists.flatten().dictionary_encode()
     times = _whole(made["n"]).flatten().to_numpy().astype(np.float64)
     classes = {y: (totals.get(y, 0), int((label == y).sum())) for y in (0, 1)}
-    return build_index(keys, label, example, found.indices.to_numpy().astype(np.int64), times, found.dictionary.to_pylist(), classes)
+    word, names = found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+    del made, lists, found
+    return build_index(keys, label, example, word, times, names, starts, classes)
 
 
 def _whole(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
 
+def telling_starts(examples: DataFrame) -> list[str]:
+    """The beginnings of words (y, w) that go with a label beyond chance."""
+    n1, n0 = (examples.where(F.col("y") == y).count() for y in (1, 0))
+    if not n1 or not n0:
+        return []
+    cut = F.filter(F.flatten(F.transform("w", lambda x: F.array(*[F.when(F.length(x) >= n, F.substring(x, 1, n)) for n in LENGTHS]))), F.isnotnull)
+    held = examples.select("y", F.explode(F.array_distinct(cut)).alias("x")).groupBy("x").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+    chi = chi_square(F.col("a").cast("double"), F.col("b").cast("double"), float(n1), float(n0))
+    return [r["x"] for r in held.where(chi >= CHI_SQUARE).select("x").collect()]
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", examples: int = EXAMPLES) -> Index:
     """Learn from labelled rows (key, toxic) outside fold 0. What reaches the driver is the sample:
     at most `examples` rows of each class, as term counts."""
@@ -303,7 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     alike = W.partitionBy("y", F.coalesce("_s", F.lit(0))).orderBy("k", F.xxhash64("t"))
     texts = texts.withColumn("_n", F.row_number().over(alike)).where("_n = 1").select("k", "y", "t")
     made = stored(texts.mapInArrow(_vectors, f"k {kind}, y int, w array<string>, n array<int>"), "examples")
-    return indexed(made.toArrow(), totals)
+    return indexed(made.toArrow(), telling_starts(made), totals)
 
 
 def toxicity(text: Column, index: Index, spark) -> Column:
