@@ -168,9 +168,11 @@ def build_index(
         its, start = (np.array([p[i] for p in of], np.int64) for i in (0, 1))
         at, which = _spans(np.searchsorted(its, word), np.searchsorted(its, word, "right"))
         size = len(names) + len(begun)
-        pair, where = np.unique(example[which] * size + start[at], return_inverse=True)
+        pair, where = np.unique(example[which].astype(np.int64) * size + start[at], return_inverse=True)
         added = np.bincount(where, times[which], minlength=len(pair))
-        example, term, times = np.append(example, pair // size), np.append(word, pair % size), np.append(times, added)
+        example, term, times = (
+            np.append(x, y.astype(x.dtype)) for x, y in ((example, pair // size), (word, pair % size), (times, added))
+        )
     else:
         term = word
 
@@ -182,7 +184,7 @@ def build_index(
     heaviest = np.zeros(n, np.int64)
     order = np.lexsort((raw, example))
     heaviest[example[order]] = term[order]
-    place = np.empty(n, np.int64)
+    place = np.empty(n, np.int32)
     place[np.lexsort((np.arange(n), heaviest, label))] = np.arange(n)
     by_place = np.argsort(place)
     keys, label, example = keys.take(pa.array(by_place)), label[by_place], place[example]
@@ -202,7 +204,7 @@ def build_index(
     example, term, weight = example[~apart], term[~apart], weight[~apart]
     order = np.lexsort((example, term))
     term, example, weight = term[order], example[order], weight[order].astype(np.float32)
-    pair = term * (n // BLOCK + 1) + example // BLOCK
+    pair = term.astype(np.int64) * (n // BLOCK + 1) + example // BLOCK
     start = np.flatnonzero(np.diff(pair, prepend=-1))
     top = np.maximum.reduceat(weight, start) if len(start) else weight
     return Index(
@@ -272,11 +274,11 @@ def indexed(made: pa.Table, starts: list[str], totals: dict[int, int]) -> Index:
     made = made.sort_by("k")
     keys, label = _whole(made["k"]), made["y"].to_numpy().astype(np.int64)
     lists = _whole(made["w"])
-    example = np.repeat(np.arange(len(label)), np.diff(lists.offsets.to_numpy()))
+    example = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
     found = lists.flatten().dictionary_encode()
-    times = _whole(made["n"]).flatten().to_numpy().astype(np.float64)
+    times = _whole(made["n"]).flatten().to_numpy().astype(np.float32)
     classes = {y: (totals.get(y, 0), int((label == y).sum())) for y in (0, 1)}
-    word, names = found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist()
+    word, names = found.indices.to_numpy(), found.dictionary.to_pylist()
     del made, lists, found
     return build_index(keys, label, example, word, times, names, starts, classes)
 
