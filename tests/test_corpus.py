@@ -254,17 +254,35 @@ def nearest(ids, x, k):
     return {(int(i), int(ids[j]), r + 1) for n, i in enumerate(ids) for r, j in enumerate(np.lexsort((ids, -sim[n]))[:k])}
 
 
-@pytest.mark.parametrize("cells", [None, 6])
-def test_neighbours_with_copies(spark, cells):
+@pytest.mark.parametrize("pivots", [None, 6, 30])
+def test_neighbours_with_copies(spark, pivots):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(5, 8)) * 4
     x = np.concatenate([centres[rng.integers(0, 5, 120)] + rng.normal(size=(120, 8)) * 0.3, np.tile(centres[0], (70, 1))])
     ids = rng.permutation(len(x)) * 3
     df = spark.createDataFrame([(int(i), [float(a) for a in v]) for i, v in zip(ids, x)], "id long, v array<double>")
-    got = {(r.id, r.neighbour, r["rank"]) for r in ve.knn_cosine(df, "id", "v", 3, block=40, cells=cells).collect()}
+    got = {(r.id, r.neighbour, r["rank"]) for r in ve.knn_cosine(df, "id", "v", 3, block=40, pivots=pivots).collect()}
     assert got == nearest(ids, x, 3)
 
 
+def test_the_pivot_tree_is_exact_and_compares_few_pairs(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 12))
+    x = centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 12)) * 0.05
+    x = np.concatenate([x, [np.zeros(12)], -centres[:3]])
+    u = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-8)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(u)], "rep long, u array<double>").repartition(5)
+    near, compared = ve.search(df, 3, block=200, pivots=64)
+    got = {}
+    for r in near.collect():
+        got.setdefault(r.rep, []).append(r.sim)
+    sim = u @ u.T
+    np.fill_diagonal(sim, -9)
+    want = -np.sort(-sim, axis=1)[:, :3]
+    assert all(np.allclose(sorted(got[i], reverse=True), want[i], atol=1e-9) for i in range(len(u)))
+    assert compared < 0.25 * len(u) ** 2
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], "id long, v array<double>")
     got = ve.knn_cosine(df, "id", "v", 3).collect()

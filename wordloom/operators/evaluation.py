@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,12 +84,13 @@ def head_entropies(attention: DataFrame, keys: Sequence[str], corner: int = 32)
 
 
 def global_entropy(attention: DataFrame, matrix: Sequence[str], layer: str = "layer") -> DataFrame:
-    """(matrix, entropy): mean row entropy of layer 0 averaged over heads, at full size."""
-    cells = attention.where(F.col(layer) == 0).select(*matrix, "row", F.posexplode_outer("weights").alias("col", "w"))
-    mean = cells.groupBy(*matrix, "row", "col").agg(F.avg("w").alias("w"))
-    part = F.col("w") * F.log(F.col("w") + F.lit(1e-9))
-    rows = mean.groupBy(*matrix, "row").agg((-F.sum(part)).alias("_e"))
-    return rows.groupBy(*matrix).agg(F.avg("_e").alias("entropy"))
+    """(matrix, entropy): mean row entropy of layer 0 averaged over heads, at full size.
+
+    Heads are averaged as whole rows of the matrix, summed inside each task first.
+    """
+    heads = attention.where(F.col(layer) == 0).select(*matrix, "row", array_to_vector(F.col("weights").cast("array<double>")).alias("w"))
+    mean = heads.groupBy(*matrix, "row").agg(vector_to_array(Summarizer.mean(F.col("w"))).alias("w"))
+    return mean.groupBy(*matrix).agg(F.avg(entropy(F.col("w"))).alias("entropy"))
 
 
 def prediction_samples(batches: DataFrame, vocab: DataFrame, key: Sequence[str], per_batch: int = 10) -> DataFrame:

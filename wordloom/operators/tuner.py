@@ -299,6 +299,38 @@ def effective_lr(steps: DataFrame, replayed: DataFrame, scheduled: str = "lr") -
     return filled.withColumns({"lr_scale": scale, "effective_lr": F.col(scheduled) * scale})
 
 
+DIAGNOSTICS = ("avg_loss", "avg_grad", "avg_accuracy", "max_grad", "min_grad", "risk")
+
+
+def tuner_state(checked: DataFrame, replayed: DataFrame, k: int = 10) -> DataFrame:
+    """The state of every run after its last step, as a reader is shown it.
+
+    One row per run: step, health, reasons, nan_count, the settings, adjustments, the steps of the
+    last `k` adjustments, the steps until the next one may follow, and the rolling diagnostics.
+    `checked` holds every step with its checks, health and diagnostics. Aggregates by run, combined
+    before they move; no run is gathered.
+    """
+    shown = ["health", "nan_count", *DIAGNOSTICS]
+    last = checked.groupBy("run_id").agg(F.max("step").alias("step"), *[F.max_by(c, "step").alias(c) for c in shown])
+    done = adjustments(replayed)
+    tuned = done.groupBy("run_id").agg(
+        *[F.max_by(s, "step").alias(s) for s in SETTINGS], F.max("step").alias("_last"), F.max("adjustments").alias("adjustments")
+    )
+    recent = recent_adjustments(replayed, k).groupBy("run_id").agg(F.sort_array(F.collect_list("step")).alias("recent"))
+    found = replayed.select("run_id", "step", "reasons")
+    wide = last.join(tuned, "run_id", "left").join(recent, "run_id", "left").join(found, ["run_id", "step"], "left")
+    start = Tuner()
+    waiting = F.greatest(F.lit(0), F.lit(COOLDOWN) - (F.col("step") - F.coalesce("_last", F.lit(start.last))))
+    return wide.select(
+        "run_id", "step", *shown,
+        *[F.coalesce(s, F.lit(getattr(start, s))).alias(s) for s in SETTINGS],
+        F.coalesce("adjustments", F.lit(0)).cast("long").alias("adjustments"),
+        F.coalesce("recent", F.array().cast("array<long>")).alias("recent"),
+        F.coalesce("reasons", F.array().cast("array<string>")).alias("reasons"),
+        waiting.cast("long").alias("cooldown"),
+    )
+
+
 def recent_adjustments(replayed: DataFrame, k: int = 10) -> DataFrame:
     """The last `k` adjustments of every run."""
     w = W.partitionBy("run_id").orderBy(F.desc("step"))

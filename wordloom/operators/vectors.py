@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from wordloom.params import FIRST_WORD_ID
 from wordloom.session import checkpoint
 
 BLOCK = 4096  # distinct vectors per block: one task compares two blocks
-MAX_CELLS = 64
+MAX_PIVOTS = 4096
 
 
 def unit_vectors(df: DataFrame, key: str, vec: str) -> DataFrame:
@@ -58,24 +60,22 @@ def _top(df: DataFrame, by: str, k: int, then: str) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 3, block: int = BLOCK, cells: int | None = None) -> DataFrame:
+def knn_cosine(df: DataFrame, key: str, vec: str, k: int = 3, block: int = BLOCK, pivots: int | None = None) -> DataFrame:
     """(id, neighbour, sim, rank): the k nearest vectors by cosine, exact, ties by smaller id.
 
     Equal vectors are compared once: a crowd of copies becomes one row that carries its few
-    smallest ids, which is all the result can need. The distinct vectors are put in cells
-    around a bounded set of pivots, each cell in blocks of at most about `block` rows, so no
-    task grows with the data. Angles obey the triangle inequality: a cell is skipped when even
-    its closest possible vector lies beyond the k-th neighbour already found nearby. The rest
-    is compared block by block as a matrix product that emits k rows per query row.
+    smallest ids, which is all the result can need. The distinct vectors that fit one block are
+    compared there; more of them are searched through a tree of pivots, see `search`.
     """
     units = unit_vectors(df, key, vec)
     ranked = units.withColumn("_c", F.row_number().over(W.partitionBy("u").orderBy("id")))
     copies = ranked.where(F.col("_c") <= k + 1).groupBy("u").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    distinct = copies.withColumn("rep", F.get("ids", F.lit(0)))
-
-    if cells is None:
-        cells = min(MAX_CELLS, max(1, math.ceil(df.count() / block)))
-    near = _within_one(distinct, k) if cells == 1 else _by_cells(distinct, k, block, cells)
+    distinct = checkpoint(copies.withColumn("rep", F.get("ids", F.lit(0))))
+    n = distinct.count()
+    if n <= block and pivots is None:
+        near = _within_one(distinct, k)
+    else:
+        near, _ = search(distinct.select("rep", "u"), k, block, pivots or math.ceil(math.sqrt(n)))
 
     near = _top(near, "rep", k, "nrep").select("rep", "nrep", "sim")
     crowd = distinct.select("rep", "u", "ids")
@@ -101,90 +101,152 @@ def _within_one(distinct: DataFrame, k: int) -> DataFrame:
     return one.groupBy("cell").applyInPandas(lambda pdf: _best(pdf, pdf, k), _NEAR)
 
 
-def _by_cells(distinct: DataFrame, k: int, block: int, cells: int) -> DataFrame:
-    """Neighbour candidates of every distinct vector, cell by cell."""
-    spark = distinct.sparkSession
-    chosen = distinct.orderBy(F.xxhash64("rep"), "rep").limit(cells).select("u").toPandas()
-    pivots = spark.sparkContext.broadcast(np.stack(chosen["u"].to_numpy()))
+def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Angles of all pairs. Each is computed the same way whatever else is in the batch, unlike in a
+    matrix product: the order of the cells must not differ from round to round."""
+    return np.arccos(np.clip(np.einsum("id,jd->ij", a, b), -1.0, 1.0))
+
+
+@dataclass
+class Tree:
+    """Pivots on two levels; angles to the farthest vector below each."""
+
+    tops: np.ndarray  # unit vectors
+    cells: np.ndarray
+    children: list[np.ndarray]  # top -> its cells
+    top_radius: np.ndarray
+    cell_radius: np.ndarray
+
+    def place(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each vector: top, angle to it, cell below it, angle to that."""
+        to_top = _angles(u, self.tops)
+        top = to_top.argmin(axis=1)
+        cell, angle = np.empty(len(u), np.int64), np.empty(len(u))
+        for t in np.unique(top).tolist():
+            rows = np.flatnonzero(top == t)
+            apart = _angles(u[rows], self.cells[self.children[t]])
+            at = apart.argmin(axis=1)
+            cell[rows], angle[rows] = self.children[t][at], apart[np.arange(len(rows)), at]
+        return top, to_top[np.arange(len(u)), top], cell, angle
+
+    def within(self, u: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) of all cells that may hold a vector within `reach` of a row: by row, the least
+        possible angle first. What a smaller reach leaves is the beginning of the same list.
+
+        Cells of a top are only looked at for rows that the top's own bound lets through.
+        """
+        rows, cells, least, apart = [], [], [], []
+        for t, kids in enumerate(self.children):
+            above = _angles(u, self.tops[t : t + 1])[:, 0] - self.top_radius[t]
+            open_ = np.flatnonzero(above <= reach)
+            if len(open_) and len(kids):
+                angle = _angles(u[open_], self.cells[kids])
+                bound = np.maximum(np.maximum(angle - self.cell_radius[kids], above[open_][:, None]), 0.0)
+                r, c = np.nonzero(bound <= reach[open_][:, None])
+                for made, x in ((rows, open_[r]), (cells, kids[c]), (least, bound[r, c]), (apart, angle[r, c])):
+                    made.append(x)
+        if not rows:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        rows, cells, least, apart = map(np.concatenate, (rows, cells, least, apart))
+        order = np.lexsort((cells, apart, least, rows))
+        return rows[order], cells[order]
+
+
+def _tree(vectors: DataFrame, pivots: int) -> Tree:
+    chosen = vectors.orderBy(F.xxhash64("rep"), "rep").limit(min(pivots, MAX_PIVOTS)).select("u").toPandas()
+    cells = np.stack(chosen["u"].to_numpy())
+    tops = cells[: math.ceil(math.sqrt(len(cells)))]
+    under = _angles(cells, tops).argmin(axis=1)
+    children = [np.flatnonzero(under == t) for t in range(len(tops))]
+    # A top that is a copy of another one has nobody below it.
+    used = [t for t, kids in enumerate(children) if len(kids)]
+    return Tree(tops[used], cells, [children[t] for t in used], np.zeros(len(used)), np.zeros(len(cells)))
+
+
+SLACK = 1e-6  # covers rounding in the angles
+
+
+def search(vectors: DataFrame, k: int, block: int = BLOCK, pivots: int = 64) -> tuple[DataFrame, int]:
+    """(rep, nrep, sim) rows that hold the k nearest of every vector (rep, u), which are distinct;
+    and how many pairs were compared.
+
+    Vectors are placed in cells around about sqrt(n) pivots, cells under fewer pivots. Every vector
+    visits cells by rounds, the nearest ones first and twice as many each time. Its k-th neighbour
+    found so far is a radius that shrinks; by the triangle inequality of angles, a cell, or all cells
+    of an upper pivot, whose nearest possible vector lies beyond it are never visited. A vector whose
+    next cell is out of reach is finished. Cells are dealt in blocks, and the visitors of a block in
+    groups, so no task grows with the data. The pivots, and one row per cell and round, pass the driver.
+    """
+    spark = vectors.sparkSession
+    tree = _tree(vectors, pivots)
+    plain = spark.sparkContext.broadcast(tree)
 
     def assign(batches):
         for b in batches:
             if len(b):
-                near = np.stack(b["u"].to_numpy()) @ pivots.value.T
-                cell = near.argmax(axis=1)
-                b["cell"] = cell.astype("int32")
-                b["angle"] = np.arccos(np.clip(near[np.arange(len(b)), cell], -1.0, 1.0))
-                yield b
-
-    placed = distinct.select("rep", "u").mapInPandas(assign, "rep long, u array<double>, cell int, angle double")
-    if cells > 1:
-        # Read four times below: kept in the shared folder instead of recomputed.
-        placed = checkpoint(placed)
-    # At most MAX_CELLS rows come back: blocks per cell and its radius.
-    stats = {
-        r["cell"]: (max(1, math.ceil(r["n"] / block)), r["radius"])
-        for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()
-    }
-    parts = F.element_at(F.create_map(*[F.lit(x) for c, (m, _) in stats.items() for x in (c, m)]), F.col("cell"))
-    blocked = placed.withColumn("blk", F.pmod(F.xxhash64("rep"), parts).cast("int"))
-
-    def within(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _best(pdf, pdf, k)
-
-    near = blocked.groupBy("cell", "blk").applyInPandas(within, _NEAR)
-    work = [(a, j) for a, (m, _) in stats.items() for j in range(m)]
-    if len(work) > 1:
-        partners = _partners(blocked, near, stats, pivots.value, k)
-        near = near.unionByName(_across(blocked, stats, partners, k))
-    return near
-
-
-def _partners(blocked: DataFrame, near: DataFrame, stats: dict, pivots, k: int) -> dict[int, list[int]]:
-    """Which cells each cell still has to look at; at most MAX_CELLS rows reach the driver."""
-    kth = near.groupBy("rep").agg(F.min("sim").alias("s"), F.count(F.lit(1)).alias("m"))
-    reach = F.when(F.col("m") >= k, F.acos(F.greatest(F.least("s", F.lit(1.0)), F.lit(-1.0)))).otherwise(math.pi)
-    bound = {
-        r["cell"]: r["reach"]
-        for r in blocked.select("rep", "cell").join(kth, "rep", "left")
-        .groupBy("cell").agg(F.max(F.coalesce(reach, F.lit(math.pi))).alias("reach")).collect()
-    }
-    apart = np.arccos(np.clip(pivots @ pivots.T, -1.0, 1.0))
-    slack = 1e-6  # covers rounding in the angles
-    return {
-        a: [b for b in stats if apart[a, b] - stats[a][1] - stats[b][1] <= bound[a] + slack]
-        for a in stats
-    }
-
-
-def _across(blocked: DataFrame, stats: dict, partners: dict[int, list[int]], k: int) -> DataFrame:
-    """Compare every block with the other blocks it still needs."""
-    askers = {b: [a for a, bs in partners.items() if b in bs] for b in stats}
-    sizes = F.create_map(*[F.lit(x) for c, (m, _) in stats.items() for x in (c, m)])
-
-    def others(table):
-        """(cell, blk) of every block on the other side; cells from a bounded map, blocks from a range."""
-        cells = F.create_map(*[x for c, o in table.items() for x in (F.lit(c), F.array(*map(F.lit, o)).cast("array<int>"))])
-        wide = blocked.select("rep", "u", "cell", "blk", F.explode_outer(F.element_at(cells, F.col("cell"))).alias("_c"))
-        wide = wide.where("_c is not null").withColumn("_m", F.element_at(sizes, F.col("_c")))
-        return wide.select(
-            "rep",
-            "u",
-            F.struct("cell", "blk").alias("me"),
-            F.col("_c"),
-            F.explode_outer(F.sequence(F.lit(0), F.col("_m") - 1)).alias("_j"),
-        ).select("rep", "u", "me", F.struct(F.col("_c").alias("cell"), F.col("_j").alias("blk")).alias("other"))
-
-    queries = others(partners).select("rep", "u", F.col("me").alias("q"), F.col("other").alias("c"), F.lit(True).alias("ask"))
-    targets = others(askers).select("rep", "u", F.col("other").alias("q"), F.col("me").alias("c"), F.lit(False).alias("ask"))
-    pairs = queries.unionByName(targets).where("q <> c")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        q, c = pdf[pdf["ask"]], pdf[~pdf["ask"]]
+                top, to_top, cell, angle = plain.value.place(np.stack(b["u"].to_numpy()))
+                yield b.assign(top=top, to_top=to_top, cell=cell, angle=angle)
+
+    placed = checkpoint(vectors.mapInPandas(assign, "rep long, u array<double>, top long, to_top double, cell long, angle double"))
+    sizes = {}
+    for r in placed.groupBy("top", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("r"), F.max("to_top").alias("t")).collect():
+        sizes[r["cell"]] = r["n"]
+        tree.cell_radius[r["cell"]] = r["r"]
+        tree.top_radius[r["top"]] = max(tree.top_radius[r["top"]], r["t"])
+    # Cells without a vector are no place to go.
+    tree.children = [kids[[int(c) in sizes for c in kids]] for kids in tree.children]
+    shared = spark.sparkContext.broadcast(tree)
+
+    def by_cell(numbers: dict[int, int], name: str) -> DataFrame:
+        """(cell, blocks or groups it is dealt in), at most MAX_PIVOTS rows."""
+        rows = [(c, max(1, math.ceil(n / block))) for c, n in numbers.items()]
+        return F.broadcast(spark.createDataFrame(rows, f"cell long, {name} int"))
+
+    def every(name: str, out: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(name) - 1)).alias(out)
+
+    parts = by_cell(sizes, "_parts")
+    mine = F.pmod(F.xxhash64("rep"), F.col("_parts")).cast("int").alias("blk")
+    targets = checkpoint(placed.join(parts, "cell").select("cell", "rep", "u", mine))
+    queries = placed.select("rep", "u", F.lit(math.pi).alias("reach"))
+    near, compared, seen, width = None, 0, 0, 1
+
+    def next_cells(first: int, count: int):
+        def visits(batches):
+            for b in batches:
+                if not len(b):
+                    continue
+                rows, cells = shared.value.within(np.stack(b["u"].to_numpy()), b["reach"].to_numpy() + SLACK)
+                rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+                now = (rank >= first) & (rank < first + count)
+                yield pd.DataFrame({"cell": cells[now], "rep": b["rep"].to_numpy()[rows[now]], "u": b["u"].to_numpy()[rows[now]]})
+
+        return visits
+
+    def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"rep": [], "nrep": [], "sim": []}).astype({"rep": "int64", "nrep": "int64", "sim": "float64"})
         return _best(q, c, k)
 
-    return pairs.groupBy("q", "c").applyInPandas(compare, _NEAR)
+    while True:
+        visits = checkpoint(queries.mapInPandas(next_cells(seen, width), "cell long, rep long, u array<double>"))
+        asked = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if not asked:
+            break
+        compared += sum(n * sizes[c] for c, n in asked.items())
+        groups = by_cell(asked, "_groups")
+        part = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("_groups")).cast("int").alias("part")
+        askers = visits.join(groups, "cell").join(parts, "cell").select("cell", "rep", "u", part, every("_parts", "blk"))
+        held = targets.join(groups, "cell").select("cell", "rep", "u", "blk", every("_groups", "part"))
+        keys = ["cell", "blk", "part"]
+        found = askers.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(compare, _NEAR)
+        found = found if near is None else found.unionByName(near)
+        near = checkpoint(_top(found, "rep", k, "nrep").drop("rank"))
+        kth = near.groupBy("rep").agg(F.min("sim").alias("s"), F.count(F.lit(1)).alias("m"))
+        reach = F.when(F.col("m") >= k, F.acos(F.greatest(F.least("s", F.lit(1.0)), F.lit(-1.0)))).otherwise(math.pi)
+        queries = placed.select("rep", "u").join(kth, "rep", "left").select("rep", "u", F.coalesce(reach, F.lit(math.pi)).alias("reach"))
+        seen, width = seen + width, width * 2
+    return near, compared
 
 
 def undirected_edges(neighbours: DataFrame) -> DataFrame:
@@ -194,22 +256,72 @@ def undirected_edges(neighbours: DataFrame) -> DataFrame:
     return pairs.select("src", F.when(F.col("src") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("dst"))
 
 
+FAN = 32  # triangular factors combined in one task
+
+
+def _stacked(blocks: list[np.ndarray]) -> np.ndarray:
+    """The triangular factor of matrices laid on top of each other."""
+    return np.linalg.qr(np.vstack(blocks), mode="r")
+
+
+def _factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The triangular factor of a task's rows, each with a leading 1."""
+    made = None
+    for batch in batches:
+        rows = batch.column(0).filter(batch.column(0).is_valid())
+        if len(rows):
+            x = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+            x = np.hstack([np.ones((len(x), 1)), x])
+            made = _stacked([x] if made is None else [made, x])
+    if made is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([made.ravel()], pa.list_(pa.float64())), pa.array([made.shape[1]], pa.int64())], ["r", "d"])
+
+
+def _combined(rows: pa.Table) -> pa.Table:
+    made = _stacked([np.array(r).reshape(-1, d) for r, d in zip(rows["r"].to_pylist(), rows["d"].to_pylist())])
+    return pa.table({"r": pa.array([made.ravel()], pa.list_(pa.float64())), "d": pa.array([made.shape[1]], pa.int64())})
+
+
+def triangular(df: DataFrame, vec: str) -> np.ndarray | None:
+    """The triangular factor R of all vectors with a leading 1, by tall-skinny QR.
+
+    Every task reduces its rows to one R, and R's are combined in groups of `FAN`, level by level, so
+    at most FAN of them reach the driver. No product of the matrix with itself is formed, which would
+    lose half the digits. The first row of R holds the means, the rest is the R of the centred rows.
+    """
+    parts = checkpoint(df.select(F.col(vec).cast("array<double>").alias("v")).mapInArrow(_factor, "r array<double>, d long"))
+    while (n := parts.count()) > FAN:
+        dealt = parts.withColumn("g", F.pmod(F.monotonically_increasing_id(), F.lit(math.ceil(n / FAN))))
+        parts = checkpoint(checkpoint(dealt).groupBy("g").applyInArrow(_combined, "r array<double>, d long"))
+    rows = parts.toArrow()
+    return np.array(_combined(rows)["r"][0].as_py()).reshape(-1, rows["d"][0].as_py()) if n else None
+
+
 def pca(df: DataFrame, key: str, vec: str, dims: int = 3) -> DataFrame:
     """(id, pc1..): centred vectors projected on the leading components.
 
-    Only the mean and the components (vector width x dims) pass the driver. The sign of a
-    component is fixed by making its largest loading positive.
+    The mean and the components come from `triangular`; they are all that passes the driver. The
+    sign of a component is fixed by making its largest loading positive. Null vectors have null
+    coordinates, and so have components beyond the width of the vectors.
     """
-    rows = df.select(F.col(key).alias("id"), array_to_vector(F.col(vec).cast("array<double>")).alias("v"))
-    mean = rows.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray()
-    centre = F.array(*[F.lit(float(m)) for m in mean])
-    flat = F.zip_with(vector_to_array("v"), centre, lambda x, m: x - m)
-    centred = rows.select("id", array_to_vector(flat).alias("v"))
-    model = PCA(k=dims, inputCol="v", outputCol="p").fit(centred)
-    axes = model.pc.toArray()
-    signs = [1.0 if axes[np.abs(axes[:, d]).argmax(), d] >= 0 else -1.0 for d in range(dims)]
-    out = model.transform(centred).withColumn("p", vector_to_array("p"))
-    return out.select("id", *[(F.col("p")[d] * signs[d]).alias(f"pc{d + 1}") for d in range(dims)])
+    r = triangular(df, vec)
+    width = 0 if r is None else r.shape[1] - 1
+    mean = r[0, 1:] / r[0, 0] if width else np.zeros(0)
+    axes = np.linalg.svd(r[1:, 1:])[2] if width and len(r) > 1 else np.eye(width)
+    values = F.col(vec).cast("array<double>")
+    centred = df.select(F.col(key).alias("id"), F.zip_with(values, _constant(mean), lambda x, m: x - m).alias("c"))
+
+    def along(d: int) -> Column:
+        if d >= width:
+            return F.lit(None).cast("double")
+        axis = axes[d] if axes[d][np.abs(axes[d]).argmax()] >= 0 else -axes[d]
+        return F.aggregate(F.zip_with("c", _constant(axis), lambda x, a: x * a), F.lit(0.0), lambda t, x: t + x)
+
+    return centred.select("id", *[along(d).alias(f"pc{d + 1}") for d in range(dims)])
+
+
+def _constant(values: np.ndarray) -> Column:
+    return F.array(*[F.lit(float(x)) for x in values]).cast("array<double>")
 
 
 def moments(df: DataFrame, vec: str) -> DataFrame:
@@ -243,9 +355,10 @@ def minmax_scaled(df: DataFrame, axes: list[str]) -> DataFrame:
     return out
 
 
-def word_map(vectors: DataFrame, vocab: DataFrame, key: str, vec: str, words: int = 80, k: int = 3):
-    """Nodes (id, word, x, y, z) and edges (src, dst) for the first `words` vocabulary ids."""
-    part = vectors.where(F.col(key).between(FIRST_WORD_ID, FIRST_WORD_ID + words - 1))
+def word_map(vectors: DataFrame, vocab: DataFrame, key: str, vec: str, words: int | None = 80, k: int = 3):
+    """Nodes (id, word, x, y, z) and edges (src, dst) for the first `words` vocabulary ids, or all."""
+    ids = F.col(key) >= FIRST_WORD_ID
+    part = vectors.where(ids if words is None else ids & (F.col(key) < FIRST_WORD_ID + words))
     coords = minmax_scaled(pca(part, key, vec), ["pc1", "pc2", "pc3"])
     named = coords.join(vocab.select("id", "token"), "id", "left")
     nodes = named.select(

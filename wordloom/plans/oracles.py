@@ -191,6 +191,8 @@ r AS (SELECT * FROM r0 UNION ALL
 
 
 KNOWN_VAL = "(SELECT max_by(v.val_loss, v.step) FROM val v WHERE v.run_id = ns.run_id AND v.step < ns.step)"
+RISK = """CASE WHEN n_acc < 30 THEN 0.0 ELSE least(greatest(0, acc_recent - 0.5::DOUBLE) / 0.5::DOUBLE * CASE WHEN n_loss >= 30 AND loss_early > 0
+  THEN greatest(0, 1 - (loss_early - loss_late) / loss_early) ELSE 0 END, 1) END"""
 TUNED = tuned(NOISY + ", " + VAL, KNOWN_VAL)
 VEC = """x AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings),
 s AS (SELECT vec_id, v, label, list_max(v) + ln(list_sum(list_transform(v, lambda e: exp(e - list_max(v))))) AS lse FROM x)"""
@@ -214,6 +216,31 @@ ins AS (SELECT ex_id, prompt AS instruction, CASE conv_id % 3 WHEN 1 THEN '' WHE
 norm AS (SELECT ex_id, CASE WHEN coalesce(input, '') <> '' THEN regexp_replace(instruction || ' ' || input, {q("^[" + SPACE + "]+|[" + SPACE + "]+$")}, '', 'g')
   ELSE instruction END AS prompt, output AS response FROM ins WHERE output <> '' AND instruction <> '')"""
 
+def POWER(n: int) -> str:
+    """The leading axis v{n} of the symmetric matrix in a{n}, by squaring the matrix 40 times, and a{n+1},
+    the matrix without that axis. The sign makes the largest loading positive."""
+    square = "list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c)))"
+    return f"""p{n} AS (SELECT 0 AS k, a AS m FROM a{n} UNION ALL
+        SELECT k + 1, list_transform(s, lambda r: list_transform(r, lambda z: z / top)) FROM (SELECT *, list_max(list_transform(s, lambda r: list_max(list_transform(r, lambda z: abs(z))))) AS top
+          FROM (SELECT k, {square} AS s FROM p{n} WHERE k < 40))),
+      u{n} AS (SELECT list_transform(w, lambda z: z / sqrt(list_dot_product(w, w))) AS v FROM (SELECT m[list_position(d, list_max(d))] AS w FROM
+        (SELECT m, list_transform(range(1, len(m) + 1), lambda i: m[i][i]) AS d FROM p{n} WHERE k = 40))),
+      v{n} AS (SELECT list_transform(v, lambda z: z * sign(v[list_position(b, list_max(b))])) AS v FROM (SELECT v, list_transform(v, lambda z: abs(z)) AS b FROM u{n})),
+      a{n + 1} AS (SELECT list_transform(range(1, len(a) + 1), lambda i: list_transform(range(1, len(a) + 1), lambda j: a[i][j] - l * v[i] * v[j])) AS a
+        FROM (SELECT a, v, list_dot_product(v, list_transform(a, lambda r: list_dot_product(r, v))) AS l FROM a{n}, v{n}))"""
+
+
+def PCA(source: str) -> str:
+    """pc: the coordinates of all vectors along the three leading axes of their covariance."""
+    return f"""x AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM {source}),
+      e AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM x), mu AS (SELECT i, avg(x) AS m FROM e GROUP BY i),
+      c AS (SELECT vec_id, list(x - m ORDER BY i) AS v FROM e JOIN mu USING (i) GROUP BY vec_id),
+      ce AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM c),
+      cov AS (SELECT a.i, list(s ORDER BY j) AS r FROM (SELECT a.i, b.i AS j, sum(a.x * b.x) AS s FROM ce a JOIN ce b USING (vec_id) GROUP BY a.i, b.i) a GROUP BY a.i),
+      a1 AS (SELECT list(r ORDER BY i) AS a FROM cov), {POWER(1)}, {POWER(2)}, {POWER(3)},
+      pc AS (SELECT vec_id, list_dot_product(c.v, v1.v) AS pc1, list_dot_product(c.v, v2.v) AS pc2, list_dot_product(c.v, v3.v) AS pc3 FROM c, v1, v2, v3)"""
+
+
 ORACLES = {
     "scan_text": "SELECT doc_id, text FROM documents",
     "scan_examples": f"WITH {TURNS} SELECT ex_id, 'text' AS kind, text FROM turns WHERE text <> ''",
@@ -239,9 +266,16 @@ ORACLES = {
     "telemetry_append": f"""WITH {STEPS} SELECT run_id, step, epoch, round(loss, 4) AS loss, round(grad_norm, 4) AS grad_norm, round(accuracy, 4) AS accuracy,
       round({LR}, 8) AS lr FROM steps""",
     "telemetry_unpivot": f"WITH {STEPS} SELECT run_id, step, loss, grad_norm, accuracy FROM steps",
-    "latest_state": f"""{health(NOISY, "NULL::DOUBLE")} SELECT r.run_id, coalesce(x.step, 0) AS step, coalesce(x.health, 'unknown') AS health, coalesce(x.nan_count, 0) AS nan_count
-      FROM (SELECT DISTINCT user_id % 11 AS run_id FROM events) r
-      LEFT JOIN (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY step DESC) = 1) x USING (run_id)""",
+    "latest_state": f"""{TUNED}, adj AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS recency FROM r WHERE adjusted),
+      z AS (SELECT run_id, max_by(clip, step) AS clip, max_by(scale, step) AS scale, max_by(smoothing, step) AS smoothing, max_by(dropout, step) AS dropout, max(step) AS at,
+        max(adjustments) AS adjustments, string_agg(step::VARCHAR, ' ' ORDER BY step) FILTER (recency <= 10) AS recent FROM adj GROUP BY run_id),
+      x AS (SELECT f.*, h.health, {RISK} AS risk FROM f JOIN h USING (run_id, step) QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY step DESC) = 1)
+      SELECT u.run_id, coalesce(x.step, 0) AS step, coalesce(x.health, 'unknown') AS health, coalesce(r.reasons, '') AS reasons, coalesce(recent, '') AS recent,
+        coalesce(x.nan_count, 0) AS nan_count, coalesce(z.adjustments, 0) AS adjustments, CASE WHEN x.step IS NULL THEN 0 ELSE greatest(0, 200 - (x.step - coalesce(z.at, -200))) END AS cooldown,
+        {", ".join(f"round(coalesce({c}, 0), 10) AS {c}" for c in ("avg_loss", "avg_grad", "avg_accuracy", "max_grad", "min_grad", "risk"))},
+        coalesce(z.clip, {PLAN.grad_clip}::DOUBLE) AS clip, coalesce(z.scale, 1.0::DOUBLE) AS scale, coalesce(z.smoothing, {PLAN.label_smoothing}::DOUBLE) AS smoothing,
+        coalesce(z.dropout, {PLAN.dropout}::DOUBLE) AS dropout
+      FROM (SELECT DISTINCT user_id % 11 AS run_id FROM events) u LEFT JOIN x USING (run_id) LEFT JOIN z USING (run_id) LEFT JOIN r ON r.run_id = x.run_id AND r.step = x.step AND r.i > 0""",
     "strip_accents": "SELECT doc_id, strip_accents(text) AS text FROM documents",
     "tokenize_default": f"SELECT doc_id, {show(simple_tokens('text'))} AS tokens FROM documents",
     "tokenize_conversational": f"SELECT doc_id, {show(CONV)} AS tokens FROM documents",
@@ -326,6 +360,16 @@ ORACLES = {
     "knn_cosine": f"WITH {KNN} SELECT id, neighbour, round(sim, 6) AS sim, rank FROM knn",
     "knn_edges": f"""WITH {KNN}, e AS (SELECT least(id, neighbour) AS lo, greatest(id, neighbour) AS hi, min(id) AS src FROM knn GROUP BY ALL)
       SELECT src, CASE WHEN src = lo THEN hi ELSE lo END AS dst FROM e""",
+    "pca_3d": f"""WITH RECURSIVE {PCA("embeddings")} SELECT vec_id, round(pc1, 6) AS pc1, round(pc2, 6) AS pc2, round(pc3, 6) AS pc3 FROM pc""",
+    "word_map_nodes": f"""WITH RECURSIVE {DOCS}, {VOCAB}, {PCA("(SELECT * FROM embeddings WHERE vec_id >= 4)")},
+      b AS (SELECT min(pc1) AS x0, max(pc1) AS x1, min(pc2) AS y0, max(pc2) AS y1, min(pc3) AS z0, max(pc3) AS z1 FROM pc)
+      SELECT vec_id AS id, coalesce(vocab.token, '?') AS word, round((pc1 - x0) / greatest(x1 - x0, 1e-6) * 2 - 1, 4) AS x, round((pc2 - y0) / greatest(y1 - y0, 1e-6) * 2 - 1, 4) AS y,
+        round((pc3 - z0) / greatest(z1 - z0, 1e-6) * 2 - 1, 4) AS z FROM pc CROSS JOIN b LEFT JOIN vocab ON vocab.id = pc.vec_id""",
+    "word_map_edges": f"""WITH {KNN.replace("FROM embeddings", "FROM embeddings WHERE vec_id >= 4")}, e AS (SELECT least(id, neighbour) AS lo, greatest(id, neighbour) AS hi, min(id) AS src FROM knn GROUP BY ALL)
+      SELECT src, CASE WHEN src = lo THEN hi ELSE lo END AS dst FROM e""",
+    "roundtrip_report": f"""{DOC_ENC} SELECT tl.k AS doc_id, count(DISTINCT token) FILTER (id > 3) AS checked,
+      count(DISTINCT token) FILTER (id > 3) - count(DISTINCT token) FILTER (id > 3 AND pos < {L - 1}) AS lost FROM tl LEFT JOIN coded USING (k) GROUP BY tl.k""",
+    "scan_first_share": "SELECT doc_id, text FROM documents QUALIFY row_number() OVER (ORDER BY doc_id) <= floor(count(*) OVER () * 2 / 5)",
     "vector_moments": """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1)::BIGINT AS i FROM embeddings)
       SELECT a.i, b.i AS j, round(avg(a.x), 8) AS mean_i, round(covar_samp(a.x, b.x), 8) AS covariance
       FROM e a JOIN e b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""",
@@ -383,6 +427,8 @@ ORACLES = {
     "stream_unk": f"{DOC_ENC}, {RATES} SELECT sum(tokens)::BIGINT AS tokens, sum(unknown)::BIGINT AS unknown FROM rates",
     "stream_ema": f"""WITH {STEPS}, li AS (SELECT run_id, list(loss ORDER BY step) AS a FROM steps GROUP BY run_id)
       SELECT run_id, event_id, step, round(list_reduce(a[1:step], lambda p, x: 0.95::DOUBLE * p + 0.05::DOUBLE * x), 6) AS ema FROM steps JOIN li USING (run_id)""",
-    "stream_health": f"""{health(STEPS + ', ns AS (SELECT run_id, step, epoch, accuracy, event_id, ' + noise("event_id") + ' FROM steps)', "NULL::DOUBLE")}
-      SELECT run_id, event_id, step, health, nan_count FROM h""",
+    "stream_health": f"""{tuned(STEPS + ', ns AS (SELECT run_id, step, epoch, accuracy, event_id, ' + noise("event_id") + ' FROM steps), ' + VAL, KNOWN_VAL)}
+      SELECT h.run_id, h.event_id, h.step, h.health, coalesce(x.reasons, '') AS reasons, coalesce(x.adjusted, false) AS adjusted, h.nan_count, coalesce(s.clip, {PLAN.grad_clip}::DOUBLE) AS clip,
+        coalesce(s.scale, 1.0::DOUBLE) AS scale, coalesce(s.smoothing, {PLAN.label_smoothing}::DOUBLE) AS smoothing, coalesce(s.dropout, {PLAN.dropout}::DOUBLE) AS dropout, coalesce(s.adjustments, 0) AS adjustments
+      FROM h LEFT JOIN r x ON x.run_id = h.run_id AND x.step = h.step AND x.i > 0 ASOF LEFT JOIN r s ON s.run_id = h.run_id AND h.step >= s.step""",
 }

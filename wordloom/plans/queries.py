@@ -18,7 +18,7 @@ from wordloom.operators import samples as sa
 from wordloom.operators import tuner as tu
 from wordloom.operators import vectors as ve
 from wordloom.operators import vocab as vo
-from wordloom.operators.order import asof_backward
+from wordloom.operators.order import asof_backward, first_rows
 from wordloom.params import CONVERSATIONAL, DEFAULT, TECHNICAL, TrainingPlan
 from wordloom.plans import jobs
 from wordloom.plans import standins as st
@@ -180,8 +180,14 @@ def telemetry_unpivot(spark, sf):
 def latest_state(spark, sf):
     """Runs 0 to 10 are registered; run 10 never logged a step."""
     runs = st.table(spark, sf, "events").select((F.col("user_id") % 11).alias("run_id")).distinct()
-    states = ro.health_status(ro.all_checks(st.noisy_steps(spark, sf))).select("run_id", "step", "health", "nan_count")
-    return te.latest_state(states, runs, {"step": 0, "health": "unknown", "nan_count": 0}).select("run_id", "step", "health", "nan_count")
+    wide = ro.health_status(ro.all_checks(_with_val(spark, sf))).withColumn("risk", ro.risk_score())
+    checked = checkpoint(wide.select("run_id", "step", "health", "nan_count", *ro.CHECKS, *tu.DIAGNOSTICS))
+    state = tu.tuner_state(checked, checkpoint(tu.replay(checked)))
+    state = state.withColumns({c: F.array_join(F.col(c).cast("array<string>"), " ") for c in ("recent", "reasons")})
+    texts = {"health": "unknown", "reasons": "", "recent": ""}
+    default = texts | {c: 0 for c in ("step", "nan_count", "adjustments", "cooldown")} | {c: 0.0 for c in tu.DIAGNOSTICS}
+    default |= dict(zip(tu.SETTINGS, tu.Tuner().settings()))
+    return out(te.latest_state(state, runs, default), "run_id", *default, digits=MEAN_DIGITS)
 
 
 # ── text ─────────────────────────────────────────────────────────────────────────────────
@@ -273,6 +279,17 @@ def roundtrip_losses(spark, sf):
     return en.roundtrip_losses(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT)
 
 
+def roundtrip_report(spark, sf):
+    return out(en.roundtrip_report(st.documents(spark, sf), st.stored_vocab(spark, sf), DEFAULT, L))
+
+
+def scan_first_share(spark, sf):
+    """The first two fifths of the documents in order, as a filter below one place in that order."""
+    docs = st.documents(spark, sf)
+    n = docs.agg(F.floor(F.count(F.lit(1)) * 2 / 5)).scalar()
+    return first_rows(docs, "doc_id", n).select("doc_id", "text")
+
+
 def tokenizer_report(spark, sf):
     report = en.diagnose(st.turns(spark, sf).withColumnRenamed("ex_id", "doc_id"), st.stored_vocab(spark, sf), DEFAULT)
     return out(report.withColumn("top_unknown", F.array_join("top_unknown", " ")).withColumn("vocab_cap", F.coalesce("vocab_cap", F.lit(0))))
@@ -438,7 +455,8 @@ def knn_edges(spark, sf):
 
 
 def pca_3d(spark, sf):
-    return out(ve.pca(st.table(spark, sf, "embeddings"), "vec_id", "embedding"))
+    p = ve.pca(st.table(spark, sf, "embeddings"), "vec_id", "embedding").withColumnRenamed("id", "vec_id")
+    return out(p, "vec_id", "pc1", "pc2", "pc3")
 
 
 def vector_moments(spark, sf):
@@ -446,6 +464,20 @@ def vector_moments(spark, sf):
     return m.select("i", "j", F.round("mean_i", 8).alias("mean_i"), F.round("covariance", 8).alias("covariance"))
 
 
+def _word_map(spark, sf):
+    """The map of every vector that stands for a word."""
+    vectors = st.table(spark, sf, "embeddings")
+    return ve.word_map(vectors, st.stored_vocab(spark, sf), "vec_id", "embedding", words=None)
+
+
+def word_map_nodes(spark, sf):
+    return out(_word_map(spark, sf)[0])
+
+
+def word_map_edges(spark, sf):
+    return out(_word_map(spark, sf)[1])
+
+
 def word_map_scale(spark, sf):
     """The scaled map of all vectors, summed up by the bounds and spread that scaling must give."""
     coords = ve.minmax_scaled(ve.pca(st.table(spark, sf, "embeddings"), "vec_id", "embedding"), ["pc1", "pc2", "pc3"])
@@ -594,9 +626,16 @@ def stream_ema(spark, sf):
 
 
 def stream_health(spark, sf):
+    """Every field of the state after every arriving step, with the validation losses known by then."""
     ss.use_rocksdb(spark)
-    events = st.noisy(_event_stream(spark, sf), "event_id").withColumn("val_loss", F.lit(None).cast("double"))
-    return _appended(spark, stel.health(events), "health").select("run_id", "event_id", "step", "health", "nan_count")
+    steps = checkpoint(st.steps(spark, sf))
+    ends = steps.groupBy("run_id", "epoch").agg(F.max("event_id").alias("event_id"))
+    marks = checkpoint(st.validation(steps).join(ends, ["run_id", "epoch"]))
+    events = st.noisy(_event_stream(spark, sf), "event_id")
+    known = stel.asof_static(events, marks, "run_id", "event_id", "val_loss")
+    h = _appended(spark, stel.health(known), "health").where("not late")
+    h = h.withColumn("reasons", F.array_join("reasons", " "))
+    return h.select("run_id", "event_id", "step", "health", "reasons", "adjusted", "nan_count", *tu.SETTINGS, "adjustments")
 
 
 QUERIES = {
@@ -634,6 +673,8 @@ QUERIES = {
     "unk_words": unk_words,
     "top_unknown": top_unknown,
     "roundtrip_losses": roundtrip_losses,
+    "roundtrip_report": roundtrip_report,
+    "scan_first_share": scan_first_share,
     "tokenizer_report": tokenizer_report,
     "rebuilt_vocabulary": rebuilt_vocabulary,
     "pair_samples": pair_samples,
@@ -662,6 +703,8 @@ QUERIES = {
     "knn_edges": knn_edges,
     "pca_3d": pca_3d,
     "vector_moments": vector_moments,
+    "word_map_nodes": word_map_nodes,
+    "word_map_edges": word_map_edges,
     "word_map_scale": word_map_scale,
     "minmax_scale": minmax_scale,
     "lr_schedule": lr_schedule,

@@ -12,10 +12,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wordloom.operators import rolling as r
 from wordloom.operators.tuner import SETTINGS, Tuner
+from wordloom.session import checkpoint
 
 
 def _in_order(chunks: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
@@ -58,6 +61,26 @@ def ema(stream: DataFrame, order: str = "event_id", keep: float = 0.95, digits:
     )
 
 
+def asof_static(stream: DataFrame, marks: DataFrame, group: str, on: str, value: str, bits: int = 16) -> DataFrame:
+    """Stream rows with the latest `value` of `marks` at a strictly smaller `on`, null before the first.
+
+    `marks` (group, on, value) is a stored table. It is laid out once by (group, block of `on`): the
+    values recorded in a block, and the one before it. A stream row finds its block by an equality
+    join; rows behind the last block find the last value of their group.
+    """
+    kept = marks.select(F.col(group), F.col(on).cast("long").alias("_at"), F.col(value).alias("_v"))
+    w = W.partitionBy(group).orderBy("_at")
+    kept = kept.withColumn("_own", F.shiftright("_at", bits)).withColumn("_next", F.lead("_own").over(w))
+    # A value is looked for in its own block and in the ones up to the next value's.
+    kept = kept.withColumn("_b", F.explode(F.sequence("_own", F.coalesce("_next", "_own"))))
+    blocks = checkpoint(kept.groupBy(group, "_b").agg(F.sort_array(F.collect_list(F.struct("_at", "_v")), asc=False).alias("_in")))
+    last = checkpoint(kept.groupBy(group).agg(F.max(F.struct("_at", "_v")).alias("_end")))
+    wide = stream.withColumn("_b", F.shiftright(F.col(on).cast("long"), bits)).join(blocks, [group, "_b"], "left").join(last, group, "left")
+    inside = F.get(F.filter("_in", lambda m: m["_at"] < F.col(on)), F.lit(0))
+    behind = F.when(F.col("_end._at") < F.col(on), F.col("_end._v"))
+    return wide.withColumn(value, F.coalesce(behind, inside["_v"])).drop("_b", "_in", "_end")
+
+
 def _mean(values: list[float]) -> float:
     return sum(values) / len(values)
 
