@@ -140,3 +140,53 @@ def test_cards_beside_other_numbers(spark):
     assert made[8] == (texts[8], [])
     assert c not in made[9][0] and made[9][0].endswith("﷐") and "card" in made[9][1]
     assert made[10][1] == ["card"] and made[10][0].startswith("﷐7﷯ ") and v not in made[10][0]
+
+
+def plain_spots(groups):
+    """Where cards stand among digit groups: the plain greedy choice."""
+    n, every = len(groups), []
+    sizes = [16, 15, 19, 18, 17, 14, 13]
+    for i in range(n):
+        for j in range(i, min(i + 19, n)):
+            d = "".join(groups[i : j + 1])
+            if 13 <= len(d) <= 19 and luhn(d):
+                every.append((-1 if (i, j) == (0, n - 1) else sizes.index(len(d)), i, j))
+    kept = []
+    for _, a, b in sorted(every):
+        if all(b < x or a > y for x, y in kept):
+            kept.append((a, b))
+    return sorted(kept)
+
+
+def test_cards_in_runs_of_groups(spark):
+    rnd = random.Random(11)
+    runs = [[card(rnd)], [card(rnd)[:4], *(card(rnd)[i : i + 4] for i in (0, 4, 8))], ["1"] * 40, ["4"] * 200, ["0"] * 90]
+    for _ in range(60):
+        run = []
+        for _ in range(rnd.randint(1, 40)):
+            c = card(rnd, rnd.choice([13, 14, 15, 16, 19]))
+            run += rnd.choice([[c], [c[:4], c[4:8], c[8:12], c[12:]], [str(rnd.randrange(10**k)).zfill(k) for k in (2, 4, 1)]])
+        runs.append(run)
+    df = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(runs)], "i int, x string")
+    got = {r.i: [(s.a, s.b) for s in r.s] for r in df.select("i", pii._card_spots(F.col("x")).alias("s")).collect()}
+    assert got == {i: plain_spots(r) for i, r in enumerate(runs)}
+    # What is no card comes back as it was, separators included.
+    pieces = df.select("i", "x", F.transform(pii._cards(F.lit("k"), F.col("x")), lambda p: p.raw).alias("raw")).collect()
+    assert all("".join(r.raw) == r.x for r in pieces)
+
+
+def test_long_runs_and_addresses_end_in_seconds(spark):
+    import time
+
+    rnd = random.Random(12)
+    texts = [
+        " ".join(f"{rnd.randrange(100):02d}" for _ in range(100_000)),
+        "-".join(card(rnd) for _ in range(20_000)),
+        "a@" + "b." * 100_000 + "com",
+        "a@" + "b" * 200_000 + ".com " + "x" * 200_000 + "@",
+        "1." * 100_000,
+    ]
+    start = time.time()
+    made = exchanged(spark, texts)
+    assert time.time() - start < 120
+    assert made[2][1] == ["email"] and made[1][1] == ["card"] * 20_000 and len(made[0][0]) == len(texts[0])

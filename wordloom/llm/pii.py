@@ -25,7 +25,7 @@ ROUNDS = 8
 KEY = "replace this key"  # a parameter: production passes its own secret
 
 # ── fixed values: the formats ────────────────────────────────────────────────────────────
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 ACCESS_KEY = r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"
 ASSIGNED = r"\b(?i:token|password|passwd|secret|api_?key)\s*[=:]\s*[\"']?[A-Za-z0-9_\-]{12,}"
 DATE = r"(?<![\d/.-])(?:1[7-9]|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d/-])"
@@ -129,14 +129,17 @@ def _card(secret: Column, x: Column) -> Column:
     return bind(_digits(x), lambda d: F.when(_luhn(d) % 10 == 0, _refilled(x, made(d))))
 
 
-SPOTS = "array<struct<rank:int,a:int,b:int>>"
+SPOTS = "array<struct<a:int,b:int>>"
+SIZES = (16, 15, 19, 18, 17, 14, 13)  # digits of a card, the likeliest first
+CHUNK = 512
 
 
 def _card_spots(x: Column) -> Column:
-    """Where cards stand in a run of digit groups: (rank, first group, last group), in order.
+    """Where cards stand in a run of digit groups: (first group, last group), in order.
 
     Every stretch of whole groups with 13 to 19 digits that passes Luhn is a candidate. The whole run
-    comes first, then 16 digits, 15, and the others; of overlapping ones the first stays.
+    comes first, then 16 digits, 15, and the others; of overlapping ones the first stays. Sizes are
+    settled one after the other, each by one walk from left to right, so the work is linear.
     """
 
     def found(g: Column) -> Column:
@@ -145,24 +148,60 @@ def _card_spots(x: Column) -> Column:
         def at(i: Column) -> Column:
             ends = F.sequence(i, F.least(i + 18, n - 1))
             digits = lambda j: F.array_join(F.slice(g, i + 1, j - i + 1), "")
-            fits = lambda j: bind(digits(j), lambda d: F.length(d).between(13, 19) & (_luhn(d) % 10 == 0))
 
             def spot(j: Column) -> Column:
-                size = F.length(digits(j))
-                whole = (i == 0) & (j == n - 1)
-                rank = F.when(whole, 0).when(size == 16, 1).when(size == 15, 2).otherwise(30 - size)
-                return F.struct(rank.cast("int").alias("rank"), i.cast("int").alias("a"), j.cast("int").alias("b"))
+                """The candidate from group i to j; of size 0 if it is none."""
+                sized = lambda d: F.when(F.length(d).between(13, 19) & (_luhn(d) % 10 == 0), F.length(d)).otherwise(0)
+                return F.struct(bind(digits(j), sized).cast("int").alias("size"), i.cast("int").alias("a"), j.cast("int").alias("b"))
 
-            return F.transform(F.filter(ends, fits), spot)
+            return F.filter(F.transform(ends, spot), lambda c: c.size > 0)
 
-        every = F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), at)))
-        free = lambda taken, c: ~F.exists(taken, lambda k: (k.a <= c.b) & (c.a <= k.b))
-        kept = F.aggregate(every, F.array().cast(SPOTS), lambda t, c: F.when(free(t, c), F.concat(t, F.array(c))).otherwise(t))
-        return F.array_sort(F.transform(kept, lambda k: F.struct(F.lit(0).alias("rank"), k.a.alias("a"), k.b.alias("b"))))
+        every = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), at))
+        return bind(every, lambda c: F.when(F.size(c) == 0, _none()).otherwise(settled(c)))
+
+    def settled(every: Column) -> Column:
+        whole = F.filter(every, lambda c: (c.a == 0) & (c.b == F.size(F.split(x, "[ -]")) - 1))
+        start = F.transform(whole, lambda c: F.struct(c.a.alias("a"), c.b.alias("b")))
+        return F.when(F.size(start) > 0, start).otherwise(F.aggregate(F.array(*map(F.lit, SIZES)), _none(), lambda kept, size: add(every, kept, size)))
+
+    def add(every: Column, kept: Column, size: Column) -> Column:
+        """`kept` with the candidates of one size that find room, the leftmost first."""
+        fits = F.filter(every, lambda c: c.size == size)
+        free = lambda busy: F.filter(fits, lambda c: ~F.exists(F.slice(busy, c.a + 1, c.b - c.a + 1), lambda t: t))
+        join = lambda new: F.array_sort(F.concat(kept, new))
+        return F.when(F.size(fits) == 0, kept).otherwise(bind(_busy(kept), lambda busy: bind(_leftmost(free(busy)), join)))
 
     return bind(F.split(x, "[ -]"), found)
 
 
+def _none() -> Column:
+    return F.array().cast(SPOTS)
+
+
+def _busy(kept: Column) -> Column:
+    """Which groups the spots, in order, take; as far as the last of them."""
+    gap = lambda k, i: k.a - F.when(i == 0, 0).otherwise(F.get(kept, i - 1).b + 1)
+    return F.flatten(F.transform(kept, lambda k, i: F.concat(F.array_repeat(F.lit(False), gap(k, i)), F.array_repeat(F.lit(True), k.b - k.a + 1))))
+
+
+def _leftmost(spots: Column) -> Column:
+    """Spots in order without those that overlap one before them that stays. Walked in chunks, so
+    that lists are not copied once per spot."""
+
+    def one(state: Column, c: Column) -> Column:
+        taken = F.struct(c.b.alias("last"), F.concat(state.kept, F.array(F.struct(c.a.alias("a"), c.b.alias("b")))).alias("kept"))
+        return F.when(c.a > state.last, taken).otherwise(state)
+
+    def chunk(state: Column, at: Column) -> Column:
+        fresh = F.struct(state.last.alias("last"), _none().alias("kept"))
+        walked = F.aggregate(F.slice(spots, at, CHUNK), fresh, one)
+        return bind(walked, lambda w: F.struct(w["last"].alias("last"), F.concat(state.kept, w.kept).alias("kept")))
+
+    start = F.struct(F.lit(-1).alias("last"), _none().alias("kept"))
+    chunks = F.sequence(F.lit(1), F.greatest(F.size(spots), F.lit(1)), F.lit(CHUNK))
+    return F.aggregate(chunks, start, chunk, lambda state: state.kept)
+
+
 PIECE = "struct<raw:string,kind:string,made:string>"
 
 
@@ -174,19 +213,21 @@ def _cards(secret: Column, x: Column) -> Column:
     """A run of digit groups as pieces: its cards, exchanged, and the numbers beside them."""
 
     def cut(spots: Column) -> Column:
-        groups = F.split(x, "[ -]")
-        # Offsets in characters; separators are single characters.
-        start = lambda k: F.when(k == 0, 0).otherwise(F.length(F.array_join(F.slice(groups, 1, k), "-")) + 1)
-        end = lambda k: F.length(F.array_join(F.slice(groups, 1, k + 1), "-"))
-        part = lambda lo, hi: F.substring(x, lo + 1, hi - lo)
+        return F.when(F.size(spots) == 0, F.array(_piece(x))).otherwise(bind(F.regexp_extract_all(x, F.lit(r"(\d+[ -]?)"), F.lit(1)), lambda groups: parts(groups, spots)))
+
+    def parts(groups: Column, spots: Column) -> Column:
+        """`groups` keep the separator behind them; that of a card's last group goes to the next gap."""
+        text = lambda lo, hi: F.array_join(F.slice(groups, lo + 1, hi - lo), "")
+        behind = lambda k: F.regexp_extract(F.get(groups, k.b), "[ -]$", 0)
+        gap = lambda k, hi: F.concat(behind(k), text(k.b + 1, hi))
 
         def one(k: Column, i: Column) -> Column:
-            before = F.when(i == 0, 0).otherwise(end(F.get(spots, i - 1).b))
-            card = part(start(k.a), end(k.b))
-            return F.array(_piece(part(before, start(k.a))), bind(card, lambda c: _piece(c, F.lit("card"), _card(secret, c))))
+            before = F.when(i == 0, text(F.lit(0), k.a)).otherwise(gap(F.get(spots, i - 1), k.a))
+            card = F.regexp_replace(text(k.a, k.b + 1), "[ -]$", "")
+            return F.array(_piece(before), bind(card, lambda c: _piece(c, F.lit("card"), _card(secret, c))))
 
-        tail = part(end(F.get(spots, F.size(spots) - 1).b), F.length(x))
-        return F.when(F.size(spots) == 0, F.array(_piece(x))).otherwise(F.concat(F.flatten(F.transform(spots, one)), F.array(_piece(tail))))
+        tail = gap(F.get(spots, F.size(spots) - 1), F.size(groups))
+        return F.concat(F.flatten(F.transform(spots, one)), F.array(_piece(tail)))
 
     return bind(_card_spots(x), cut)
 
