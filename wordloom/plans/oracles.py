@@ -253,6 +253,10 @@ ORACLES = {
       WHEN list_contains(k, 'chosen') OR list_contains(k, 'prompt') THEN 'preference'
       WHEN list_contains(k, 'question') AND list_has_any(k, ['prediction', 'answer', 'extracted_answer', 'gold']) THEN 'qa'
       WHEN list_contains(k, 'text') THEN 'text' ELSE 'fallback' END AS shape FROM k""",
+    "normalize_mixed": f"""WITH {PAIRS}, m AS (SELECT *, (ex_id + conv_id) % 6 AS w FROM pairs)
+      SELECT ex_id, ['messages', 'instruction', 'preference', 'qa', 'text', 'fallback'][w + 1] AS shape, CASE WHEN w IN (1, 2, 3) THEN 'pair' ELSE 'text' END AS kind,
+        CASE WHEN w IN (1, 2, 3) THEN prompt END AS prompt, CASE WHEN w IN (1, 2, 3) THEN response END AS response, CASE WHEN w IN (0, 4, 5) THEN prompt END AS text
+      FROM m WHERE CASE WHEN w IN (1, 2, 3) THEN prompt <> '' AND response <> '' WHEN w = 5 THEN true ELSE prompt <> '' END""",
     "normalize_messages": f"WITH {PAIRS} SELECT ex_id, prompt || ' ' || response || CASE WHEN conv_id % 2 = 0 THEN ' ' || prompt ELSE '' END AS text FROM pairs",
     "normalize_instruction": f"{INSTRUCTIONS} SELECT * FROM norm",
     "normalize_preference": f"""WITH {PAIRS} SELECT ex_id, 'string' AS form, prompt, response FROM pairs
@@ -265,6 +269,8 @@ ORACLES = {
     "vocab_roundtrip": f"WITH {DOCS}, {VOCAB} SELECT id, token, n, {DEFAULT.min_frequency}::BIGINT AS min_frequency FROM vocab",
     "telemetry_append": f"""WITH {STEPS} SELECT run_id, step, epoch, round(loss, 4) AS loss, round(grad_norm, 4) AS grad_norm, round(accuracy, 4) AS accuracy,
       round({LR}, 8) AS lr FROM steps""",
+    "telemetry_sink": f"""WITH {STEPS} SELECT run_id, step, epoch, round(loss, 4) AS loss, round(grad_norm, 4) AS grad_norm, round(accuracy, 4) AS accuracy,
+      round({LR}, 8) AS lr FROM steps""",
     "telemetry_unpivot": f"WITH {STEPS} SELECT run_id, step, loss, grad_norm, accuracy FROM steps",
     "latest_state": f"""{TUNED}, adj AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS recency FROM r WHERE adjusted),
       z AS (SELECT run_id, max_by(clip, step) AS clip, max_by(scale, step) AS scale, max_by(smoothing, step) AS smoothing, max_by(dropout, step) AS dropout, max(step) AS at,

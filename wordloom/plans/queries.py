@@ -69,22 +69,33 @@ def scan_examples(spark, sf):
     return tx.normalize(st.turns(spark, sf).select("ex_id", "text")).select("ex_id", "kind", "text")
 
 
-def detect_shape(spark, sf):
+def _json_lines(spark, sf, *also):
+    """(ex_id, js): all pairs as JSON objects of six shapes in turn; `also` are further fields."""
     p, r, e = F.col("prompt"), F.col("response"), F.col("ex_id")
     said = F.array(F.struct(p.alias("content")))
     made = [
-        F.struct(said.alias("messages"), r.alias("text")),
-        F.struct(p.alias("instruction"), r.alias("output")),
-        F.struct(p.alias("prompt"), r.alias("chosen")),
-        F.struct(p.alias("question"), r.alias("gold")),
-        F.struct(p.alias("text")),
-        F.struct(p.alias("note")),
+        F.struct(*also, said.alias("messages"), r.alias("text")),
+        F.struct(*also, p.alias("instruction"), r.alias("output")),
+        F.struct(*also, p.alias("prompt"), r.alias("chosen")),
+        F.struct(*also, p.alias("question"), r.alias("gold")),
+        F.struct(*also, p.alias("text")),
+        F.struct(*also, p.alias("note")),
     ]
     js = F.to_json(made[5])
     for i in range(5):
         js = F.when((e + F.col("conv_id")) % 6 == i, F.to_json(made[i])).otherwise(js)
-    rows = st.pairs(spark, sf).select("ex_id", js.alias("js"))
-    return rows.select("ex_id", tx.row_shape(F.col("js")).alias("shape"))
+    return st.pairs(spark, sf).select("ex_id", js.alias("js"))
+
+
+def detect_shape(spark, sf):
+    return _json_lines(spark, sf).select("ex_id", tx.row_shape(F.col("js")).alias("shape"))
+
+
+def normalize_mixed(spark, sf):
+    """Files of JSON lines that mix six shapes, read and normalised in one scan."""
+    path = scratch_path(spark, "lines")
+    _json_lines(spark, sf, "ex_id").select("js").write.text(path)
+    return tx.normalize_mixed(tx.read_json_lines(spark, path)).select("ex_id", "shape", "kind", "prompt", "response", "text")
 
 
 def _messages(spark, sf):
@@ -167,6 +178,18 @@ def telemetry_append(spark, sf):
     return te.read_steps(spark, path).select("run_id", "step", "epoch", "loss", "grad_norm", "accuracy", "lr")
 
 
+def telemetry_sink(spark, sf):
+    """Step metrics that arrive as a stream; the first batch is written again, as after a failure."""
+    cols = ["run_id", "step", "epoch", "loss", "grad_norm", "accuracy", "lr"]
+    source, path, mark = (scratch_path(spark, n) for n in ("arriving", "sink", "sink-checkpoint"))
+    rated = _rated(st.steps(spark, sf)).select(*cols)
+    rated.write.parquet(source)
+    te.write_batches(ss.scan(spark, source, te.STEP_FIELDS, files_per_trigger=3), path, mark)
+    again = spark.read.schema(te.STEP_FIELDS + ", batch long").parquet(f"{path}/rows").where("batch = 0")
+    te.append_batch(checkpoint(again.select(*cols)), path, 0)
+    return te.read_batches(spark, path).select(*cols)
+
+
 def telemetry_unpivot(spark, sf):
     metrics = ("loss", "grad_norm", "accuracy")
     # One metrics file per run and epoch: arrays of at most one epoch.
@@ -611,9 +634,9 @@ def stream_encode(spark, sf):
 
 def stream_unk(spark, sf):
     docs = ss.scan(spark, f"{sf}/documents.parque[t]", _DOCS)
-    totals = sc.unknown_totals(docs, st.stored_vocab(spark, sf), DEFAULT)
-    mark = scratch_path(spark, "unk-checkpoint")
-    return ss.totals_available(totals, "unk_" + mark.rsplit("-", 1)[1], mark)
+    path, mark = scratch_path(spark, "unk"), scratch_path(spark, "unk-checkpoint")
+    sc.count_unknown(docs, st.stored_vocab(spark, sf), DEFAULT, path, mark)
+    return sc.unknown_so_far(spark, path)
 
 
 def _event_stream(spark, sf):
@@ -643,6 +666,7 @@ QUERIES = {
     "scan_text": scan_text,
     "scan_examples": scan_examples,
     "detect_shape": detect_shape,
+    "normalize_mixed": normalize_mixed,
     "normalize_messages": normalize_messages,
     "normalize_instruction": normalize_instruction,
     "normalize_preference": normalize_preference,
@@ -652,6 +676,7 @@ QUERIES = {
     "flatten_for_vocab": flatten_for_vocab,
     "vocab_roundtrip": vocab_roundtrip,
     "telemetry_append": telemetry_append,
+    "telemetry_sink": telemetry_sink,
     "telemetry_unpivot": telemetry_unpivot,
     "latest_state": latest_state,
     "strip_accents": strip_accents_,

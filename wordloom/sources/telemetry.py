@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +14,40 @@ DECIMALS = {"loss": 4, "grad_norm": 4, "accuracy": 4, "lr": 8}
 ARRAYS = {"loss": "trainLosses", "grad_norm": "gradNorms", "accuracy": "trainAccuracies", "lr": "learningRates"}
 
 
+def _rounded(steps: DataFrame) -> DataFrame:
+    return steps.withColumns({c: F.round(c, d) for c, d in DECIMALS.items() if c in steps.columns})
+
+
 def append_steps(steps: DataFrame, path: str) -> None:
     """Append step rows, partitioned by run. Each task writes what it has: a long run is not
     gathered first."""
-    rounded = steps.withColumns({c: F.round(c, d) for c, d in DECIMALS.items() if c in steps.columns})
-    rounded.write.mode("append").partitionBy("run_id").parquet(path)
+    _rounded(steps).write.mode("append").partitionBy("run_id").parquet(path)
+
+
+def append_batch(steps: DataFrame, path: str, batch: int) -> None:
+    """Append a numbered batch of step rows so that it counts once, however often it is run.
+
+    Rows go to a folder of their own; then the batch's line in the manifest names that folder. A batch
+    that stopped half-way has no line and is not read; one that is run again gets another folder, and
+    its line then names that one. Readers never see two folders of one batch.
+    """
+    attempt = uuid.uuid4().hex
+    _rounded(steps).write.parquet(f"{path}/rows/batch={batch}/attempt={attempt}")
+    line = steps.sparkSession.createDataFrame([(attempt,)], "attempt string").coalesce(1)
+    line.write.mode("overwrite").parquet(f"{path}/manifest/batch={batch}")
+
+
+def write_batches(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Append what has arrived, micro-batch by micro-batch, each exactly once."""
+    query = stream.writeStream.foreachBatch(lambda df, number: append_batch(df, path, number))
+    query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The step rows of all batches in the manifest."""
+    known = spark.read.schema("attempt string, batch long").parquet(f"{path}/manifest")
+    rows = spark.read.schema(f"{STEP_FIELDS}, batch long, attempt string").parquet(f"{path}/rows")
+    return rows.join(known, ["batch", "attempt"], "left_semi").drop("batch", "attempt")
 
 
 def read_steps(spark: SparkSession, path: str) -> DataFrame:

@@ -182,6 +182,61 @@ def normalize(df: DataFrame, key: str = "ex_id", shape: str | None = None) -> Da
     return _NORMALIZERS[shape or detect_shape(columns)](df, key)
 
 
+def read_json_lines(spark, path: str) -> DataFrame:
+    """(js): the lines of JSON files, whatever shapes they mix."""
+    return spark.read.text(path).select(F.col("value").alias("js"))
+
+
+def normalize_mixed(lines: DataFrame, js: str = "js", key: str = "ex_id") -> DataFrame:
+    """Training examples (with their `shape`) from JSON lines of all six shapes in one scan.
+
+    A line is parsed once, into a VARIANT; its keys decide its shape, and its fields are taken out as
+    that shape needs them. `key` is the field with the order key. The rules are those of the
+    normalisers above, applied to a row instead of a table: a field counts as a list of messages
+    where it is one in this row. Lines that are no JSON object are left out.
+    """
+    v, shape = F.col("_v"), F.col("shape")
+
+    def field(name: str, kind: str = "string") -> Column:
+        return F.try_variant_get(v, f"$.{name}", kind)
+
+    def side(name: str) -> Column:
+        listed = field(name, "array<struct<content:string>>")
+        said = F.array_join(F.transform(listed, lambda m: _text(m["content"])), " ")
+        return F.when(listed.isNotNull(), said).otherwise(_text(field(name)))
+
+    messages = F.flatten(F.transform(field("messages", "array<struct<content:string,reasoning:string>>"), lambda m: F.array(m["content"], m["reasoning"])))
+    said = F.filter(messages, lambda p: p.isNotNull() & (p != ""))
+    instruction, extra = _text(field("instruction")), _text(field("input"))
+    asked = F.when(extra != "", trimmed(F.concat_ws(" ", instruction, extra))).otherwise(instruction)
+    answer = F.coalesce(*[F.nullif(field(a), F.lit("")) for a in ANSWERS], F.lit(""))
+
+    def parts(name: Column) -> Column:
+        """The texts in one field: a string, or the contents of a list of objects."""
+        value = F.element_at(F.col("_all"), name)
+        listed = F.try_variant_get(value, "$", "array<struct<content:string,value:string>>")
+        lists = F.transform(F.filter(listed, lambda m: m.isNotNull()), lambda m: F.coalesce(m["content"], m["value"], F.lit("")))
+        return F.when(F.schema_of_variant(value) == "STRING", F.array(F.try_variant_get(value, "$", "string"))).otherwise(F.coalesce(lists, F.array().cast("array<string>")))
+
+    found = F.flatten(F.transform("_keys", parts))
+    rows = lines.select(F.try_parse_json(js).alias("_v"), F.json_object_keys(js).alias("_keys"), row_shape(F.col(js)).alias("shape"))
+    rows = rows.where("_keys is not null").withColumn("_all", F.try_variant_get("_v", "$", "map<string,variant>"))
+    pair, text = shape.isin("instruction", "preference", "qa"), F.when(shape == "messages", F.array_join(said, " "))
+    text = text.when(shape == "text", field("text")).when(shape == "fallback", F.array_join(found, " "))
+    made = rows.select(
+        field(key, "long").alias("ex_id"),
+        "shape",
+        F.when(pair, "pair").otherwise("text").alias("kind"),
+        F.when(shape == "instruction", asked).when(shape == "preference", side("prompt")).when(shape == "qa", _text(field("question"))).alias("prompt"),
+        F.when(shape == "instruction", _text(field("output"))).when(shape == "preference", side("chosen")).when(shape == "qa", answer).alias("response"),
+        text.alias("text"),
+        F.when(shape == "fallback", F.size(found) > 0).otherwise(True).alias("_any"),
+    )
+    whole = (F.col("prompt") != "") & (F.col("response") != "")
+    kept = F.when(F.col("kind") == "pair", whole).when(shape == "fallback", F.col("_any")).otherwise(F.coalesce(F.col("text"), F.lit("")) != "")
+    return made.where(kept).drop("_any")
+
+
 def flatten_for_vocab(examples: DataFrame) -> DataFrame:
     """(flat_id, ex_id, side, text): prompt before response, plain texts as they are.
 

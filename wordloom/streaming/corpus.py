@@ -29,3 +29,24 @@ def unknown_totals(stream: DataFrame, vocab: DataFrame, enc: Encoding) -> DataFr
     """Running token and unknown counts over everything seen so far."""
     rates = unknown_rates(stream, vocab, enc)
     return rates.agg(F.sum("tokens").alias("tokens"), F.sum("unknown").alias("unknown"))
+
+
+def count_unknown(stream: DataFrame, vocab: DataFrame, enc: Encoding, path: str, checkpoint: str, limit: int = HEAD) -> None:
+    """Count the tokens and unknown words that have arrived, for a vocabulary of any size.
+
+    Every micro-batch leaves one row of totals under its number; run again after a failure it
+    replaces that row, so nothing counts twice.
+    """
+
+    def count(batch: DataFrame, number: int) -> None:
+        totals = unknown_rates(batch, vocab, enc, limit=limit).agg(F.sum("tokens").alias("tokens"), F.sum("unknown").alias("unknown"))
+        totals.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = stream.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def unknown_so_far(spark, path: str) -> DataFrame:
+    """(tokens, unknown) over all micro-batches that `count_unknown` has stored."""
+    stored = spark.read.schema("tokens long, unknown long").parquet(path)
+    return stored.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("unknown"), F.lit(0)).alias("unknown"))
