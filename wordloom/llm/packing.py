@@ -62,18 +62,30 @@ class WordTokenizer:
         if rules != ["NFC", "Replace", "Lowercase"] or cuts != ["Split", "ByteLevel"]:
             raise ValueError(f"{path} cuts texts by other rules")
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        # Plain words are cut by hand where the pattern cuts them so.
+        marks = {c for c in ".,;:!?" if self.pattern.findall("ab" + c) == ["ab", c]}
+        self.marks = marks if self.pattern.findall("ab\u00e9\u00dfc") == ["ab\u00e9\u00dfc"] else None
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4"
         self.memory, self.known, self.older = memory, {}, {}
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _cut(self, word: str) -> list[str]:
+        """The pre-tokens of a lower-case word."""
+        if self.marks is not None:
+            if word.isalpha():
+                return [word]
+            if word[-1] in self.marks and word[:-1].isalpha():
+                return [word[:-1], word[-1]]
+        return self.pattern.findall(word)
+
     def _learn(self, words: list[str]) -> None:
         latin = [w for w in words if _LATIN.fullmatch(w)]
         self.known.update((w, self._library(w)) for w in set(words).difference(latin))
         for at in range(0, len(latin), 20_000):
             part = latin[at : at + 20_000]
-            cut = [self.pattern.findall(w.lower()) for w in part]
+            cut = [self._cut(w.lower()) for w in part]
             ids, sizes = self.merges.merged([p.encode() for c in cut for p in c])
             # From sizes of pre-tokens to the byte range of every word.
             total = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum([len(c) for c in cut]))]
