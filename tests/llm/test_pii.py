@@ -98,9 +98,9 @@ def test_long_texts_other_columns_empty_tables(spark):
     c = card(rnd)
     text = ("word " * 1000 + c + " ") * 30
     df = spark.createDataFrame([(1, text, "pii", "m")], "doc_id long, text string, row string, _m string")
-    r = pii.pseudonymised(df).first()
+    r = pii.pseudonymised(df, "k").first()
     assert r.row.text == text and r.row["row"] == "pii" and r.row["_m"] == "m" and r.pii.kinds == ["card"] * 30 and c not in r.pii.text
-    assert pii.pseudonymised(df.limit(0)).count() == 0
+    assert pii.pseudonymised(df.limit(0), "k").count() == 0
 
 
 def test_table(spark, sf):
@@ -190,3 +190,128 @@ def test_long_runs_and_addresses_end_in_seconds(spark):
     made = exchanged(spark, texts)
     assert time.time() - start < 120
     assert made[2][1] == ["email"] and made[1][1] == ["card"] * 20_000 and len(made[0][0]) == len(texts[0])
+
+
+# ── the permutations in plain Python ─────────────────────────────────────────────────────
+
+
+def plain_feistel(key, kind, x, y, a, b):
+    import hashlib
+
+    for r in range(8):
+        seen = y if r % 2 == 0 else x
+        noise = int(hashlib.sha256("\x1f".join([key, kind, str(a), str(b), str(r), str(seen)]).encode()).hexdigest()[:13], 16)
+        x, y = ((x + noise) % a, y) if r % 2 == 0 else (x, (y + noise) % b)
+    return x, y
+
+
+def plain_digits(key, kind, d):
+    u = len(d) // 2
+    v = len(d) - u
+    x, y = plain_feistel(key, kind, int(d[:u]), int(d[u:]), 10**u, 10**v)
+    return str(x).zfill(u) + str(y).zfill(v)
+
+
+def refill(x, digits):
+    it = iter(digits)
+    return "".join(next(it) if c.isdigit() else c for c in x)
+
+
+def mod97(text):
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
+def plain_iban(key, x):
+    bare = x.replace(" ", "")
+    if mod97(bare[4:] + bare[:4]) != 1:
+        return x
+    d = "".join(c for c in bare[4:] if c.isdigit())
+    fresh = plain_digits(key, "iban", d) if len(d) > 1 else d
+    check = 98 - mod97(refill(bare[4:], fresh) + bare[:2] + "00")
+    return refill(x, f"{check:02d}{fresh}")
+
+
+def plain_day(key, day):
+    import datetime
+
+    n = day.toordinal() - datetime.date(1700, 1, 1).toordinal()
+    x, y = plain_feistel(key, "date", n // 189, n % 189, 773, 189)
+    return datetime.date.fromordinal(datetime.date(1700, 1, 1).toordinal() + x * 189 + y)
+
+
+def plain_card(key, x):
+    d = re.sub(r"\D", "", x)
+    body = d[0] + plain_digits(key, "card", d[1:-1])
+    return refill(x, next(body + c for c in "0123456789" if luhn(body + c)))
+
+
+def test_account_numbers_of_all_countries(spark):
+    rnd = random.Random(21)
+    lengths = {c[:2]: int(c[2:]) for c in pii.IBAN_LENGTHS.split()}
+    texts = []
+    for land, n in lengths.items():
+        letters = {"GB": 4, "NL": 4, "IE": 4, "MT": 4, "FR": 0}.get(land, rnd.choice([0, 0, 4]))
+        bban = "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(letters)) + "".join(rnd.choice("0123456789") for _ in range(n - 4 - letters))
+        whole = land + f"{98 - mod97(bban + land + '00'):02d}" + bban
+        spaced = " ".join(whole[i : i + 4] for i in range(0, n, 4))
+        texts += [whole, spaced]
+    texts += ["GB29NWBK60161331926818", "XX29NWBK60161331926819"]  # wrong check digits, no such country
+    made = exchanged(spark, [f"Account {t}, AND MORE" for t in texts])
+    for i, t in enumerate(texts[:-2]):
+        assert made[i] == (f"Account {plain_iban('k', t)}, AND MORE", ["iban"]), t
+        bare = plain_iban("k", t).replace(" ", "")
+        assert mod97(bare[4:] + bare[:4]) == 1
+    assert all("iban" not in made[i][1] for i in (len(texts) - 2, len(texts) - 1))
+
+
+def test_dates_in_other_orders(spark):
+    import datetime
+
+    D, key = datetime.date, "k"
+    en, fr, es, de = (pii.MONTHS[i : i + 12] for i in (0, 12, 24, 36))
+    day = lambda *a: plain_day(key, D(*a))
+    cases = []
+    for y, m, d in ((1999, 12, 31), (2000, 2, 29), (1990, 3, 3), (1950, 8, 14)):
+        n = day(y, m, d)
+        cases += [
+            (f"{d:02d}.{m:02d}.{y}", f"{n.day:02d}.{n.month:02d}.{n.year}"),
+            (f"{d} {en[m - 1].title()} {y}", f"{n.day if d < 10 else f'{n.day:02d}'} {en[n.month - 1].title()} {n.year}"),
+            (f"{en[m - 1].title()} {d:02d}, {y}", f"{en[n.month - 1].title()} {n.day:02d}, {n.year}"),
+            (f"{d:02d}. {de[m - 1].title()} {y}", f"{n.day:02d}. {de[n.month - 1].title()} {n.year}"),
+            (f"{d:02d} {fr[m - 1]} {y}", f"{n.day:02d} {fr[n.month - 1]} {n.year}"),
+            (f"{d:02d} de {es[m - 1]} de {y}", f"{n.day:02d} de {es[n.month - 1]} de {n.year}"),
+        ]
+    n = day(1999, 12, 31)
+    cases.append(("12/31/1999", f"{n.month:02d}/{n.day:02d}/{n.year}"))
+    n = day(1990, 4, 3)
+    cases.append(("3/4/1990", f"{n.day}/{n.month}/{n.year}"))
+    left = ["31.02.1999", "13/31/1999", "31 June 1999", "3 Marchand 1999", "1.2.3.2000", "12/31/1650", "May 1999"]
+    made = exchanged(spark, [f"On {a}, yes" for a, _ in cases] + [f"On {a}, yes" for a in left])
+    for i, (a, b) in enumerate(cases):
+        assert made[i][0] == f"On {b}, yes", a
+    for i, a in enumerate(left):
+        assert made[len(cases) + i] == (f"On {a}, yes", []), a
+
+
+def test_international_numbers_and_cards(spark):
+    rnd = random.Random(5)
+    c = card(rnd)
+    texts = ["+49 30 1234567", "+33.1.23.45.67.89", "+442079460958", c, f"{c[:4]}-{c[4:8]}-{c[8:12]}-{c[12:]}"]
+    made = exchanged(spark, [f"see {t};" for t in texts] + ["see +4912;", "see 1+49301234567;"])
+    for i, t in enumerate(texts[:3]):
+        d = re.sub(r"\D", "", t)
+        assert made[i] == (f"see {refill(t, d[:2] + plain_digits('k', 'international', d[2:]))};", ["international"])
+    for i in (3, 4):
+        assert made[i] == (f"see {plain_card('k', texts[i])};", ["card"])
+    assert made[5] == ("see +4912;", []) and made[6] == ("see 1+49301234567;", [])
+
+
+def test_the_key_is_required(spark):
+    df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    with pytest.raises(TypeError):
+        pii.pseudonymised(df)
+    spark.conf.set(pii.KEY_SETTING, "mine")
+    try:
+        assert pii.session_key(spark) == "mine"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)

@@ -1,9 +1,12 @@
 """Personal data and secrets: format-preserving Feistel pseudonyms.
 
 Numbers that pass their validity check (payment cards, telephone numbers, social security numbers,
-IPv4 addresses, account numbers of all-digit formats) and calendar dates are permuted within their
-own format by a keyed Feistel network: the result is valid again, keeps length and separators,
-and equal values get equal pseudonyms in every document, however they are punctuated. Mail
+IPv4 addresses, IBANs of all countries) and calendar dates, in digits or with the name of the month
+in four languages, are permuted within their own format by a keyed Feistel network: the result is
+valid again and keeps its separators, and equal values get equal pseudonyms in every document,
+however they are punctuated. In an IBAN the letters stay, in an international telephone number the
+first two digits. A date keeps its order and language; of dates like 3/4/1990 the first number is
+taken for the day if it can be. Mail
 addresses and secrets have no number behind them; they get a keyed hash in their own alphabet.
 
 Everything is one projection of DataFrame functions. A text is cut at its matches, the matches are
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from wordloom.llm.common import bind, table
 
 ROUNDS = 8
-KEY = "replace this key"  # a parameter: production passes its own secret
+KEY_SETTING = "wordloom.pii.key"  # the session setting that holds the secret for the registered queries
 
 # ── fixed values: the formats ────────────────────────────────────────────────────────────
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -32,14 +35,35 @@ DATE = r"(?<![\d/.-])(?:1[7-9]|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])
 IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\d+])(?:\+1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4})(?!\d)"
-IBAN = r"\b(?:DE\d\d(?: ?\d){18}|ES\d\d(?: ?\d){20}|BE\d\d(?: ?\d){12}|PT\d\d(?: ?\d){21}|AT\d\d(?: ?\d){16})\b"
+# Characters of an IBAN by country.
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 "
+    "GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 "
+    "MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+)
+IBAN = "\\b(?:" + "|".join(
+    f"(?:{'|'.join(c[:2] for c in IBAN_LENGTHS.split() if int(c[2:]) == n)})\\d\\d(?: ?[A-Z0-9]){{{n - 4}}}" for n in sorted({int(c[2:]) for c in IBAN_LENGTHS.split()})
+) + ")(?![A-Za-z0-9])"
+MONTHS = (
+    "january february march april may june july august september october november december "
+    "janvier février mars avril mai juin juillet août septembre octobre novembre décembre "
+    "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre "
+    "januar februar märz april mai juni juli august september oktober november dezember"
+).split()
+_YEAR, _DAY, _NAME = r"(?:1[7-9]|20)\d\d", r"(?:0?[1-9]|[12]\d|3[01])", "(?iu:" + "|".join(dict.fromkeys(MONTHS)) + ")"
+NUMERIC_DATE = rf"(?<![\d/.-]){_DAY}(?:\.{_DAY}\.|/{_DAY}/){_YEAR}(?![\d/-])"
+NAMED_DATE = rf"(?<![\w.-])(?:{_DAY}(?:\. | de | ){_NAME}(?: de | ){_YEAR}|{_NAME} {_DAY},? {_YEAR})(?!\w)"
+INTERNATIONAL = r"(?<![\d+])\+[2-9](?:[ .-]?\d){7,14}(?![ .-]?\d)"
 # A whole run of digit groups, of any length; the cards are looked for inside.
 CARD = r"(?<!\d)(?<!\d[.+-])(?=\d(?:[ -]?\d){12})\d++(?:[ -]\d++)*+"
-FORMATS = {"email": EMAIL, "access_key": ACCESS_KEY, "assigned": ASSIGNED, "iban": IBAN, "date": DATE, "ip": IP, "ssn": SSN, "phone": PHONE, "card": CARD}
+FORMATS = {
+    "email": EMAIL, "access_key": ACCESS_KEY, "assigned": ASSIGNED, "iban": IBAN, "date": DATE, "numeric_date": NUMERIC_DATE,
+    "named_date": NAMED_DATE, "ip": IP, "ssn": SSN, "phone": PHONE, "international": INTERNATIONAL, "card": CARD,
+}
 # Two passes; in each the first format that fits at a place wins. The second reads what the first
 # left, and the numbers beside a card, with `OPEN index CLOSE` in place of what was exchanged.
 FIRST = {k: FORMATS[k] for k in ("email", "access_key", "assigned", "iban", "card")}
-SECOND = {k: FORMATS[k] for k in ("date", "ip", "ssn", "phone")}
+SECOND = {k: FORMATS[k] for k in ("date", "numeric_date", "named_date", "ip", "ssn", "phone", "international")}
 OPEN = ["\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3", "\ufdd4"]  # noncharacters; the first that a text lacks
 CLOSE = "\ufdef"
 FIRST_DAY, DAYS = "1700-01-01", (773, 189)  # 146,097 days: the 400 years to 2099-12-31
@@ -233,16 +257,30 @@ def _cards(secret: Column, x: Column) -> Column:
 
 
 def _iban(secret: Column, x: Column) -> Column:
-    land = F.substring(x, 1, 2)
-    letters = F.concat((F.ascii(F.substring(x, 1, 1)) - 55).cast("string"), (F.ascii(F.substring(x, 2, 1)) - 55).cast("string"))
+    bare = F.replace(x, F.lit(" "), F.lit(""))
 
-    def made(d: Column) -> Column:
-        body = F.substring(d, F.lit(3), F.length(d) - 2)
-        fresh = _halves(secret, "iban", body)
-        return bind(fresh, lambda f: F.concat(_padded(F.lit(98) - _mod97(F.concat(f, letters, F.lit("00"))), 2), f))
+    def numbers(text: Column) -> Column:
+        """Letters as the numbers from 10 on."""
+        letter = lambda c: F.when(c.between("0", "9"), c).otherwise((F.ascii(c) - 55).cast("string"))
+        return F.array_join(F.transform(F.filter(F.split(text, ""), lambda c: c != ""), letter), "")
+
+    def made(all_: Column) -> Column:
+        head, body = F.substring(all_, 1, 2), F.substring(all_, F.lit(5), F.length(all_) - 4)
+        fresh = bind(_digits(body), lambda d: F.when(F.length(d) < 2, d).otherwise(_halves(secret, "iban", d)))
+
+        def checked(f: Column) -> Column:
+            rest = _mod97(numbers(F.concat(_refilled(body, f), head, F.lit("00"))))
+            return F.concat(_padded(F.lit(98) - rest, 2), f)
+
+        return bind(fresh, checked)
 
-    valid = lambda d: _mod97(F.concat(F.substring(d, F.lit(3), F.length(d) - 2), letters, F.substring(d, 1, 2))) == 1
-    return bind(_digits(x), lambda d: F.when(valid(d) & land.isNotNull(), _refilled(x, made(d))))
+    valid = lambda b: _mod97(numbers(F.concat(F.substring(b, F.lit(5), F.length(b) - 4), F.substring(b, 1, 4)))) == 1
+    return bind(bare, lambda b: F.when(valid(b), _refilled(x, made(b))))
+
+
+def _international(secret: Column, x: Column) -> Column:
+    """The first two digits stay: most of the country code."""
+    return bind(_digits(x), lambda d: _refilled(x, F.concat(F.substring(d, 1, 2), _halves(secret, "international", F.substring(d, F.lit(3), F.length(d) - 2)))))
 
 
 def _phone(secret: Column, x: Column) -> Column:
@@ -287,18 +325,67 @@ def _ip(secret: Column, x: Column) -> Column:
     return bind(F.split(x, r"\."), made)
 
 
-def _date(secret: Column, x: Column) -> Column:
-    """Real days of the calendar from 1700 to 2099."""
-    day = F.datediff(F.try_to_date(x, "yyyy-MM-dd"), F.lit(FIRST_DAY).cast("date")).cast("long")
+def _moved(secret: Column, day: Column) -> Column:
+    """Another day of the calendar from 1700 to 2099; null stays null."""
     a, b = DAYS
 
     def made(n: Column) -> Column:
         low = F.pmod(n, _long(b))
         mixed = feistel(secret, "date", ((n - low) / b).cast("long"), low, _long(a), _long(b))
-        fresh = bind(mixed, lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"), (s.x * b + s.y).cast("int")))
-        return F.when(n.isNotNull(), F.date_format(fresh, "yyyy-MM-dd"))
+        return F.when(n.isNotNull(), bind(mixed, lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"), (s.x * b + s.y).cast("int"))))
+
+    return bind(F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long"), made)
+
+
+def _calendar(year: Column, month: Column, day: Column) -> Column:
+    """The date, or null where the calendar has none."""
+    return F.try_to_date(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
+
+
+def _like(value: Column, old: Column) -> Column:
+    """A day or month as wide as the old one was written: with a leading zero or without."""
+    return F.when(F.length(old) == 2, F.lpad(value.cast("string"), 2, "0")).otherwise(value.cast("string"))
+
+
+def _date(secret: Column, x: Column) -> Column:
+    return bind(_moved(secret, F.try_to_date(x, "yyyy-MM-dd")), lambda d: F.date_format(d, "yyyy-MM-dd"))
+
+
+def _numeric_date(secret: Column, x: Column) -> Column:
+    def made(p: Column) -> Column:
+        one, two, year = (F.get(p, F.lit(i)) for i in range(3))
+        mark = F.substring(x, F.length(one) + 1, F.lit(1))
+        day_first, month_first = _calendar(year, two, one), F.when(mark == "/", _calendar(year, one, two))
+        flipped = day_first.isNull()
+
+        def shown(d: Column) -> Column:
+            first, second = F.when(flipped, F.month(d)).otherwise(F.day(d)), F.when(flipped, F.day(d)).otherwise(F.month(d))
+            return F.when(d.isNotNull(), F.concat(_like(first, one), mark, _like(second, two), mark, F.year(d).cast("string")))
+
+        return bind(_moved(secret, F.coalesce(day_first, month_first)), shown)
+
+    return bind(F.split(x, "[./]"), made)
 
-    return bind(day, made)
+
+def _named_date(secret: Column, x: Column) -> Column:
+    """Day, month, year, or month, day, year; the new month is named in the same language."""
+    names = F.array(*map(F.lit, MONTHS))
+    begins = x.rlike(r"^\d")
+    name = F.regexp_extract(x, f"({_NAME})", 1)
+    day, year = F.regexp_extract(x, r"(?<!\d)(\d{1,2})(?!\d)", 1), F.right(x, F.lit(4))
+
+    def made(at: Column) -> Column:
+        def shown(d: Column) -> Column:
+            plain = F.get(names, at - at % 12 + F.month(d) - 1)
+            said = F.when(F.upper(name) == name, F.upper(plain)).when(F.substring(F.lower(name), 1, 1) == F.substring(name, 1, 1), plain).otherwise(F.initcap(plain))
+            fresh, between = _like(F.day(d), day), lambda i: F.regexp_extract(x, f"^(?:\\d+|{_NAME})(\\D+?)(?:{_NAME}|\\d+)(\\D+)\\d+$", i)
+            return F.when(d.isNotNull(), F.concat(F.when(begins, fresh).otherwise(said), between(1), F.when(begins, said).otherwise(fresh), between(2), F.year(d).cast("string")))
+
+        return bind(_moved(secret, _calendar(year, (at % 12 + 1).cast("string"), day)), shown)
+
+    # Names that two languages share: a point behind the day is German.
+    german = F.when(x.rlike(r"^\d{1,2}\.") & F.array_contains(F.slice(names, 37, 12), F.lower(name)), F.array_position(F.slice(names, 37, 12), F.lower(name)) + 36)
+    return bind(F.coalesce(german, F.array_position(names, F.lower(name))).cast("int") - 1, made)
 
 
 def _email(secret: Column, x: Column) -> Column:
@@ -315,7 +402,10 @@ def _assigned(secret: Column, x: Column) -> Column:
     return bind(value, lambda v: F.concat(name, F.rpad(_hash(secret, "assigned", v), F.length(v), _hash(secret, "more", v))))
 
 
-MAKERS = {"email": _email, "access_key": _access_key, "assigned": _assigned, "iban": _iban, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
+MAKERS = {
+    "email": _email, "access_key": _access_key, "assigned": _assigned, "iban": _iban, "date": _date, "numeric_date": _numeric_date,
+    "named_date": _named_date, "ip": _ip, "ssn": _ssn, "phone": _phone, "international": _international, "card": _card,
+}
 
 
 def _any(formats: dict[str, str]) -> str:
@@ -336,7 +426,13 @@ def _woven(gaps: Column, pieces: Column) -> Column:
     return F.flatten(F.zip_with(gaps, pieces, lambda g, p: F.concat(F.array(_piece(g)), F.coalesce(p, F.array().cast(f"array<{PIECE}>")))))
 
 
-def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
+def session_key(spark) -> str:
+    """The secret of the session. Without one a public text takes its place, for trials only: whoever
+    knows the key can undo the pseudonyms."""
+    return spark.conf.get(KEY_SETTING, None) or "for trials only"
+
+
+def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(row, pii): the input row as a struct, and STRUCT(text, kinds): the text with pseudonyms
     and the kind of every exchanged value, in order."""
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
@@ -369,4 +465,4 @@ def op7_pii(spark, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     kinds = F.col("pii.kinds")
     counts = [F.size(F.filter(kinds, lambda k: k == F.lit(kind))).cast("long").alias(f"n_{kind}") for kind in FORMATS]  # noqa: B023
-    return pseudonymised(docs).select("row.doc_id", "pii.text", F.size(kinds).cast("long").alias("n_found"), *counts)
+    return pseudonymised(docs, session_key(spark)).select("row.doc_id", "pii.text", F.size(kinds).cast("long").alias("n_found"), *counts)
