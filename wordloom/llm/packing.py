@@ -72,20 +72,17 @@ class WordTokenizer:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _cut(self, word: str) -> list[str]:
-        """The pre-tokens of a lower-case word."""
-        if self.marks is not None:
-            if word.isalpha():
-                return [word]
-            if word[-1] in self.marks and word[:-1].isalpha():
-                return [word[:-1], word[-1]]
+        """The pre-tokens of a lower-case word that is more than letters."""
+        if self.marks is not None and word[-1] in self.marks and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
         return self.pattern.findall(word)
 
     def _learn(self, words: list[str]) -> None:
-        latin = [w for w in words if _LATIN.fullmatch(w)]
+        latin = [w for w in words if (w.isascii() and w.isprintable()) or _LATIN.fullmatch(w)]
         self.known.update((w, self._library(w)) for w in set(words).difference(latin))
         for at in range(0, len(latin), 20_000):
             part = latin[at : at + 20_000]
-            cut = [self._cut(w.lower()) for w in part]
+            cut = [[low] if (low := w.lower()).isalpha() and self.marks is not None else self._cut(low) for w in part]
             ids, sizes = self.merges.merged([p.encode() for c in cut for p in c])
             # From sizes of pre-tokens to the byte range of every word.
             total = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum([len(c) for c in cut]))]
