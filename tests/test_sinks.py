@@ -88,3 +88,19 @@ def test_asof_values_on_a_stream(spark):
     got = {(r.run_id, r.event_id): r.val_loss for r in spark.read.parquet(out).collect()}
     want = {(r, at): next((v for g, x, v in reversed(marks) if g == r and x < at), None) for r, at in rows}
     assert got == want and joined.select(F.col("val_loss")).columns == ["val_loss"]
+
+
+def test_files_that_grow_are_read_once(spark):
+    sink, n = scratch_path(spark, "sink"), 0
+    cols = [c.split(" ")[0] for c in ROW.split(", ")]
+    for batch, size in ((0, 2), (0, 2), (1, 5), (1, 5), (2, 5)):
+        path = scratch_path(spark, "files")
+        arrays = json.dumps({name: [float(i) for i in range(size)] for name in te.ARRAYS.values()})
+        files = spark.createDataFrame([(1, 0, arrays), (2, 3, '{"trainLosses": [7.0]}'), (4, 0, "{}")], "run_id long, epoch long, value string")
+        files.write.partitionBy("run_id", "epoch").text(path)
+        rows = te.read_metrics_files(spark, path).withColumn("step", F.col("pos") + 1)
+        te.append_new(rows.select(*cols), sink, batch)
+        n = max(n, size)
+        got = sorted((r.run_id, r.epoch, r.step, r.loss) for r in te.read_batches(spark, sink).collect())
+        assert got == [(1, 0, i + 1, float(i)) for i in range(n)] + [(2, 3, 1, 7.0)]
+    assert te.read_metrics_files(spark, path, since="2999-01-01T00:00:00").isEmpty()

@@ -271,6 +271,8 @@ ORACLES = {
       round({LR}, 8) AS lr FROM steps""",
     "telemetry_sink": f"""WITH {STEPS} SELECT run_id, step, epoch, round(loss, 4) AS loss, round(grad_norm, 4) AS grad_norm, round(accuracy, 4) AS accuracy,
       round({LR}, 8) AS lr FROM steps""",
+    "metrics_files": f"""WITH {STEPS} SELECT run_id, step, epoch, round(loss, 4) AS loss, round(grad_norm, 4) AS grad_norm, round(accuracy, 4) AS accuracy,
+      round({LR}, 8) AS lr FROM steps""",
     "telemetry_unpivot": f"WITH {STEPS} SELECT run_id, step, loss, grad_norm, accuracy FROM steps",
     "latest_state": f"""{TUNED}, adj AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS recency FROM r WHERE adjusted),
       z AS (SELECT run_id, max_by(clip, step) AS clip, max_by(scale, step) AS scale, max_by(smoothing, step) AS smoothing, max_by(dropout, step) AS dropout, max(step) AS at,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,13 +44,40 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """The step rows of all batches in the manifest."""
+def read_batches(spark: SparkSession, path: str, without: int | None = None) -> DataFrame:
+    """The step rows of all batches in the manifest, or of all but one."""
     known = spark.read.schema("attempt string, batch long").parquet(f"{path}/manifest")
+    known = known if without is None else known.where(F.col("batch") != without)
     rows = spark.read.schema(f"{STEP_FIELDS}, batch long, attempt string").parquet(f"{path}/rows")
     return rows.join(known, ["batch", "attempt"], "left_semi").drop("batch", "attempt")
 
 
+def read_metrics_files(spark: SparkSession, path: str, since: str | None = None, metrics=("loss", "grad_norm", "accuracy", "lr")) -> DataFrame:
+    """(run_id, epoch, pos, metrics) of metrics files, JSON objects of parallel arrays, that lie in
+    folders run_id=.../epoch=.... `since` (yyyy-mm-ddThh:mm:ss) leaves out files not written after it."""
+    reader = spark.read.schema("value string, run_id long, epoch long").option("wholetext", True)
+    files = (reader if since is None else reader.option("modifiedAfter", since)).format("text").load(path)
+    return unfold(files, F.col("value"), ["run_id", "epoch"], metrics)
+
+
+def append_new(steps: DataFrame, path: str, batch: int) -> None:
+    """Append the step rows beyond what other batches have of their run and epoch.
+
+    A metrics file is written anew with longer arrays as training goes on; read again, only what was
+    added is appended. What is already there is told from the sink itself, so a batch that runs
+    again after a failure finds the same rows, and nothing is lost or kept twice.
+    """
+    spark = steps.sparkSession
+    try:
+        had = read_batches(spark, path, without=batch).groupBy("run_id", "epoch").agg(F.max("step").alias("_had"))
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return append_batch(steps, path, batch)
+    fresh = steps.join(had, ["run_id", "epoch"], "left").where(F.col("_had").isNull() | (F.col("step") > F.col("_had")))
+    append_batch(fresh.select(steps.columns), path, batch)
+
+
 def read_steps(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STEP_FIELDS).parquet(path)
 
@@ -59,10 +87,11 @@ def metrics_schema(metrics=tuple(ARRAYS)) -> str:
 
 
 def unfold(files: DataFrame, json_text: Column, keys: list[str], metrics=tuple(ARRAYS)) -> DataFrame:
-    """(keys, pos, one column per metric) from JSON objects of parallel arrays."""
-    doc = F.from_json(json_text, metrics_schema(metrics))
+    """(keys, pos, one column per metric) from JSON objects of parallel arrays; arrays that are shorter
+    or missing give nulls."""
+    doc, none = F.from_json(json_text, metrics_schema(metrics)), F.array().cast("array<double>")
     rows = files.select(*keys, doc.alias("_d")).select(
-        *keys, F.posexplode_outer(F.arrays_zip(*[F.col(f"_d.{ARRAYS[m]}").alias(m) for m in metrics])).alias("pos", "_z")
+        *keys, F.posexplode_outer(F.arrays_zip(*[F.coalesce(f"_d.{ARRAYS[m]}", none).alias(m) for m in metrics])).alias("pos", "_z")
     )
     return rows.where("_z is not null").select(*keys, F.col("pos").cast("long").alias("pos"), *[F.col(f"_z.{m}").alias(m) for m in metrics])
 
