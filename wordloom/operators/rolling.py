@@ -13,7 +13,6 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wordloom.operators import blocks

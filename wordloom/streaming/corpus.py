@@ -1,4 +1,4 @@
-"""Corpus streams against a fixed vocabulary. All stateless but the running totals."""
+"""Corpus streams against a fixed vocabulary of any size, micro-batch by micro-batch."""
 
 from __future__ import annotations
 
@@ -25,12 +25,6 @@ def write_encoded(
     query.awaitTermination()
 
 
-def unknown_totals(stream: DataFrame, vocab: DataFrame, enc: Encoding) -> DataFrame:
-    """Running token and unknown counts over everything seen so far."""
-    rates = unknown_rates(stream, vocab, enc)
-    return rates.agg(F.sum("tokens").alias("tokens"), F.sum("unknown").alias("unknown"))
-
-
 def count_unknown(stream: DataFrame, vocab: DataFrame, enc: Encoding, path: str, checkpoint: str, limit: int = HEAD) -> None:
     """Count the tokens and unknown words that have arrived, for a vocabulary of any size.
 

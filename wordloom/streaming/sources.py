@@ -28,17 +28,3 @@ def append_available(stream: DataFrame, out: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
-
-
-def totals_available(stream: DataFrame, name: str, checkpoint: str) -> DataFrame:
-    """Process what is there into an in-memory table; only for a global, few-row aggregate."""
-    query = (
-        stream.writeStream.format("memory")
-        .queryName(name)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return stream.sparkSession.table(name)
