@@ -26,7 +26,6 @@ Other columns are not read, whatever their names.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 
