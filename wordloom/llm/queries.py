@@ -14,7 +14,7 @@ from wordloom.llm.sharding import op6_sharding
 from wordloom.llm.simhash import op10_simhash_near_dedup
 from wordloom.llm.tokencount import op4_token_counts
 from wordloom.llm.toxicity import op3_toxicity
-from wordloom.llm.warc import op9_warc
+from wordloom.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_hamming_top_k": op1_hamming_top_k,
@@ -33,6 +33,7 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op1_hamming_top_k": OP1_SQL,
+    "op9_warc": OP9_SQL,
     "op12_hard_negative_mining": OP12_SQL,
     "op13_source_divergence_audit": OP13_SQL,
 }

@@ -45,11 +45,11 @@ CHI_SQUARE = 30.0  # a term of this chi-square has half of the largest weight
 NEIGHBOURS = 15
 BLOCK = 256
 FREQUENT = 256  # terms whose postings are matrix rows
-TEXTS = 64  # texts scored together
+TEXTS = 16  # texts scored together
 SOFT = 0.05  # added to a distance before it is inverted
 FOLDS = 5
 LENGTHS = (4, 5, 6)  # letters of a word's beginning
-MEMORY = 200_000  # remembered tokens per Python worker
+MEMORY = 100_000  # remembered tokens per Python worker
 
 _LETTERS = regex.compile(r"\p{L}+")
 
@@ -221,13 +221,14 @@ class _Known(dict):
         self.words, self.starts = index.words, index.starts
         self.heads = {x[: LENGTHS[0]] for x in index.starts}
 
-    def __missing__(self, token: str) -> list[int]:
+    def __missing__(self, token: str) -> list[int] | tuple[()]:
         made = []
         for word in words_of(token):
             if (t := self.words.get(word)) is not None:
                 made.append(t)
             if word[: LENGTHS[0]] in self.heads:
                 made += [t for x in beginnings(word) if (t := self.starts.get(x)) is not None]
+        made = made or ()  # one object for the many tokens without a term
         if len(self) >= MEMORY:
             self.clear()  # frequent tokens are back at once
         if len(token) < 64:
