@@ -15,6 +15,7 @@ from wordloom.llm.common import stored, table
 from wordloom.llm.packing import pack
 from wordloom.llm.pii import pseudonymised, session_key
 from wordloom.llm.quality import clean_documents
+from wordloom.llm.simhash import RADIUS
 from wordloom.llm.similar import keep_one
 from wordloom.llm.toxicity import fit, toxicity
 
@@ -50,9 +51,10 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (5-word Jaccard of 0.8 or more, and what
-    such pairs connect): the one with the smallest id."""
-    return keep_one(docs)
+    """One document of each group of near duplicates: the one with the smallest id. Groups are what
+    SimHash links (fingerprints within 3 bits, as in op10) connect, together with the pairs of a 5-word
+    Jaccard similarity of 0.8 or more that lie beyond 3 bits."""
+    return keep_one(docs, radius=RADIUS)
 
 
 def exchange_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,3 +90,16 @@ def test_the_stage_on_the_table(spark, sf):
 
 def test_rows_without_a_key_stay_unless_linked(spark):
     check_null_rows(spark, sm.keep_one)
+
+
+def test_simhash_links_decide_too(spark, sf):
+    same = "x y z " * 50
+    texts = {1: same, 2: same + "one more word", 3: "another text of seven words in all"}
+    assert (sh.fingerprint(texts[1]) ^ sh.fingerprint(texts[2])).bit_count() <= 3
+    a, b = set(grams(texts[1])), set(grams(texts[2]))
+    assert len(a & b) < sm.SIMILARITY * len(a | b)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in cp.drop_near_copies(spark, df, sf).collect()} == {1, 3}
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    by_simhash = {r.doc_id for r in sh.keep_one(docs).collect()}
+    assert {r.doc_id for r in cp.drop_near_copies(spark, docs, sf).collect()} <= by_simhash

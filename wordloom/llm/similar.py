@@ -8,6 +8,8 @@
    `cell` shingles is dealt into cells, and pairs of cells are compared, so no task holds more than
    two cells and no pair is left out. A task reports a spanning forest of its links.
 4. The components of the verified links are the groups of near duplicates.
+5. With a `radius`, the fingerprints of `simhash` link texts as well, and the components are those of
+   both kinds of links: what SimHash finds, and what lies beyond its radius.
 
 Null and empty texts, and texts without words, are equal to each other; a text of fewer words than
 a shingle is one shingle. Null keys name nothing but take part. An empty table gives an empty table.
@@ -21,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.common import stored
-from wordloom.llm.simhash import _xxh64, components, grouped, one_of_each
+from wordloom.llm.simhash import _xxh64, components, fingerprints, grouped, one_of_each
+from wordloom.llm.simhash import links as simhash_links
 
 WIDTH = 5  # words of a shingle
 SIMILARITY = 0.8
@@ -139,13 +142,27 @@ def links(docs: DataFrame, nodes: DataFrame, text: str, width: int, similarity:
     return dealt.groupBy("c", "i", "j").applyInArrow(_verify(width, similarity), "a long, b long")
 
 
+def _fingerprint_links(nodes: DataFrame, radius: int) -> DataFrame:
+    """(a, b): the SimHash links of `nodes` (v, fp): equal fingerprints are one vertex, and those within
+    `radius` are linked by the bucket tables and pivot rows of `simhash`."""
+    prints = stored(nodes.groupBy("fp").agg(F.min("v").alias("v")), "prints")
+    same = nodes.join(prints.select("fp", F.col("v").alias("a")), "fp").where("a <> v").select("a", F.col("v").alias("b"))
+    return simhash_links(prints.select("v", "fp"), radius).union(same)
+
+
 def keep_one(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, cell: int = CELL
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, cell: int = CELL, radius: int | None = None
 ) -> DataFrame:
     """One row of each group of near duplicates: the rows of the smallest key, or one row of a group
-    without any key. Rows that repeat a key are one document and stay together."""
-    rows = docs.select(F.col(key).alias("k"), _digest(F.col(text)).alias("d"), sketch(F.col(text), width).alias("s"))
-    marks = rows.groupBy("d").agg(F.min("k").alias("k"), F.first("s").alias("s"))
-    nodes = stored(marks.select("d", "k", "s.n", "s.bands", F.monotonically_increasing_id().alias("v")), "nodes")
-    found = components(links(docs, nodes, text, width, similarity, cell))
+    without any key. Rows that repeat a key are one document and stay together. With a `radius`, texts
+    whose SimHash fingerprints differ by that many bits at most are linked too."""
+    made = {"s": sketch(F.col(text), width)} | ({} if radius is None else {"fp": fingerprints(F.col(text))})
+    rows = docs.select(F.col(key).alias("k"), _digest(F.col(text)).alias("d"), *[c.alias(n) for n, c in made.items()])
+    marks = rows.groupBy("d").agg(F.min("k").alias("k"), *[F.first(n).alias(n) for n in made])
+    kept = ["d", "k", "s.n", "s.bands", *[n for n in made if n != "s"], F.monotonically_increasing_id().alias("v")]
+    nodes = stored(marks.select(*kept), "nodes")
+    edges = links(docs, nodes, text, width, similarity, cell)
+    if radius is not None:
+        edges = edges.union(_fingerprint_links(nodes.select("v", "fp"), radius))
+    found = components(edges)
     return one_of_each(docs, key, _digest(F.col(text)), grouped(nodes.select("v", "k", F.col("d").alias("mark")), found))
