@@ -104,3 +104,23 @@ def test_files_that_grow_are_read_once(spark):
         got = sorted((r.run_id, r.epoch, r.step, r.loss) for r in te.read_batches(spark, sink).collect())
         assert got == [(1, 0, i + 1, float(i)) for i in range(n)] + [(2, 3, 1, 7.0)]
     assert te.read_metrics_files(spark, path, since="2999-01-01T00:00:00").isEmpty()
+
+
+def test_metrics_files_of_many_epochs(spark):
+    path = scratch_path(spark, "lines")
+    lines = [(1, json.dumps({"epoch": e, "trainLosses": [e + 0.5, e + 0.25]})) for e in range(30)] + [(2, '{"epoch": 4}')]
+    spark.createDataFrame(lines, "run_id long, value string").coalesce(1).write.partitionBy("run_id").text(path)
+    got = sorted((r.run_id, r.epoch, r.pos, r.loss) for r in te.read_metrics_files(spark, path, lines=True).collect())
+    assert got == [(1, e, i, e + x) for e in range(30) for i, x in ((0, 0.5), (1, 0.25))]
+    assert len(te.read_metrics_files(spark, path, lines=True).inputFiles()) == 2
+    assert te.read_metrics_files(spark, path, since="2999-01-01T00:00:00", lines=True).isEmpty()
+
+
+def test_a_run_is_folded_in_chunks():
+    import numpy as np
+    import pandas as pd
+
+    at = np.random.default_rng(0).permutation(25_000)
+    chunks = (pd.DataFrame({"at": at[i : i + 999], "loss": at[i : i + 999] / 2}) for i in range(0, len(at), 999))
+    parts = list(stel._in_order(chunks, ["at", "loss"]))
+    assert max(map(len, parts)) <= stel.CHUNK and [x for p in parts for x in p] == [(i, i / 2) for i in range(25_000)]

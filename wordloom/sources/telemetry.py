@@ -52,9 +52,19 @@ def read_batches(spark: SparkSession, path: str, without: int | None = None) ->
     return rows.join(known, ["batch", "attempt"], "left_semi").drop("batch", "attempt")
 
 
-def read_metrics_files(spark: SparkSession, path: str, since: str | None = None, metrics=("loss", "grad_norm", "accuracy", "lr")) -> DataFrame:
+def read_metrics_files(
+    spark: SparkSession, path: str, since: str | None = None, metrics=("loss", "grad_norm", "accuracy", "lr"), lines: bool = False
+) -> DataFrame:
     """(run_id, epoch, pos, metrics) of metrics files, JSON objects of parallel arrays, that lie in
-    folders run_id=.../epoch=.... `since` (yyyy-mm-ddThh:mm:ss) leaves out files not written after it."""
+    folders run_id=.../epoch=.... `since` (yyyy-mm-ddThh:mm:ss) leaves out files not written after it.
+
+    With `lines`, a file holds one object a line, of as many epochs as there are, which names its epoch;
+    folders are run_id=... only. So the number of files does not grow with the number of epochs."""
+    if lines:
+        reader = spark.read.schema("value string, run_id long")
+        read = (reader if since is None else reader.option("modifiedAfter", since)).format("text").load(path)
+        epoch = F.from_json("value", "epoch long")["epoch"]
+        return unfold(read.select("value", "run_id", epoch.alias("epoch")), F.col("value"), ["run_id", "epoch"], metrics)
     reader = spark.read.schema("value string, run_id long, epoch long").option("wholetext", True)
     files = (reader if since is None else reader.option("modifiedAfter", since)).format("text").load(path)
     return unfold(files, F.col("value"), ["run_id", "epoch"], metrics)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -21,8 +22,24 @@ from wordloom.operators.tuner import SETTINGS, Tuner
 from wordloom.session import checkpoint
 
 
-def _in_order(chunks: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
-    return pd.concat(list(chunks), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
+CHUNK = 10_000  # rows that are Python objects at a time
+
+
+def _in_order(chunks: Iterator[pd.DataFrame], names: list[str]) -> Iterator[list[tuple]]:
+    """The rows of a run, in the order of the first column and `CHUNK` at a time. Until then each is a
+    few numbers in arrays: 8 bytes a field."""
+    held = {n: [] for n in names}
+    for chunk in chunks:
+        for n in names:
+            held[n].append(chunk[n].to_numpy())
+    order, columns = None, []
+    for n in names:
+        whole = np.concatenate(held.pop(n))
+        order = np.argsort(whole, kind="stable") if order is None else order
+        columns.append(whole[order])
+        del whole
+    for lo in range(0, len(order), CHUNK):
+        yield list(zip(*[c[lo : lo + CHUNK].tolist() for c in columns]))
 
 
 class _Average(StatefulProcessor):
@@ -34,17 +51,18 @@ class _Average(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         last, step, ema = self.state.get() if self.state.exists() else (None, 0, math.nan)
-        pdf, out = _in_order(rows, self.order), []
-        for at, loss in zip(pdf[self.order].tolist(), pdf["loss"].tolist()):
-            late = last is not None and at <= last
-            if not late:
-                ema = loss if step == 0 else self.keep * ema + (1.0 - self.keep) * loss
-                if self.digits is not None:
-                    ema = round(ema, self.digits)
-                last, step = at, step + 1
-            out.append((key[0], at, None if late else step, loss, None if late else ema, late))
+        for chunk in _in_order(rows, [self.order, "loss"]):
+            out = []
+            for at, loss in chunk:
+                late = last is not None and at <= last
+                if not late:
+                    ema = loss if step == 0 else self.keep * ema + (1.0 - self.keep) * loss
+                    if self.digits is not None:
+                        ema = round(ema, self.digits)
+                    last, step = at, step + 1
+                out.append((key[0], at, None if late else step, loss, None if late else ema, late))
+            yield pd.DataFrame(out, columns=["run_id", self.order, "step", "loss", "ema", "late"]).astype({"step": "Int64"})
         self.state.update((last, step, ema))
-        yield pd.DataFrame(out, columns=["run_id", self.order, "step", "loss", "ema", "late"]).astype({"step": "Int64"})
 
     def close(self) -> None:
         pass
@@ -148,31 +166,32 @@ class _Monitor(StatefulProcessor):
             kept[name].append(value)
             del kept[name][: -r.WINDOW]
 
-        pdf, out = _in_order(rows, self.order), []
-        for at, loss, grad, acc, val in pdf[[self.order, "loss", "grad_norm", "accuracy", "val_loss"]].itertuples(index=False):
-            if last is not None and at <= last:
-                out.append((key[0], at, None, True, None, [], False, nans, *self._settings(tuner), tuner.count))
-                continue
-            last, step = at, step + 1
-            if math.isfinite(loss):
-                push("losses", loss)
-            else:
-                nans += 1
-            if not math.isnan(grad):
-                push("grads", grad)
-            push("accs", acc)
-            push("pairs", 0.0 if math.isnan(loss) else loss)
-            health, found, changes = "warmup", [], {}
-            if step >= r.WARMUP:
-                fired = _fired(step, loss, grad, acc, *(kept[b] for b in _BUFFERS), val)
-                found, changes = tuner.decide(step, fired)
-                critical = nans > r.NAN_LIMIT or "nan_loss_critical" in found
-                health = "critical" if critical else "warning" if found else "healthy"
-            out.append((key[0], at, step, False, health, found, bool(changes), nans, *self._settings(tuner), tuner.count))
+        names = [c.split(" ")[0] for c in _HEALTH.format(order=self.order).split(", ")]
+        for chunk in _in_order(rows, [self.order, "loss", "grad_norm", "accuracy", "val_loss"]):
+            out = []
+            for at, loss, grad, acc, val in chunk:
+                if last is not None and at <= last:
+                    out.append((key[0], at, None, True, None, [], False, nans, *self._settings(tuner), tuner.count))
+                    continue
+                last, step = at, step + 1
+                if math.isfinite(loss):
+                    push("losses", loss)
+                else:
+                    nans += 1
+                if not math.isnan(grad):
+                    push("grads", grad)
+                push("accs", acc)
+                push("pairs", 0.0 if math.isnan(loss) else loss)
+                health, found, changes = "warmup", [], {}
+                if step >= r.WARMUP:
+                    fired = _fired(step, loss, grad, acc, *(kept[b] for b in _BUFFERS), val)
+                    found, changes = tuner.decide(step, fired)
+                    critical = nans > r.NAN_LIMIT or "nan_loss_critical" in found
+                    health = "critical" if critical else "warning" if found else "healthy"
+                out.append((key[0], at, step, False, health, found, bool(changes), nans, *self._settings(tuner), tuner.count))
+            yield pd.DataFrame(out, columns=names).astype({"step": "Int64"})
         self.numbers.update((last, step, nans, *self._settings(tuner), tuner.last, tuner.count))
         self.buffers.update(tuple(kept[b] for b in _BUFFERS))
-        names = [c.split(" ")[0] for c in _HEALTH.format(order=self.order).split(", ")]
-        yield pd.DataFrame(out, columns=names).astype({"step": "Int64"})
 
     @staticmethod
     def _settings(tuner: Tuner) -> tuple[float, ...]:
