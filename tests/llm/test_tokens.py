@@ -185,3 +185,16 @@ def test_scan_table(spark, sf):
     for r in scan.op8_sentencepiece(spark, sf).select("doc_id", F.col("n_pieces")).collect():
         got[r.doc_id] += r.n_pieces
     assert got == {i: len(LIBRARY.encode(t)) for i, t in docs.items()}
+
+
+def test_remembered_words_are_bounded_and_common_ones_stay(monkeypatch):
+    from wordloom.llm import sentencepiece_scan as scan
+
+    monkeypatch.setattr(scan, "MEMORY", 50)
+    p = scan.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    calls, merged = [], p.merged
+    monkeypatch.setattr(p, "merged", lambda w: calls.append(w) or merged(w))
+    for i in range(400):
+        p.run(f"{scan.SPACE}common{scan.SPACE}rare{i}")
+        assert len(p.words) <= 50 and len(p.former) <= 50
+    assert calls.count(f"{scan.SPACE}common") == 1

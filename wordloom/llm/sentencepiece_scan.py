@@ -34,7 +34,7 @@ from wordloom.llm.common import stored, table
 
 SPACE = "▁"  # a fixed value: what stands for a space in pieces
 CHUNK = 32_768  # characters
-MEMORY = 300_000  # remembered words per Python worker, and pairs of pieces
+MEMORY = 80_000  # words of a generation that a Python worker remembers, of two, and pairs of pieces
 LONG = 40  # longer words are not remembered, and traced through the lattice
 NONE = -np.inf
 
@@ -61,6 +61,7 @@ class Pieces:
         self.begun = {p[:n]: False for p in self.id for n in range(1, len(p))} | dict.fromkeys(self.id, True)
         self.pairs: dict[str, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.former: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """The encoding of a short text: the best-scored pair merges, the leftmost of equals."""
@@ -134,20 +135,27 @@ class Pieces:
 
     def word(self, word: str) -> bytes:
         got = self.words.get(word)
+        if got is None:
+            got = self.former.get(word)
+            if got is not None:
+                self.remember(word, got)
         if got is None:
             # A word within a chunk has no unknown state: its merges give the one path directly.
             # They cost the square of its length, so a long word is traced through the lattice.
             got = self.ids(self.merged(word) if len(word) <= LONG else self.trace(self.reach(word, 0, len(word)), 0, len(word)))
-            if len(self.words) >= MEMORY:
-                self.words.clear()
             if len(word) <= LONG:
-                self.words[word] = got
+                self.remember(word, got)
         return got
 
+    def remember(self, word: str, ids: bytes) -> None:
+        """A full generation becomes the former one; words that return from it are kept."""
+        if len(self.words) >= MEMORY:
+            self.words, self.former = {}, self.words
+        self.words[word] = ids
+
     def run(self, text: str) -> bytes:
         """Ids of a stretch that starts and ends between words."""
-        get = self.words.get
-        return b"".join([get(w) or self.word(w) for w in _WORDS.findall(text)])
+        return b"".join([self.words.get(w) or self.word(w) for w in _WORDS.findall(text)])
 
     def decode(self, ids) -> bytes:
         """The UTF-8 bytes of the normalised text."""
