@@ -198,3 +198,44 @@ def test_remembered_words_are_bounded_and_common_ones_stay(monkeypatch):
         p.run(f"{scan.SPACE}common{scan.SPACE}rare{i}")
         assert len(p.words) <= 50 and len(p.former) <= 50
     assert calls.count(f"{scan.SPACE}common") == 1
+
+
+def odd_words(seed, n=3000):
+    rnd = random.Random(seed)
+    letters = "aaaabeehinoorstt" + "▁.,#0é日😀\n\x00ẞñ한𐍈"
+    return ["▁" * rnd.randint(0, 3) + "".join(rnd.choice(letters) for _ in range(rnd.randint(1, 36))).replace("▁", "") for _ in range(n)]
+
+
+def test_words_merged_together_equal_words_merged_one_by_one():
+    p = scan.Pieces(PIECES)
+    words = list(dict.fromkeys([*filter(None, odd_words(4)), "a" * 40, "▁" + "a" * 39, "▁" * 17, "x", "\n", "\U0010ffff"]))
+    assert p.coded(words) == {w: p.ids(p.merged(w)) for w in words}
+
+
+def test_symbols_that_are_no_pieces_and_equal_scores():
+    # "b" is no piece but merges; "aaa" is made from two pairs of equal score, the leftmost merges.
+    ids, score = {"a": 3, "aa": 4, "aaa": 5, "ab": 6}, {"a": 0.0, "aa": -1.0, "aaa": -2.0, "ab": -3.0}
+    p = scan.Pieces(PIECES)
+    p.id, p.score, p.byte = ids, score, list(range(100, 356))
+    merges = scan.Merges(ids, score, p.byte)
+    words = ["a" * n for n in range(1, 12)] + ["b", "ab", "aab", "aaaab", "bab", "éab", "aaaaabaaaaa"]
+    assert merges.ids(words, 12) == [p.ids(p.merged(w)) for w in words]
+
+
+def test_many_new_words_are_not_merged_one_by_one(monkeypatch):
+    p = scan.Pieces(PIECES)
+    calls, merged = [], p.merged
+    monkeypatch.setattr(p, "merged", lambda w: calls.append(w) or merged(w))
+    text = " ".join(f"wordy{i}ness" for i in range(3000)) + "  é日\n😀"
+    assert np.frombuffer(p.run(scan.normalised(text)), "<i4").tolist() == LIBRARY.encode(text)
+    assert len(calls) < 100
+
+
+def test_groups_of_texts_and_decoding_in_parts(spark, monkeypatch):
+    texts = [*TEXTS, *random_texts(5, 600)]
+    coded = scan.encode(frame(spark, texts).coalesce(1), PIECES)
+    rows = {r.doc_id: np.frombuffer(r.ids, "<i4").tolist() for r in coded.collect()}
+    assert rows == {i: LIBRARY.encode(t or "") for i, t in enumerate(texts)}
+    ids = coded.select(F.when(F.col("doc_id") != 300, F.col("ids")).alias("ids"), "doc_id").coalesce(1)
+    back = {r.doc_id: r.t for r in ids.select("doc_id", scan.decoded(F.col("ids"), PIECES).alias("t")).collect()}
+    assert back == {i: None if i == 300 else scan.normalised(t) for i, t in enumerate(texts)}

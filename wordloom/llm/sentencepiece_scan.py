@@ -11,7 +11,8 @@ best weights from the states of its left cut to those of its right cut, computed
 the rest. Matrices combine associatively; a scan forward and one backward over the (tiny) matrices
 of a text leave one state per cut, and every chunk then traces its own pieces independently. A
 text of one chunk has one start and one end state. Words are independent in this model, so the
-trace of a word is remembered, up to a bound.
+trace of a word is remembered, up to a bound. The new words of a group of texts lie as rows of
+matrices, and all rows merge their best pair at once.
 
 Null and empty texts have no pieces. Repeated rows are encoded alike; texts of any length are cut;
 an empty table gives an empty table; other columns are not read.
@@ -19,6 +20,7 @@ an empty table gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,16 +33,107 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordloom.llm.common import stored, table
+from wordloom.llm.tokencount import PairTable
 
 SPACE = "▁"  # a fixed value: what stands for a space in pieces
 CHUNK = 32_768  # characters
 MEMORY = 80_000  # words of a generation that a Python worker remembers, of two, and pairs of pieces
 LONG = 40  # longer words are not remembered, and traced through the lattice
+WIDTHS = (6, 9, 12, 16, 24, LONG)  # characters: words of up to so many share a matrix
+FEW = 100  # fewer new words are merged one by one
+ROWS = 4_096  # words of a matrix at most
+GROUP = 500_000  # characters of texts whose words are looked up together
 NONE = -np.inf
 
 _WORDS = regex.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
+class Merges:
+    """The merges of a model of the BPE kind, for many words at once.
+
+    Symbols are ids of pieces; then come characters of pieces that are none themselves. Characters
+    in no piece are -2 - code point, and merge with nothing. The latter two become bytes in the end.
+    """
+
+    def __init__(self, ids: dict[str, int], score: dict[str, float], byte: list[int]):
+        self.size = max(ids.values()) + 1
+        bare = sorted({c for p in ids for c in p} - set(ids))
+        symbol = ids | {c: self.size + i for i, c in enumerate(bare)}
+        self.bare = np.array([ord(c) for c in bare], np.int64)
+        self.byte = np.array(byte, np.int64)
+        single = {ord(c): i for c, i in symbol.items() if len(c) == 1}
+        self.char = -2 - np.arange(max(single) + 1, dtype=np.int64)  # as far as characters of pieces go
+        self.char[list(single)] = list(single.values())
+        pairs = [(a, b, p) for p in ids for n in range(1, len(p)) if (a := p[:n]) in symbol and (b := p[n:]) in symbol]
+        made = np.array([(symbol[a], symbol[b], symbol[p]) for a, b, p in pairs], np.int64).reshape(-1, 3)
+        self.pairs = PairTable(made)
+        # Equal scores have equal ranks: the leftmost pair merges, however it is made up.
+        ranks = np.unique([-score[p] for _, _, p in pairs], return_inverse=True)[1]
+        self.none = np.iinfo(np.int32).max  # the rank of pairs that do not merge
+        self.rank = np.append(ranks, self.none).astype(np.int32)
+        self.made = np.append(made[:, 2], -1).astype(np.int32)
+
+    def symbols(self, text: str) -> np.ndarray:
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        return np.where(code < len(self.char), self.char[np.minimum(code, len(self.char) - 1)], -2 - code)
+
+    def found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return self.pairs.ranks(left.astype(np.int64) << 20 | right)
+
+    def rows(self, words: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all words after their merges, word after word, and how many each has.
+
+        A word is a row of `width` places; those of merged symbols are skipped by the places after
+        and before. In each round every row merges its best pair, until no row has one.
+        """
+        n = len(words)
+        sizes = np.fromiter(map(len, words), np.int64, n)
+        # One place more, -1, stands for the neighbour of a word's ends.
+        last = n * width
+        symbol = np.full(last + 1, -1, np.int32)
+        alive = (np.arange(width) < sizes[:, None]).ravel()
+        symbol[:last][alive] = self.symbols("".join(words))
+        place = np.arange(last, dtype=np.int32).reshape(n, width)
+        after, before = np.append(place + 1, last).astype(np.int32), np.append(place - 1, last).astype(np.int32)
+        after[place[:, -1]] = before[place[:, 0]] = last
+        pair = np.full(last + 1, len(self.made) - 1, np.int32)
+        pair[:last] = self.found(symbol[:last], symbol[after[:last]])
+        rank = self.rank[pair]
+        table, row = rank[:last].reshape(n, width), np.arange(n)
+        while len(row):
+            at = row * width + table[row].argmin(1)  # the leftmost of equals
+            live = rank[at] < self.none
+            row, at = row[live], at[live]
+            gone = after[at]
+            then, prior = after[gone], before[at]
+            symbol[at] = self.made[pair[at]]
+            alive[gone] = False
+            rank[gone] = self.none
+            after[at], before[then] = then, at
+            fresh = self.found(np.concatenate([symbol[prior], symbol[at]]), np.concatenate([symbol[at], symbol[then]]))
+            for places, p in ((prior, fresh[: len(at)]), (at, fresh[len(at) :])):
+                pair[places], rank[places] = p, self.rank[p]
+        return symbol[:last][alive], alive.reshape(n, width).sum(1)
+
+    def ids(self, words: list[str], width: int) -> list[bytes]:
+        """The ids of each word, none of them longer than `width`."""
+        symbols, sizes = self.rows(words, width)
+        symbols, ends = symbols.astype(np.int64), np.cumsum(sizes)
+        bare = symbols >= self.size
+        symbols[bare] = -2 - self.bare[symbols[bare] - self.size]
+        other = symbols < 0
+        if other.any():
+            chars = -2 - symbols[other]
+            raw = chars.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+            count = np.ones(len(symbols), np.int64)
+            count[other] = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+            symbols, other = np.repeat(symbols, count), np.repeat(other, count)
+            symbols[other] = self.byte[np.frombuffer(raw, np.uint8)]
+            ends = np.cumsum(count)[ends - 1]
+        raw, ends = symbols.astype("<i4").tobytes(), (4 * ends).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Pieces:
     """The pieces of a model of the BPE kind, with which pairs may stand side by side."""
 
@@ -50,13 +143,13 @@ class Pieces:
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         plain = [i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         self.id = {sp.id_to_piece(i): i for i in plain}
-        self.score = {sp.id_to_piece(i): sp.get_score(i) for i in plain}
+        self.score = {p: sp.get_score(i) for p, i in self.id.items()}
         self.byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.piece = {i: p for p, i in self.id.items()}
-        self.of_byte = {i: b for b, i in enumerate(self.byte)}
+        self.bytes = {i: p.encode() for p, i in self.id.items()} | {i: bytes([b]) for b, i in enumerate(self.byte)}
         self.longest = max(map(len, self.id))
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError(f"{path}: pieces reach across words")
+        self.merges = Merges(self.id, self.score, self.byte)
         # Every beginning of a piece, and whether it is one.
         self.begun = {p[:n]: False for p in self.id for n in range(1, len(p))} | dict.fromkeys(self.id, True)
         self.pairs: dict[str, bool] = {}
@@ -134,18 +227,25 @@ class Pieces:
         return np.array(out, "<i4").tobytes()
 
     def word(self, word: str) -> bytes:
-        got = self.words.get(word)
-        if got is None:
-            got = self.former.get(word)
-            if got is not None:
-                self.remember(word, got)
-        if got is None:
-            # A word within a chunk has no unknown state: its merges give the one path directly.
-            # They cost the square of its length, so a long word is traced through the lattice.
-            got = self.ids(self.merged(word) if len(word) <= LONG else self.trace(self.reach(word, 0, len(word)), 0, len(word)))
-            if len(word) <= LONG:
-                self.remember(word, got)
-        return got
+        # A word within a chunk has no unknown state: its merges give the one path directly.
+        # They cost the square of its length, so a long word is traced through the lattice.
+        return self.ids(self.merged(word) if len(word) <= LONG else self.trace(self.reach(word, 0, len(word)), 0, len(word)))
+
+    def coded(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of new words, merged together unless they are few or long."""
+        if len(words) < FEW:
+            return {w: self.word(w) for w in words}
+        out, kinds = {}, [[] for _ in WIDTHS]
+        for w in words:
+            if len(w) > LONG:
+                out[w] = self.word(w)
+            else:
+                kinds[bisect_left(WIDTHS, len(w))].append(w)
+        for width, kind in zip(WIDTHS, kinds):
+            for at in range(0, len(kind), ROWS):
+                part = kind[at : at + ROWS]
+                out.update(zip(part, self.merges.ids(part, width)))
+        return out
 
     def remember(self, word: str, ids: bytes) -> None:
         """A full generation becomes the former one; words that return from it are kept."""
@@ -153,13 +253,23 @@ class Pieces:
             self.words, self.former = {}, self.words
         self.words[word] = ids
 
+    def runs(self, texts: list[str]) -> list[bytes]:
+        """Ids of stretches that start and end between words."""
+        words = [words_of(t) for t in texts]
+        wanted = set().union(*words)
+        found = {w: ids for w in wanted if (ids := self.words.get(w) or self.former.get(w))}
+        found |= self.coded([w for w in wanted if w not in found])
+        for w, ids in found.items():
+            if w not in self.words and len(w) <= LONG:
+                self.remember(w, ids)
+        return [b"".join(map(found.__getitem__, w)) for w in words]
+
     def run(self, text: str) -> bytes:
-        """Ids of a stretch that starts and ends between words."""
-        return b"".join([self.words.get(w) or self.word(w) for w in _WORDS.findall(text)])
+        return self.runs([text])[0]
 
     def decode(self, ids) -> bytes:
         """The UTF-8 bytes of the normalised text."""
-        return b"".join(bytes([self.of_byte[i]]) if i in self.of_byte else self.piece[i].encode() for i in ids)
+        return b"".join(map(self.bytes.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)
@@ -167,6 +277,14 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a normalised text: plain splits unless marks follow each other."""
+    if SPACE * 2 in text or " " in text:
+        return _WORDS.findall(text)
+    found = text.replace(SPACE, f" {SPACE}").split(" ")
+    return found if found[0] else found[1:]
+
+
 def normalised(text: str | None) -> str:
     """The model's only normalisation: spaces are marked, and one is put in front."""
     return SPACE + text.replace(" ", SPACE) if text else ""
@@ -250,9 +368,15 @@ def _small(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(path)
         for batch in batches:
+            keys, texts, size = [], [], 0
             for at in range(0, batch.num_rows, 64):
-                keys, texts = (c.to_pylist() for c in batch.slice(at, 64).select(["k", "t"]).columns)
-                yield _batch(batch.schema.field("k").type, _IDS, [(k, 0, 0, p.run(normalised(t))) for k, t in zip(keys, texts)])
+                part = batch.slice(at, 64)
+                keys += part.column("k").to_pylist()
+                texts += map(normalised, part.column("t").to_pylist())
+                size += sum(map(len, texts[-part.num_rows :]))
+                if size >= GROUP or at + 64 >= batch.num_rows:
+                    yield _batch(batch.schema.field("k").type, _IDS, [(k, 0, 0, ids) for k, ids in zip(keys, p.runs(texts))])
+                    keys, texts, size = [], [], 0
 
     return encode
 
@@ -349,7 +473,11 @@ def decoded(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def decode(rows: pa.Array) -> pa.Array:
         p = pieces(path)
-        return pa.array([None if i is None else p.decode(np.frombuffer(i, "<i4").tolist()).decode("utf-8", "replace") for i in rows.to_pylist()], pa.string())
+        parts = []
+        for at in range(0, max(1, len(rows)), 256):
+            part = rows.slice(at, 256).to_pylist()
+            parts.append(pa.array([None if i is None else p.decode(np.frombuffer(i, "<i4").tolist()).decode("utf-8", "replace") for i in part], pa.string()))
+        return pa.concat_arrays(parts)
 
     return decode(ids)
 
